@@ -16,7 +16,7 @@ from seisflow.session import build_session  # noqa: E402
 def main():
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8, conf={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)

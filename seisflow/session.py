@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Only takes effect when this call starts the JVM (local runs, tests, bench).
+    "spark.driver.memory": "8g",
 }
 
 

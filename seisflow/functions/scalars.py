@@ -77,10 +77,12 @@ def cap(c, ceiling) -> Column:
 
 
 def linspace(lo, hi, n) -> Column:
-    """Array of ``n`` evenly spaced values from lo to hi inclusive (numpy.linspace)."""
+    """Array of ``n`` evenly spaced values from lo to hi inclusive (numpy.linspace):
+    ``i * step + lo`` with the last value exactly ``hi``."""
     lo, hi, n = col_of(lo), col_of(hi), col_of(n)
     step = (hi - lo) / (n - 1).cast("double")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: lo + i.cast("double") * step)
+    return F.transform(F.sequence(F.lit(0), n - 1),
+                       lambda i: F.when(i == n - 1, hi).otherwise(i.cast("double") * step + lo))
 
 
 def confidence_label(zone_count, pred, zone_max) -> Column:

@@ -117,7 +117,8 @@ def pca_components(df: DataFrame, k: int = 2):
     pc = model.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
     arr = vector_to_array(F.col("pcs"))
-    out = feats.select(*df.columns, *[(arr[j] * F.lit(signs[j])).alias(f"pca{j + 1}") for j in range(k)])
+    out = model.transform(feats).select(*df.columns, *[(arr[j] * F.lit(signs[j])).alias(f"pca{j + 1}")
+                                                       for j in range(k)])
     return out, [float(v) for v in model.explainedVariance.toArray()]
 
 

@@ -1 +1,216 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: zones, forecast, models, anomalies.
+
+Iterative and randomised operators (k-means, forests, isolation forest,
+DBSCAN) have no SQL text: DuckDB cannot express them efficiently on the whole
+table, so the driver checks their rows only and the unit tests check them
+against brute force and invariants.  The forecast grid and table are exact
+when fed SQL-expressible zones and a closed-form predictor.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seisflow.operators import forecast, isolation, models, regions, zones
+from seisflow.operators.filters import drop_incomplete
+from seisflow.operators.summaries import anomaly_count, mean_abs_error
+from seisflow.plans.oracle import q
+from seisflow.plans.registry import catalogue, register, round_cols
+
+# ---------------------------------------------------------------- zones
+
+
+@register("zone_labels")
+def zone_labels(spark, sf_dir):
+    return zones.active_zones(catalogue(spark, sf_dir), order_col="event_id").select("id", "zone")
+
+
+@register("zone_stats")
+def zone_stats(spark, sf_dir):
+    return zones.zone_stats(zones.active_zones(catalogue(spark, sf_dir), order_col="event_id"))
+
+
+# ---------------------------------------------------------------- forecast with SQL-expressible zones
+# Zones here are the region groups of complete rows; the predictor is the
+# least-squares line of magnitude on latitude.  Both come from the data.
+
+_FIRST = """(CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1
+ WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2
+ WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3
+ WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4
+ WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5
+ WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6
+ WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7
+ ELSE 0 END)"""
+_ZONES = (
+    "clean AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
+    "AND latitude IS NOT NULL AND depth IS NOT NULL), "
+    f"zs AS (SELECT {_FIRST} AS zone, count(magnitude) AS magnitude_count, round_even(max(magnitude), 2) AS magnitude_max, "
+    "round_even(avg(latitude), 2) AS latitude_mean, round_even(avg(longitude), 2) AS longitude_mean "
+    "FROM clean GROUP BY 1 HAVING count(magnitude) >= 3), "
+    "g AS (SELECT *, least(15, greatest(5, CAST(trunc(magnitude_count / 2) AS INTEGER))) AS n_points FROM zs), "
+    "gi AS (SELECT *, unnest(range(n_points)) AS i FROM g), "
+    "gij AS (SELECT *, unnest(range(n_points)) AS j FROM gi), "
+    "grid AS (SELECT zone, magnitude_count, magnitude_max, "
+    "CASE WHEN i = n_points - 1 THEN latitude_mean + 3e-1 ELSE i * (((latitude_mean + 3e-1) - (latitude_mean - 3e-1)) "
+    "/ (n_points - 1)) + (latitude_mean - 3e-1) END AS latitude, "
+    "CASE WHEN j = n_points - 1 THEN longitude_mean + 3e-1 ELSE j * (((longitude_mean + 3e-1) - (longitude_mean - 3e-1)) "
+    "/ (n_points - 1)) + (longitude_mean - 3e-1) END AS longitude FROM gij), "
+    "fit AS (SELECT regr_slope(magnitude, latitude) AS a, regr_intercept(magnitude, latitude) AS b FROM clean), "
+    "scored AS (SELECT grid.*, least(fit.b + fit.a * latitude, magnitude_max * 1.2e0) AS predicted_magnitude "
+    "FROM grid, fit), "
+    "fc AS (SELECT latitude, longitude, predicted_magnitude, CASE WHEN magnitude_count > 10 AND "
+    "predicted_magnitude <= magnitude_max THEN 'High' ELSE 'Medium' END AS confidence, CAST(zone AS INTEGER) AS zone "
+    "FROM scored WHERE predicted_magnitude >= 4e0)")
+
+
+def _region_zones(spark, sf_dir):
+    from seisflow.operators.summaries import group_stats  # noqa: F401
+    from seisflow.functions.scalars import round2
+    clean = drop_incomplete(catalogue(spark, sf_dir), ["magnitude", "longitude", "latitude", "depth"])
+    zs = (clean.withColumn("zone", regions.region_code(mode="first")).groupBy("zone")
+          .agg(F.count("magnitude").alias("magnitude_count"), round2(F.max("magnitude")).alias("magnitude_max"),
+               round2(F.avg("latitude")).alias("latitude_mean"), round2(F.avg("longitude")).alias("longitude_mean"))
+          .where(F.col("magnitude_count") >= 3))
+    return clean, zs
+
+
+def _stand_in_forecast(spark, sf_dir):
+    clean, zs = _region_zones(spark, sf_dir)
+    fit = models.linear_fit(clean, "magnitude", "latitude").first()
+    grid = forecast.forecast_grid(zs)
+    scored = grid.withColumn("prediction", F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("latitude"))
+    return forecast.forecast_table(scored)
+
+
+@register("forecast_grid", q(
+    "SELECT zone, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude FROM grid", _ZONES))
+def forecast_grid(spark, sf_dir):
+    _, zs = _region_zones(spark, sf_dir)
+    g = forecast.forecast_grid(zs).select("zone", "latitude", "longitude")
+    return g.select("zone", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
+
+
+@register("forecast_table", q(
+    "SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, "
+    "round(predicted_magnitude, 6) AS predicted_magnitude, confidence, zone FROM fc", _ZONES))
+def forecast_table(spark, sf_dir):
+    t = _stand_in_forecast(spark, sf_dir)
+    return t.select(F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"),
+                    F.round("predicted_magnitude", 6).alias("predicted_magnitude"), "confidence", "zone")
+
+
+@register("forecast_buckets", q(
+    "SELECT b.bucket, coalesce(c.n, 0) AS \"count\" FROM (VALUES ('4.0-4.9'), ('5.0-5.9'), ('6.0+')) b(bucket) "
+    "LEFT JOIN (SELECT CASE WHEN predicted_magnitude > 4e0 AND predicted_magnitude <= 5e0 THEN '4.0-4.9' "
+    "WHEN predicted_magnitude > 5e0 AND predicted_magnitude <= 6e0 THEN '5.0-5.9' "
+    "WHEN predicted_magnitude > 6e0 THEN '6.0+' END AS bucket, count(*) AS n FROM fc GROUP BY 1) c "
+    "ON b.bucket = c.bucket", _ZONES))
+def forecast_buckets(spark, sf_dir):
+    return forecast.bucket_counts(_stand_in_forecast(spark, sf_dir))
+
+
+@register("forecast_confidence", q(
+    "SELECT confidence, count(*) AS \"count\" FROM fc GROUP BY 1 ORDER BY 2 DESC, 1", _ZONES))
+def forecast_confidence(spark, sf_dir):
+    return forecast.confidence_counts(_stand_in_forecast(spark, sf_dir))
+
+
+@register("forecast_colours", q(
+    "SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, CASE WHEN confidence = 'High' THEN "
+    "(CASE WHEN predicted_magnitude >= 6e0 THEN 'red' WHEN predicted_magnitude >= 5e0 THEN 'orange' ELSE 'yellow' END) "
+    "ELSE (CASE WHEN predicted_magnitude >= 6e0 THEN 'lightred' WHEN predicted_magnitude >= 5e0 THEN 'lightorange' "
+    "ELSE 'lightyellow' END) END AS colour, printf('%.1f', predicted_magnitude) AS magnitude_text, zone FROM fc",
+    _ZONES))
+def forecast_colours(spark, sf_dir):
+    from seisflow.functions.display import fixed, forecast_colour
+    t = _stand_in_forecast(spark, sf_dir)
+    return t.select(F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"),
+                    forecast_colour().alias("colour"), fixed("predicted_magnitude", 1).alias("magnitude_text"), "zone")
+
+
+@register("forecast_full")
+def forecast_full(spark, sf_dir):
+    return forecast.predict_future(catalogue(spark, sf_dir), order_col="event_id", trees=100, max_depth=10)
+
+
+# ---------------------------------------------------------------- Spark ML models
+
+
+@register("kmeans_raw")
+def kmeans_raw(spark, sf_dir):
+    _, pred, _, _ = models.kmeans_raw(catalogue(spark, sf_dir), k=5, seed=42)
+    return models.clustered_table(pred)
+
+
+@register("kmeans_summary")
+def kmeans_summary(spark, sf_dir):
+    _, pred, silhouette, centers = models.kmeans_raw(catalogue(spark, sf_dir), k=5, seed=42)
+    sizes = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
+    return centers.join(sizes, "prediction", "left").withColumn("silhouette", F.lit(float(silhouette)))
+
+
+@register("kmeans_scaled")
+def kmeans_scaled(spark, sf_dir):
+    _, stats = models.kmeans_scaled(catalogue(spark, sf_dir), k=5, seed=42)
+    return stats
+
+
+@register("pca_components")
+def pca_components(spark, sf_dir):
+    out, _ = models.pca_components(catalogue(spark, sf_dir), k=2)
+    return out.select("id", "pca1", "pca2")
+
+
+@register("pca_variance")
+def pca_variance(spark, sf_dir):
+    _, ratio = models.pca_components(catalogue(spark, sf_dir), k=2)
+    return spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(ratio)],
+                                 "component int, explained_variance_ratio double")
+
+
+@register("elastic_net")
+def elastic_net(spark, sf_dir):
+    _, test, _ = models.elastic_net(catalogue(spark, sf_dir))
+    return test.select("id", "magnitude", "prediction")
+
+
+@register("elastic_net_metrics")
+def elastic_net_metrics(spark, sf_dir):
+    _, _, metrics = models.elastic_net(catalogue(spark, sf_dir))
+    return metrics
+
+
+@register("forest_magnitude")
+def forest_magnitude(spark, sf_dir):
+    _, out = models.forest_magnitude(catalogue(spark, sf_dir), trees=100, max_depth=10)
+    return out.select("id", "magnitude", "predicted_magnitude", "magnitude_error")
+
+
+@register("forest_error")
+def forest_error(spark, sf_dir):
+    _, out = models.forest_magnitude(catalogue(spark, sf_dir), trees=100, max_depth=10)
+    return mean_abs_error(out)
+
+
+# ---------------------------------------------------------------- anomalies
+
+
+@register("anomalies")
+def anomalies(spark, sf_dir):
+    out = isolation.detect_anomalies(catalogue(spark, sf_dir), contamination=0.1, key="id")
+    return out.select("id", "anomaly_score", "is_anomaly")
+
+
+@register("anomaly_rows")
+def anomaly_rows(spark, sf_dir):
+    out = isolation.detect_anomalies(catalogue(spark, sf_dir), contamination=0.1, key="id")
+    return out.where(F.col("is_anomaly") == -1).select("id", "magnitude", "depth", "latitude", "longitude")
+
+
+@register("anomaly_count")
+def anomaly_count_q(spark, sf_dir):
+    return anomaly_count(isolation.detect_anomalies(catalogue(spark, sf_dir), contamination=0.1, key="id"))
+
+
+_ = round_cols

@@ -1 +1,160 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: sinks and scans round-tripped through files, streaming, jobs.
+
+Files are written under the session's checkpoint folder (the shared folder a
+cluster names in ``spark.checkpoint.dir``), each run in a fresh sub-folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from seisflow.plans import jobs
+from seisflow.plans.oracle import q
+from seisflow.plans.registry import AS_OF, RANGE_END, RANGE_START, catalogue, register, round_cols
+from seisflow.session import scratch_path
+from seisflow.sources import catalogue as cat_io
+from seisflow.sources import geojson
+from seisflow.streaming import ingest
+
+_ROW_COLS = ["id", "magnitude", "place", "time", "longitude", "latitude", "depth", "date", "hour"]
+_ROW_SQL = ("SELECT id, magnitude, place, time, longitude, latitude, depth, strftime(time, '%Y-%m-%d') AS date, "
+            "CAST(hour(time) AS INTEGER) AS hour FROM quakes")
+
+# ---------------------------------------------------------------- file round trips
+
+
+@register("csv_roundtrip", q(_ROW_SQL))
+def csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    cat_io.write_catalogue_csv(catalogue(spark, sf_dir), path)
+    return cat_io.read_catalogue_csv(spark, path).select(*_ROW_COLS)
+
+
+@register("parquet_roundtrip", q(
+    _ROW_SQL + " WHERE strftime(time, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-12'"))
+def parquet_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "parquet")
+    cat_io.write_catalogue_parquet(catalogue(spark, sf_dir).drop("event_id"), path, partition_by="date")
+    back = cat_io.read_catalogue_parquet(spark, path)
+    # The date predicate prunes partition folders before any file is opened.
+    return back.where(F.col("date").between("2024-01-10", "2024-01-12")).select(*_ROW_COLS)
+
+
+# Feed documents carry epoch milliseconds, so times come back truncated to the millisecond.
+_FEED_SQL = ("SELECT id, magnitude, place, date_trunc('millisecond', time) AS time, longitude, latitude, depth, "
+             "strftime(time, '%Y-%m-%d') AS date, CAST(hour(time) AS INTEGER) AS hour FROM quakes")
+
+
+@register("geojson_roundtrip", q(_FEED_SQL))
+def geojson_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "feed")
+    geojson.write_feed(catalogue(spark, sf_dir), path)
+    return geojson.read_feed(spark, path, line_delimited=True).select(*_ROW_COLS)
+
+
+@register("geojson_documents", q(_FEED_SQL))
+def geojson_documents(spark, sf_dir):
+    path = scratch_path(spark, "docs")
+    geojson.write_feed_documents(catalogue(spark, sf_dir), path, features_per_document=500)
+    return geojson.read_feed_documents(spark, path).select(*_ROW_COLS)
+
+
+@register("collect_job", q(
+    f"SELECT count(*) AS rows_written FROM quakes WHERE time BETWEEN TIMESTAMP '{RANGE_START}' "
+    f"AND TIMESTAMP '{RANGE_END}' AND magnitude >= 2.5e0"))
+def collect_job(spark, sf_dir):
+    feed = scratch_path(spark, "landed")
+    geojson.write_feed(catalogue(spark, sf_dir), feed)
+    n = jobs.collect_and_save(spark, feed, scratch_path(spark, "collected"), RANGE_START, RANGE_END, 2.5)
+    return spark.createDataFrame([(n,)], "rows_written long")
+
+
+@register("processed_tables", q(
+    "SELECT 'events' AS item, count(*) AS \"rows\" FROM quakes UNION ALL "
+    "SELECT 'regions', count(*) FROM quakes UNION ALL "
+    "SELECT 'region_summary', count(DISTINCT CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1 "
+    " WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2 "
+    " WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3 "
+    " WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4 "
+    " WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5 "
+    " WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6 "
+    " WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7 ELSE 0 END) FROM quakes UNION ALL "
+    "SELECT 'daily', count(DISTINCT CAST(time AS DATE)) FROM quakes UNION ALL "
+    "SELECT 'hourly', count(DISTINCT hour(time)) FROM quakes"))
+def processed_tables(spark, sf_dir):
+    out = scratch_path(spark, "processed")
+    paths = jobs.save_processed(catalogue(spark, sf_dir).drop("event_id"), out)
+    frames = {k: spark.read.parquet(p) for k, p in paths.items()}
+    return jobs.report_sizes(frames)
+
+
+@register("basic_report")
+def basic_report(spark, sf_dir):
+    return jobs.report_sizes(jobs.basic_report(catalogue(spark, sf_dir)))
+
+
+@register("spark_analysis")
+def spark_analysis(spark, sf_dir):
+    return jobs.report_sizes(jobs.spark_analysis(catalogue(spark, sf_dir)))
+
+
+@register("pattern_report")
+def pattern_report(spark, sf_dir):
+    return jobs.report_sizes(jobs.pattern_report(catalogue(spark, sf_dir)))
+
+
+@register("schema_report")
+def schema_report(spark, sf_dir):
+    from seisflow.schema import schema_report as report
+    return report(catalogue(spark, sf_dir).drop("event_id"))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _run(spark, stream, name, mode="append"):
+    sink, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    ingest.run_to_parquet(stream, sink, ckpt, mode=mode)
+    return spark.read.parquet(sink)
+
+
+@register("stream_ingest", q("SELECT id, magnitude, time, longitude, latitude, depth FROM quakes"))
+def stream_ingest(spark, sf_dir):
+    s = ingest.event_stream(spark, sf_dir).select("id", "magnitude", "time", "longitude", "latitude", "depth")
+    return _run(spark, s, "ingest")
+
+
+@register("stream_dedup", q("SELECT id, magnitude, time FROM quakes"))
+def stream_dedup(spark, sf_dir):
+    # The same drop landed twice: every event arrives two times and must come out once.
+    s = ingest.event_stream(spark, sf_dir).unionByName(ingest.event_stream(spark, sf_dir))
+    out = ingest.dedup_stream(s.select("id", "magnitude", "time"))
+    return _run(spark, out, "dedup")
+
+
+@register("stream_latest", q(
+    "SELECT id, round(magnitude + 1e-1, 6) AS magnitude, time + INTERVAL 1 HOUR AS updated FROM quakes"))
+def stream_latest(spark, sf_dir):
+    # Every event arrives as the original and as a revision one hour later with magnitude + 0.1;
+    # each micro-batch appends its newest revisions, readers take the newest overall.
+    base = ingest.event_stream(spark, sf_dir).select("id", "magnitude", "updated")
+    revised = base.select("id", (F.col("magnitude") + 0.1).alias("magnitude"),
+                          (F.col("updated") + F.expr("INTERVAL 1 HOUR")).alias("updated"))
+    table = scratch_path(spark, "revisions")
+    q_ = (base.unionByName(revised).writeStream.foreachBatch(ingest.upsert_batches(table))
+          .option("checkpointLocation", scratch_path(spark, "revisions-ckpt")).trigger(availableNow=True).start())
+    q_.awaitTermination()
+    latest = ingest.latest_revisions(spark.read.parquet(table).select("id", "magnitude", "updated"))
+    return round_cols(latest, ["magnitude"])
+
+
+@register("stream_daily", q(
+    "SELECT date_trunc('day', time) AS window_start, date_trunc('day', time) + INTERVAL 1 DAY AS window_end, "
+    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes "
+    "GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL 1 HOUR"))
+def stream_daily(spark, sf_dir):
+    out = _run(spark, ingest.daily_counts_stream(ingest.event_stream(spark, sf_dir)), "daily")
+    return round_cols(out, ["avg_magnitude"])
+
+
+_ = AS_OF

@@ -14,9 +14,16 @@ class EmptyInputError(ValueError):
 def _text_read_schema() -> T.StructType:
     # Integers are read as double: a pandas writer stores an int column with
     # gaps as "12.0", which an IntegerType CSV field would silently turn to null.
+    # Timestamps are read as text and cast, which accepts "2024-01-01 00:00:07",
+    # fractional seconds of any length and the ISO "T" separator alike.
     fields = []
     for name, dtype in CATALOGUE_FIELDS:
-        read_type = T.DoubleType() if isinstance(dtype, T.IntegerType) else dtype
+        if isinstance(dtype, T.IntegerType):
+            read_type = T.DoubleType()
+        elif isinstance(dtype, T.TimestampType):
+            read_type = T.StringType()
+        else:
+            read_type = dtype
         fields.append(T.StructField(name, read_type, True))
     return T.StructType(fields)
 
@@ -48,6 +55,8 @@ def _cast_integers(raw: DataFrame) -> DataFrame:
         c = F.col(name)
         if isinstance(dtype, T.IntegerType):
             c = F.when(F.isnan(c), F.lit(None)).otherwise(c.try_cast("int"))
+        elif isinstance(dtype, T.TimestampType):
+            c = c.try_cast("timestamp")
         cols.append(c.cast(dtype).alias(name))
     return raw.select(*cols)
 
@@ -56,7 +65,7 @@ def write_catalogue_csv(df: DataFrame, path: str, mode: str = "overwrite") -> No
     """Header CSV; quotes inside values are doubled so the reader above round-trips."""
     (df.select(*CATALOGUE_COLUMNS).write.mode(mode)
        .option("header", True).option("escape", '"').option("quoteAll", False)
-       .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+       .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
        .csv(path))
 
 

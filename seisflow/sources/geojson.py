@@ -94,3 +94,20 @@ def feed_from_catalogue(df: DataFrame) -> DataFrame:
 def write_feed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land catalogue rows as line-delimited feed features (one feature per line)."""
     feed_from_catalogue(df).write.mode(mode).json(path)
+
+
+def write_feed_documents(df: DataFrame, path: str, features_per_document: int = 1000, mode: str = "overwrite") -> None:
+    """Land catalogue rows as feed documents ``{"features": [...]}``, one per line of text.
+
+    A document holds at most ``features_per_document`` features of one input
+    partition (bucketed by the row's position inside its partition), so no
+    group is larger than that bound whatever the input size.
+    """
+    feats = feed_from_catalogue(df).withColumn("__doc", F.floor(F.monotonically_increasing_id() / features_per_document))
+    docs = feats.groupBy("__doc").agg(F.collect_list(F.struct("id", "properties", "geometry")).alias("features"))
+    docs.select(F.to_json(F.struct("features")).alias("value")).write.mode(mode).text(path)
+
+
+def read_feed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Scan feed documents stored one per line (see :func:`write_feed_documents`)."""
+    return flatten_feed(spark.read.schema(FEED_SCHEMA).json(path))

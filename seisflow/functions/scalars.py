@@ -57,8 +57,13 @@ def shift(ts, days: int = 0, hours: int = 0) -> Column:
 
 
 def round2(c, digits: int = 2) -> Column:
-    """Half-even rounding, as pandas/numpy ``round`` does."""
-    return F.bround(col_of(c), digits)
+    """Half-even rounding, as pandas/numpy ``round`` does.
+
+    The value is first snapped to 9 decimals so that a tie (a mean of 212.825)
+    is recognised whichever side of it the floating-point sum landed on; the
+    result then no longer depends on summation order, i.e. on partitioning.
+    """
+    return F.bround(F.round(col_of(c), 9), digits)
 
 
 def abs_error(actual, predicted) -> Column:

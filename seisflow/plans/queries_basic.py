@@ -181,8 +181,8 @@ _CLEAN = ("magnitude IS NOT NULL AND depth IS NOT NULL AND latitude IS NOT NULL
 
 
 @register("spatial_patterns", q(
-    "SELECT place, round_even(avg(magnitude), 2) AS magnitude_mean, count(magnitude) AS magnitude_count, "
-    "round_even(max(magnitude), 2) AS magnitude_max, round_even(avg(depth), 2) AS depth_mean "
+    "SELECT place, round_even(round(avg(magnitude), 9), 2) AS magnitude_mean, count(magnitude) AS magnitude_count, "
+    "round_even(round(max(magnitude), 9), 2) AS magnitude_max, round_even(round(avg(depth), 9), 2) AS depth_mean "
     f"FROM quakes WHERE {_CLEAN} AND place IS NOT NULL GROUP BY place"))
 def spatial_patterns(spark, sf_dir):
     return summaries.spatial_patterns(catalogue(spark, sf_dir))
@@ -230,8 +230,8 @@ def hour_frequency(spark, sf_dir):
 
 
 @register("hourly_patterns", q(
-    "SELECT CAST(hour(time) AS INTEGER) AS hour, round_even(avg(magnitude), 2) AS magnitude_mean, "
-    "count(magnitude) AS magnitude_count, round_even(avg(depth), 2) AS depth_mean "
+    "SELECT CAST(hour(time) AS INTEGER) AS hour, round_even(round(avg(magnitude), 9), 2) AS magnitude_mean, "
+    "count(magnitude) AS magnitude_count, round_even(round(avg(depth), 9), 2) AS depth_mean "
     f"FROM quakes WHERE {_CLEAN} AND time IS NOT NULL GROUP BY 1 ORDER BY 1"))
 def hourly_patterns(spark, sf_dir):
     return summaries.hourly_patterns(catalogue(spark, sf_dir))

@@ -175,9 +175,9 @@ def fixed_center_cluster_stats(spark, sf_dir):
 
 
 @register("pattern_cluster_stats", q(
-    "SELECT prediction AS cluster, round_even(avg(magnitude), 2) AS magnitude_mean, "
-    "round_even(min(magnitude), 2) AS magnitude_min, round_even(max(magnitude), 2) AS magnitude_max, "
-    "count(magnitude) AS magnitude_count, round_even(avg(depth), 2) AS depth_mean FROM pts GROUP BY 1", _CENTRES))
+    "SELECT prediction AS cluster, round_even(round(avg(magnitude), 9), 2) AS magnitude_mean, "
+    "round_even(round(min(magnitude), 9), 2) AS magnitude_min, round_even(round(max(magnitude), 9), 2) AS magnitude_max, "
+    "count(magnitude) AS magnitude_count, round_even(round(avg(depth), 9), 2) AS depth_mean FROM pts GROUP BY 1", _CENTRES))
 def pattern_cluster_stats(spark, sf_dir):
     from seisflow.operators.summaries import group_stats
     labelled = _region_centre_labels(spark, sf_dir).withColumnRenamed("prediction", "cluster")

@@ -45,8 +45,8 @@ _FIRST = """(CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AN
 _ZONES = (
     "clean AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
     "AND latitude IS NOT NULL AND depth IS NOT NULL), "
-    f"zs AS (SELECT {_FIRST} AS zone, count(magnitude) AS magnitude_count, round_even(max(magnitude), 2) AS magnitude_max, "
-    "round_even(avg(latitude), 2) AS latitude_mean, round_even(avg(longitude), 2) AS longitude_mean "
+    f"zs AS (SELECT {_FIRST} AS zone, count(magnitude) AS magnitude_count, round_even(round(max(magnitude), 9), 2) AS magnitude_max, "
+    "round_even(round(avg(latitude), 9), 2) AS latitude_mean, round_even(round(avg(longitude), 9), 2) AS longitude_mean "
     "FROM clean GROUP BY 1 HAVING count(magnitude) >= 3), "
     "g AS (SELECT *, least(15, greatest(5, CAST(trunc(magnitude_count / 2) AS INTEGER))) AS n_points FROM zs), "
     "gi AS (SELECT *, unnest(range(n_points)) AS i FROM g), "

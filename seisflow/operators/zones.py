@@ -36,6 +36,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seisflow.functions.scalars import round2
+from seisflow.operators.common import broadcast_if_small
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import checkpoint_dir
@@ -91,9 +92,12 @@ def _near_cells(queries: DataFrame, subs: DataFrame, pts: DataFrame, eps2: float
     j = j.withColumn("mind2", mind2).withColumn("maxd2", maxd2).where(F.col("mind2") <= eps2)
     keep = ["qk", "sx", "sy", *extra_sub_cols]
     full = j.where(F.col("maxd2") <= eps2).select(*keep, F.col("n").alias("hit"))
-    partial = j.where(F.col("maxd2") > eps2).select("qk", "qx", "qy", "sx", "sy", *extra_sub_cols)
+    partial = _cut(j.where(F.col("maxd2") > eps2).select("qk", "qx", "qy", "sx", "sy", *extra_sub_cols))
     d2 = (F.col("x") - F.col("qx")) ** 2 + (F.col("y") - F.col("qy")) ** 2
-    checked = (partial.join(pts.select("sx", "sy", "x", "y"), ["sx", "sy"])
+    # The requests are few (sparse points × nearby sub-cells); broadcasting them
+    # lets every partition of the points join locally, so a crowded sub-cell
+    # never lands in one task.
+    checked = (pts.select("sx", "sy", "x", "y").join(broadcast_if_small(partial), ["sx", "sy"])
                .where(d2 <= eps2).groupBy(*keep).agg(F.count(F.lit(1)).alias("hit")))
     return full.unionByName(checked)
 
@@ -179,7 +183,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
     subs = _cut(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
 
     # 2. points in sparse cells: neighbour counts through sub-cell boxes.
-    sparse = (pts.join(cells.where(F.col("cn") < min_samples), ["cx", "cy"])
+    sparse = (pts.join(broadcast_if_small(cells.where(F.col("cn") < min_samples)), ["cx", "cy"])
               .select(F.col("k").alias("qk"), F.col("x").alias("qx"), F.col("y").alias("qy"),
                       F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), "cn"))
     sparse = _cut(sparse)
@@ -189,7 +193,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
                        .where(F.col("cn") + F.coalesce(F.col("others"), F.lit(0)) >= min_samples)
                        .select(F.col("qk").alias("k"), F.lit(True).alias("sparse_core")))
 
-    core = (pts.join(cells, ["cx", "cy"]).join(sparse_core, "k", "left")
+    core = (pts.join(broadcast_if_small(cells), ["cx", "cy"]).join(broadcast_if_small(sparse_core), "k", "left")
             .where((F.col("cn") >= min_samples) | F.col("sparse_core").isNotNull())
             .select("k", "x", "y", "sx", "sy", "cx", "cy"))
     core = _keep(core)
@@ -219,14 +223,27 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
     sp = _cut(sp.withColumn("mind2", smin).withColumn("maxd2", smax).where(F.col("mind2") <= eps2)
                       .select(*key4, "asx", "asy", "bsx", "bsy", "maxd2"))
     sub_sure = sp.where(F.col("maxd2") <= eps2).select(*key4).distinct()
-    left = sp.where(F.col("maxd2") > eps2).select(*key4, "asx", "asy", "bsx", "bsy") \
-        .join(sub_sure.select(*key4, F.lit(True).alias("done")), key4, "left").where(F.col("done").isNull())
-    pa = core.select(F.col("sx").alias("asx"), F.col("sy").alias("asy"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    pb = core.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    point_sure = (left.join(pa, ["asx", "asy"]).join(pb, ["bsx", "bsy"])
-                  .where((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= eps2)
-                  .select(*key4).distinct())
-    edges = _cut(sure.unionByName(sub_sure).unionByName(point_sure).distinct())
+    left = _cut(sp.where(F.col("maxd2") > eps2).select(*key4, "asx", "asy", "bsx", "bsy")
+                .join(sub_sure.select(*key4, F.lit(True).alias("done")), key4, "left").where(F.col("done").isNull())
+                .drop("done"))
+    edges = sure.unionByName(sub_sure)
+    if not left.isEmpty():
+        # Rare: cell pairs that only boxes could not decide.  Each side keeps the
+        # points within eps of the other sub-cell's box before the pair check.
+        bbox = csubs.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), F.col("minx").alias("bminx"),
+                            F.col("maxx").alias("bmaxx"), F.col("miny").alias("bminy"), F.col("maxy").alias("bmaxy"))
+        pa = core.select(F.col("sx").alias("asx"), F.col("sy").alias("asy"), F.col("x").alias("ax"),
+                         F.col("y").alias("ay"))
+        pb = core.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), F.col("x").alias("bx"),
+                         F.col("y").alias("by"))
+        near_a, _ = _box_dist2(F.col("ax"), F.col("ay"), F.col("bminx"), F.col("bmaxx"), F.col("bminy"), F.col("bmaxy"))
+        cand_a = _cut(pa.join(broadcast_if_small(left.join(bbox, ["bsx", "bsy"])), ["asx", "asy"])
+                      .where(near_a <= eps2).select(*key4, "bsx", "bsy", "ax", "ay").distinct())
+        point_sure = (pb.join(broadcast_if_small(cand_a), ["bsx", "bsy"])
+                      .where((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= eps2)
+                      .select(*key4).distinct())
+        edges = edges.unionByName(point_sure)
+    edges = _cut(edges.distinct())
 
     # 4. components → cluster numbers by first core point.
     comp = _components(ccells.select("cx", "cy", F.col("first_k").alias("label")), edges)
@@ -241,11 +258,13 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
     border = _cut(_near_cells(non_core, zsubs, core, eps2, include_self=True, extra_sub_cols=("zone_no",))
               .where(F.col("hit") > 0).groupBy("qk").agg(F.min("zone_no").alias("border_zone")))
 
-    labelled = (p.join(cell_zone.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "zone_no"),
+    small = lambda d: broadcast_if_small(d)
+    labelled = (p.join(small(cell_zone.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "zone_no")),
                        ["__cx", "__cy"], "left")
-                 .join(sparse_core.select(F.col("k").alias(order_col), "sparse_core"), order_col, "left")
-                 .join(cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "cn"), ["__cx", "__cy"], "left")
-                 .join(border.select(F.col("qk").alias(order_col), "border_zone"), order_col, "left"))
+                 .join(small(sparse_core.select(F.col("k").alias(order_col), "sparse_core")), order_col, "left")
+                 .join(small(cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "cn")),
+                       ["__cx", "__cy"], "left")
+                 .join(small(border.select(F.col("qk").alias(order_col), "border_zone")), order_col, "left"))
     is_core = (F.col("cn") >= min_samples) | F.col("sparse_core").isNotNull()
     zone = F.when(is_core, F.col("zone_no")).otherwise(F.coalesce(F.col("border_zone"), F.lit(NOISE)))
     return labelled.withColumn(out, zone.cast("int")).drop(

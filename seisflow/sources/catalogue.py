@@ -79,10 +79,10 @@ def write_catalogue_parquet(df: DataFrame, path: str, partition_by: str | None =
     """Overwrite Parquet; events are partitioned by ``date`` so day ranges prune files."""
     w = df.write.mode(mode)
     if partition_by:
-        # Cluster each output task's rows by the partition value so every task
-        # writes few files instead of one per (task, date).
-        df = df.repartition(partition_by)
-        w = df.write.mode(mode).partitionBy(partition_by)
+        # Group rows of one partition value into few tasks so each writes few
+        # files; ``rebalance`` (unlike ``repartition``) lets AQE split a crowded
+        # day across tasks and merge sparse ones.
+        w = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
     w.parquet(path)
 
 

@@ -7,9 +7,9 @@ from seisflow.operators.zones import active_zones, dbscan, zone_stats
 from seisflow.sources.fixture import load_catalogue
 
 
-def _compare(spark, pdf, eps, min_samples, partitions=4):
+def _compare(spark, pdf, eps, min_samples, partitions=4, sub=8):
     df = spark.createDataFrame(pdf).repartition(partitions)
-    out = dbscan(df, "x", "y", "k", eps=eps, min_samples=min_samples).select("k", "zone").toPandas()
+    out = dbscan(df, "x", "y", "k", eps=eps, min_samples=min_samples, sub=sub).select("k", "zone").toPandas()
     got = out.set_index("k").loc[pdf.k, "zone"].to_numpy()
     ref, _ = dbscan_sequential(pdf[["x", "y"]].to_numpy(), eps, min_samples)
     return got, ref
@@ -36,6 +36,16 @@ def test_dbscan_matches_brute_force(spark, eps, parts):
     assert (got == ref).all()
 
 
+@pytest.mark.parametrize("sub", [1, 2])
+def test_point_level_edge_checks(spark, sub):
+    # Coarse sub-cells leave many cell pairs undecided by boxes, exercising the point-pair path.
+    cat = load_catalogue(spark, "/root/testdata/sf0.001").where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    pdf = cat.select(F.col("event_id").alias("k"), F.col("latitude").alias("x"), F.col("longitude").alias("y")) \
+        .orderBy("k").toPandas()
+    got, ref = _compare(spark, pdf, eps=2.0, min_samples=4, sub=sub)
+    assert (got == ref).all()
+
+
 def test_duplicates_and_dense_cells(spark):
     import pandas as pd
     rng = np.random.default_rng(7)

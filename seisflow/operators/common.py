@@ -15,5 +15,27 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     count is cheap.  Above the limit the join stays a shuffled join, which AQE
     may still convert at runtime or split when skewed.
     """
-    n = df.limit(limit + 1).count()
+    n = getattr(df, "_known_rows", None)
+    if n is None:
+        n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
+
+
+def known_rows(df: DataFrame, n: int) -> DataFrame:
+    """Remember a materialised frame's row count so size checks need no extra job."""
+    df._known_rows = int(n)
+    return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster before CPU-heavy narrow work.
+
+    A source with fewer partitions than the cluster's parallelism (one small
+    file, one row group) would run a Python-heavy stage in a handful of tasks.
+    Inputs that already have enough partitions — any large table — are left
+    untouched, so this never adds a shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

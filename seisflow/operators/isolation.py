@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from seisflow.operators.common import spread
 from seisflow.operators.features import PATTERN_FEATURES, fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 
@@ -94,44 +95,55 @@ class IsolationForestModel:
         self.sample_size = int(sample_size)
 
     def _arrays(self):
-        pdf = self.nodes.toPandas().sort_values(["tree", "node"])
-        trees = []
-        for _, t in pdf.groupby("tree"):
-            trees.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth", "size")))
-        return trees
+        """All trees stacked into flat node arrays with global child indices, plus each tree's root."""
+        pdf = self.nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+        sizes = pdf.groupby("tree").size()
+        offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy())[:-1]])
+        base = np.repeat(offsets, sizes.to_numpy())
+        left = np.where(pdf["left"].to_numpy() >= 0, pdf["left"].to_numpy() + base, -1)
+        right = np.where(pdf["right"].to_numpy() >= 0, pdf["right"].to_numpy() + base, -1)
+        leaf_h = pdf["depth"].to_numpy() + average_path(pdf["size"].to_numpy())
+        return (pdf["feature"].to_numpy(), pdf["threshold"].to_numpy(), left, right, leaf_h, offsets)
 
     def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
         """Add ``out`` = 2^(−E[h]/c(ψ)) (higher = more anomalous)."""
-        trees = self._arrays()
+        feature, thr, left, right, leaf_h, roots = self._arrays()
         feats = self.features
         norm = float(average_path([self.sample_size])[0])
+        n_trees = len(roots)
         # A new StructType: ``df.schema.add`` would mutate the frame's cached schema.
         schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType(), True)])
 
         def score_batches(batches):
             for pdf in batches:
                 X = pdf[feats].to_numpy(dtype=float)
-                total = np.zeros(len(X))
-                rows = np.arange(len(X))
-                for feature, thr, left, right, depth, size in trees:
-                    node = np.zeros(len(X), dtype=np.int64)
-                    while True:
-                        f = feature[node]
-                        inner = f >= 0
-                        if not inner.any():
-                            break
-                        go_left = X[rows, np.where(inner, f, 0)] < thr[node]
-                        node = np.where(inner, np.where(go_left, left[node], right[node]), node)
-                    total += depth[node] + average_path(size[node])
-                pdf[out] = np.power(2.0, -(total / len(trees)) / norm)
+                cols = np.arange(len(X))[None, :]
+                node = np.repeat(roots[:, None], len(X), axis=1)      # trees × rows, walked together
+                while True:
+                    f = feature[node]
+                    inner = f >= 0
+                    if not inner.any():
+                        break
+                    go_left = X[cols, np.where(inner, f, 0)] < thr[node]
+                    node = np.where(inner, np.where(go_left, left[node], right[node]), node)
+                pdf[out] = np.power(2.0, -(leaf_h[node].sum(axis=0) / n_trees) / norm)
                 yield pdf
 
-        return df.mapInPandas(score_batches, schema)
+        return spread(df).mapInPandas(score_batches, schema)
 
 
 def fit_isolation_forest(df: DataFrame, features, key: str = "id", trees: int = 100, sample_size: int = 256,
-                         seed: int = 42, n_rows: int | None = None) -> IsolationForestModel:
-    """Grow the forest from per-tree hash samples (see module notes)."""
+                         seed: int = 42, n_rows: int | None = None, oversample: float = 4.0) -> IsolationForestModel:
+    """Grow the forest from per-tree hash samples (see module notes).
+
+    Before the per-tree ranking, each tree keeps only pool rows whose tree hash
+    falls below ``oversample × sample_size / pool`` — about four times what it
+    needs — so the shuffle carries ~``4 × trees × sample_size`` rows instead of
+    ``trees × pool``.  If any tree ends up short, it is redone without the cut,
+    so every tree still gets exactly its ``sample_size`` smallest hashes.
+    """
+    from pyspark.sql import Window
+
     n = n_rows if n_rows is not None else df.count()
     psi = max(1, min(sample_size, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -139,9 +151,16 @@ def fit_isolation_forest(df: DataFrame, features, key: str = "id", trees: int =
     pool = df.where(_unit_hash(F.col(key), F.lit(seed)) < F.lit(pool_rate)).select(key, *features)
     per_tree = (pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
                 .withColumn("u", _unit_hash(F.col(key), F.lit(seed), F.col("tree"))))
-    from pyspark.sql import Window
+    cut = min(1.0, oversample * psi / max(pool_rate * n, 1.0))
+    cand = per_tree.where(F.col("u") < F.lit(cut)).persist(StorageLevel.MEMORY_AND_DISK)
+    short = [r["tree"] for r in cand.groupBy("tree").count().where(F.col("count") < psi).collect()]
+    have = cand.select("tree").distinct().count()
+    if cut < 1.0 and (short or have < trees):
+        present = {r["tree"] for r in cand.select("tree").distinct().collect()}
+        redo = sorted(set(short) | (set(range(trees)) - present))
+        cand = cand.where(~F.col("tree").isin(redo)).unionByName(per_tree.where(F.col("tree").isin(redo)))
     w = Window.partitionBy("tree").orderBy("u", key)
-    sample = per_tree.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= psi).drop("rk")
+    sample = cand.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= psi).drop("rk")
     nodes = sample.groupBy("tree").applyInPandas(_grow(list(features), max_depth, seed), NODE_SCHEMA)
     nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     return IsolationForestModel(nodes, features, psi)

@@ -36,7 +36,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from seisflow.functions.scalars import round2
-from seisflow.operators.common import broadcast_if_small
+from seisflow.operators.common import broadcast_if_small, known_rows
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import checkpoint_dir
@@ -115,9 +115,10 @@ def _cut(df: DataFrame) -> DataFrame:
     cached for the duration of the write so it is computed once.
     """
     kept = _keep(df)
-    out = kept.checkpoint()
+    n = kept.count()            # computes and caches the rows once
+    out = kept.checkpoint()     # writes them from the cache
     kept.unpersist()
-    return out
+    return known_rows(out, n)
 
 
 def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
@@ -145,11 +146,13 @@ def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -
         new = (hooked.join(owners, "hop", "left")
                .select("cx", "cy", "init", F.least("hop", F.coalesce("jump", "hop")).alias("label"),
                        (F.least("hop", F.coalesce("jump", "hop")) < F.col("label")).alias("dropped")))
-        # Persist first so the checkpoint writes the cached rows instead of
-        # recomputing them; the checkpoint cuts the plan, which otherwise
-        # doubles every round (labels feed both the hop and the jump).
-        new = _cut(new)
-        changed = new.agg(F.count_if("dropped").alias("c")).collect()[0]["c"]
+        # Counting the drops computes and caches the round; the checkpoint then
+        # writes it from the cache and cuts the plan, which otherwise doubles
+        # every round (labels feed both the hop and the jump).
+        kept = _keep(new)
+        changed = kept.agg(F.count_if("dropped").alias("c")).collect()[0]["c"]
+        new = kept.checkpoint()
+        kept.unpersist()
         labels = new.drop("dropped")
         if changed == 0:
             return labels.select("cx", "cy", "label")
@@ -180,7 +183,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
 
     # 1. cell populations; dense cells are all core.
     cells = _cut(pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("cn")))
-    subs = _cut(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
+    subs = _keep(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
 
     # 2. points in sparse cells: neighbour counts through sub-cell boxes.
     sparse = (pts.join(broadcast_if_small(cells.where(F.col("cn") < min_samples)), ["cx", "cy"])
@@ -211,7 +214,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
               .where((F.col("acx") < F.col("bcx")) | ((F.col("acx") == F.col("bcx")) & (F.col("acy") < F.col("bcy"))))
               .drop("o").join(b, ["bcx", "bcy"]))
     cmin, cmax = _boxbox_dist2(_cols(pairs, "a"), _cols(pairs, "b"))
-    pairs = _cut(pairs.withColumn("mind2", cmin).withColumn("maxd2", cmax).where(F.col("mind2") <= eps2))
+    pairs = _keep(pairs.withColumn("mind2", cmin).withColumn("maxd2", cmax).where(F.col("mind2") <= eps2))
     key4 = ["acx", "acy", "bcx", "bcy"]
     sure = pairs.where(F.col("maxd2") <= eps2).select(*key4)
     unsure = pairs.where(F.col("maxd2") > eps2).select(*key4)
@@ -220,7 +223,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
     sb = csubs.select(*[F.col(c).alias("b" + c) for c in csubs.columns])
     sp = unsure.join(sa, ["acx", "acy"]).join(sb, ["bcx", "bcy"])
     smin, smax = _boxbox_dist2(_cols(sp, "a"), _cols(sp, "b"))
-    sp = _cut(sp.withColumn("mind2", smin).withColumn("maxd2", smax).where(F.col("mind2") <= eps2)
+    sp = _keep(sp.withColumn("mind2", smin).withColumn("maxd2", smax).where(F.col("mind2") <= eps2)
                       .select(*key4, "asx", "asy", "bsx", "bsy", "maxd2"))
     sub_sure = sp.where(F.col("maxd2") <= eps2).select(*key4).distinct()
     left = _cut(sp.where(F.col("maxd2") > eps2).select(*key4, "asx", "asy", "bsx", "bsy")
@@ -243,7 +246,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
                       .where((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= eps2)
                       .select(*key4).distinct())
         edges = edges.unionByName(point_sure)
-    edges = _cut(edges.distinct())
+    edges = _keep(edges.distinct())
 
     # 4. components → cluster numbers by first core point.
     comp = _components(ccells.select("cx", "cy", F.col("first_k").alias("label")), edges)

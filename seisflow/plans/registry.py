@@ -32,8 +32,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_CATALOGUES: dict = {}
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_catalogue(spark, sf_dir)
+    """The catalogue over ``sf_dir``'s events, built once per session and folder.
+
+    A DataFrame is an immutable, lazy plan; reusing it saves re-reading the
+    Parquet footer and re-analysing the projection for every query.  No rows
+    are cached.
+    """
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _CATALOGUES:
+        _CATALOGUES[key] = load_catalogue(spark, sf_dir)
+    return _CATALOGUES[key]
 
 
 def r6(c) -> "F.Column":

@@ -23,14 +23,14 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalogue_from_events(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     c = (F.col("user_id") * 7) % 12
-    magnitude = F.when(eid % 50 == 0, F.lit(None).cast("double")).otherwise(((eid * 13) % 95) / 10.0 - 0.5)
+    magnitude = F.when(eid % 50 == 0, F.lit(None)).otherwise(((eid * 13) % 95) / 10.0 - 0.5)
     place = F.concat(((F.col("user_id") * 3) % 90).cast("string"), F.lit(" km S of "), F.col("event_type"))
-    longitude = (F.when(eid % 97 == 0, F.lit(None).cast("double"))
+    longitude = (F.when(eid % 97 == 0, F.lit(None))
                  .when(eid % 10 == 0, ((eid * 7919) % 36000) / 100.0 - 180.0)
                  .otherwise(c * 30.0 - 175.0 + ((eid * 37) % 400) / 100.0))
     latitude = (F.when(eid % 10 == 0, ((eid * 104729) % 18000) / 100.0 - 90.0)
                 .otherwise(((c * 5) % 12) * 12.0 - 65.0 + ((eid * 53) % 400) / 100.0))
-    depth = F.when(eid % 83 == 0, F.lit(None).cast("double")).otherwise(((eid * 31) % 7000) / 10.0)
+    depth = F.when(eid % 83 == 0, F.lit(None)).otherwise(((eid * 31) % 7000) / 10.0)
     time = F.col("ts").cast("timestamp")
     derived = {
         "id": F.concat(F.lit("ev"), eid.cast("string")),
@@ -46,8 +46,12 @@ def catalogue_from_events(events: DataFrame) -> DataFrame:
     }
     cols = [eid.alias("event_id")]
     for name, dtype in CATALOGUE_FIELDS:
-        expr = derived.get(name, F.lit(None))
-        cols.append(expr.cast(dtype).alias(name))
+        if name in derived:
+            cols.append(derived[name].alias(name))
+        else:
+            cols.append(F.lit(None).cast(dtype.simpleString()).alias(name))
+    # Derived columns already have the schema's types; type names (not DataType
+    # objects) keep the Python-side plan building cheap.
     return events.select(*cols)
 
 

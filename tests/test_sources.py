@@ -100,3 +100,10 @@ def test_require_rows(spark):
     with pytest.raises(EmptyInputError):
         require_rows(empty, 1)
     assert require_rows(spark.range(20), 10) is not None
+
+
+def test_fixture_catalogue_has_fixed_schema(spark):
+    from seisflow.schema import CATALOGUE_SCHEMA
+    from seisflow.sources.fixture import load_catalogue
+    cat = load_catalogue(spark, "/root/testdata/sf0.001")
+    assert [(f.name, f.dataType) for f in cat.schema.fields[1:]] == [(f.name, f.dataType) for f in CATALOGUE_SCHEMA]

@@ -94,6 +94,18 @@ class IsolationForestModel:
         self.features = list(features)
         self.sample_size = int(sample_size)
 
+    def save(self, path: str, mode: str = "overwrite") -> None:
+        """The node table as Parquet plus the features and sample size as table metadata columns."""
+        (self.nodes.withColumn("features", F.lit(",".join(self.features)))
+         .withColumn("sample_size", F.lit(self.sample_size)).write.mode(mode).parquet(path))
+
+    @classmethod
+    def load(cls, spark, path: str) -> "IsolationForestModel":
+        t = spark.read.parquet(path)
+        meta = t.select("features", "sample_size").first()
+        nodes = t.drop("features", "sample_size").persist(StorageLevel.MEMORY_AND_DISK)
+        return cls(nodes, meta["features"].split(","), meta["sample_size"])
+
     def _arrays(self):
         """All trees stacked into flat node arrays with global child indices, plus each tree's root."""
         pdf = self.nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)

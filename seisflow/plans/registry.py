@@ -48,6 +48,17 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _CATALOGUES[key]
 
 
+_FITTED: dict = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
+    """Fit a model (or run an iterative operator) once per session and folder; later queries reuse it."""
+    key = (id(spark._jsparkSession), sf_dir, name)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
 def r6(c) -> "F.Column":
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 

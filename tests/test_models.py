@@ -110,3 +110,20 @@ def test_isolation_forest_scores_outlier_highest(spark):
     scored = model.score(df).orderBy(F.desc("anomaly_score")).first()
     assert scored.id == "far" and scored.anomaly_score > 0.6
     assert isolation.average_path([256])[0] == pytest.approx(10.244770920, rel=1e-6)
+
+
+def test_models_reload_give_same_results(spark, cat, tmp_dir):
+    from pyspark.ml.clustering import KMeansModel
+    model, pred, _, _ = models.kmeans_raw(cat, k=3, seed=1)
+    models.save_model(model, tmp_dir + "/km")
+    again = KMeansModel.load(tmp_dir + "/km").transform(pred.drop("prediction"))
+    assert again.select("id", "prediction").exceptAll(pred.select("id", "prediction")).count() == 0
+
+    z = features.standardize(cat, features.PATTERN_FEATURES)[0]
+    zc = [f"{c}_z" for c in features.PATTERN_FEATURES]
+    forest = isolation.fit_isolation_forest(z, zc, key="id", trees=20)
+    forest.save(tmp_dir + "/iforest")
+    back = isolation.IsolationForestModel.load(spark, tmp_dir + "/iforest")
+    a = forest.score(z).select("id", "anomaly_score").toPandas().set_index("id").sort_index()
+    b = back.score(z).select("id", "anomaly_score").toPandas().set_index("id").sort_index()
+    assert np.allclose(a.anomaly_score, b.anomaly_score)

@@ -203,7 +203,7 @@ def _with_label(spark, sf_dir):
 
 @register("ols_by_depth", q(
     f"SELECT round(regr_slope({_LABEL}, depth), 9) AS slope, round(regr_intercept({_LABEL}, depth), 6) AS intercept, "
-    f"round(regr_r2({_LABEL}, depth), 6) AS r2, regr_count({_LABEL}, depth) AS n FROM quakes"))
+    f"round(regr_r2({_LABEL}, depth), 6) AS r2, CAST(regr_count({_LABEL}, depth) AS BIGINT) AS n FROM quakes"))
 def ols_by_depth(spark, sf_dir):
     fit = models.linear_fit(_with_label(spark, sf_dir), "label_lin", "depth")
     return fit.select(F.round("slope", 9).alias("slope"), F.round("intercept", 6).alias("intercept"),

@@ -33,13 +33,13 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from seisflow.functions.scalars import round2
 from seisflow.operators.common import broadcast_if_small, known_rows
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
-from seisflow.session import checkpoint_dir
+from seisflow.session import checkpoint_dir, scratch_path
 
 NOISE = -1
 _OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3)]
@@ -107,18 +107,22 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a small intermediate to the shared folder.
+def _cut(df: DataFrame, observe=None):
+    """Write a small intermediate as a table in the shared checkpoint folder and read it back.
 
-    The result is read back from files, so later plans start here: planning
-    stays cheap and a lost executor recomputes nothing upstream.  The frame is
-    cached for the duration of the write so it is computed once.
+    Later plans start at the written files: planning stays cheap and a lost
+    executor recomputes nothing upstream.  The row count (and any extra
+    ``observe`` metrics) is gathered during the write, so cutting costs one
+    job.  Returns the re-read frame, or (frame, metrics row) with ``observe``.
     """
-    kept = _keep(df)
-    n = kept.count()            # computes and caches the rows once
-    out = kept.checkpoint()     # writes them from the cache
-    kept.unpersist()
-    return known_rows(out, n)
+    spark = df.sparkSession
+    path = scratch_path(spark, "zones")
+    obs = Observation()
+    metrics = [F.count(F.lit(1)).alias("__rows")] + list(observe or [])
+    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    got = obs.get
+    out = known_rows(spark.read.schema(df.schema).parquet(path), got["__rows"])
+    return (out, got) if observe else out
 
 
 def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
@@ -129,8 +133,9 @@ def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -
     minimum over neighbours) and then jumps it to the current label of the
     vertex that started with it, so long chains collapse in O(log length)
     rounds instead of one round per hop.  It stops when no label drops.  Each
-    round's labels are checkpointed to the shared folder, so the plan and the
-    lineage (and any recomputation after a lost executor) stay one round long.
+    round's labels are written to the shared checkpoint folder, so the plan and
+    the lineage (and any recomputation after a lost executor) stay one round
+    long.
     """
     checkpoint_dir(vertices.sparkSession)
     labels = _cut(vertices.select("cx", "cy", F.col("label").alias("init"), "label"))
@@ -146,13 +151,11 @@ def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -
         new = (hooked.join(owners, "hop", "left")
                .select("cx", "cy", "init", F.least("hop", F.coalesce("jump", "hop")).alias("label"),
                        (F.least("hop", F.coalesce("jump", "hop")) < F.col("label")).alias("dropped")))
-        # Counting the drops computes and caches the round; the checkpoint then
-        # writes it from the cache and cuts the plan, which otherwise doubles
-        # every round (labels feed both the hop and the jump).
-        kept = _keep(new)
-        changed = kept.agg(F.count_if("dropped").alias("c")).collect()[0]["c"]
-        new = kept.checkpoint()
-        kept.unpersist()
+        # One job per round: the round is written to the shared folder (which
+        # cuts the plan — it would otherwise double every round, as labels feed
+        # both the hop and the jump) while the drops are counted.
+        new, got = _cut(new, observe=[F.count_if("dropped").alias("changed")])
+        changed = got["changed"]
         labels = new.drop("dropped")
         if changed == 0:
             return labels.select("cx", "cy", "label")
@@ -176,10 +179,11 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
     p = (base.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
              .withColumn("__sx", sx).withColumn("__sy", sy)
              .withColumn("__cx", F.floor(F.col("__sx") / F.lit(sub))).withColumn("__cy", F.floor(F.col("__sy") / F.lit(sub))))
-    p = p.persist(StorageLevel.MEMORY_AND_DISK)
-    pts = p.select(F.col(order_col).alias("k"), F.col("__x").alias("x"), F.col("__y").alias("y"),
-                   F.col("__sx").alias("sx"), F.col("__sy").alias("sy"),
-                   F.col("__cx").alias("cx"), F.col("__cy").alias("cy"))
+    # Only the narrow point frame is cached; the caller's other columns are
+    # read again (pruned to what the caller uses) when the labels are attached.
+    pts = _keep(p.select(F.col(order_col).alias("k"), F.col("__x").alias("x"), F.col("__y").alias("y"),
+                         F.col("__sx").alias("sx"), F.col("__sy").alias("sy"),
+                         F.col("__cx").alias("cx"), F.col("__cy").alias("cy")))
 
     # 1. cell populations; dense cells are all core.
     cells = _cut(pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("cn")))

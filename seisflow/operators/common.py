@@ -39,3 +39,29 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
+    """0-based position of each distinct ``col`` value in sorted order, computed in parallel.
+
+    Values are range-partitioned, numbered inside each partition, and shifted
+    by the number of values in earlier partitions (one count per partition is
+    all that reaches the driver) — unlike an unpartitioned window, which would
+    sort every value in one task.
+    """
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    values = df.select(col).distinct()
+    n_parts = max(1, min(spark.sparkContext.defaultParallelism, 200))
+    ranged = values.repartitionByRange(n_parts, col).withColumn("__pid", F.spark_partition_id())
+    ranged = ranged.persist()
+    counts = sorted((r["__pid"], r["n"]) for r in ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for pid, n in counts:
+        offsets.append((pid, total))
+        total += n
+    off = spark.createDataFrame(offsets or [(0, 0)], "__pid int, __off long")
+    w = Window.partitionBy("__pid").orderBy(col)
+    return (ranged.withColumn("__rn", F.row_number().over(w)).join(F.broadcast(off), "__pid")
+            .select(col, (F.col("__off") + F.col("__rn") - 1).cast("int").alias(out)))

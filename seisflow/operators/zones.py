@@ -36,7 +36,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from seisflow.functions.scalars import round2
-from seisflow.operators.common import broadcast_if_small, known_rows
+from seisflow.operators.common import broadcast_if_small, dense_index, known_rows
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import checkpoint_dir, scratch_path
@@ -254,8 +254,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
 
     # 4. components → cluster numbers by first core point.
     comp = _components(ccells.select("cx", "cy", F.col("first_k").alias("label")), edges)
-    firsts = comp.select("label").distinct()
-    numbered = firsts.select("label", (F.dense_rank().over(_order_window()) - 1).alias("zone_no"))
+    numbered = dense_index(comp, "label", "zone_no")
     cell_zone = _cut(comp.join(numbered, "label").select("cx", "cy", "zone_no"))
 
     # 5. border points: smallest cluster among core points within eps.
@@ -278,12 +277,6 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
         "__x", "__y", "__sx", "__sy", "__cx", "__cy", "zone_no", "sparse_core", "cn", "border_zone")
 
 
-def _order_window():
-    from pyspark.sql import Window
-    # One row per cluster: the frame is as small as the number of clusters.
-    return Window.orderBy("label")
-
-
 def active_zones(df: DataFrame, eps: float = 1.0, min_samples: int = 3, order_col: str = "id") -> DataFrame:
     """Z-score latitude/longitude (population std) and label zones with DBSCAN.
 

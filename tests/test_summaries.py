@@ -95,3 +95,10 @@ def test_marker_tiles_zoom0_single_tile(spark):
     assert len(z0) == 1 and z0[0]["count"] == 2 and z0[0].max_magnitude == 5.0
     z1 = sorted((r.tile_x, r.tile_y) for r in out if r.zoom == 1)
     assert z1 == [(0, 1), (1, 0)]
+
+
+def test_dense_index(spark):
+    from seisflow.operators.common import dense_index
+    df = spark.createDataFrame([(v,) for v in [50, 7, 7, 300, -2, 50, 1000]], "v long").repartition(3)
+    got = {r["v"]: r["index"] for r in dense_index(df, "v").collect()}
+    assert got == {-2: 0, 7: 1, 50: 2, 300: 3, 1000: 4}

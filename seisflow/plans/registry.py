@@ -42,6 +42,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet footer and re-analysing the projection for every query.  No rows
     are cached.
     """
+    # Every time-of-day and calendar result is defined in UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark._jsparkSession), sf_dir)
     if key not in _CATALOGUES:
         _CATALOGUES[key] = load_catalogue(spark, sf_dir)

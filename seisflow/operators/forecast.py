@@ -12,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from seisflow.functions.scalars import cap, clamp_points, confidence_label, linspace
+from seisflow.operators.common import spread
 from seisflow.operators.filters import drop_incomplete
 from seisflow.operators.models import forest_pipeline
 from seisflow.operators.zones import active_zones, zone_stats
@@ -61,7 +62,7 @@ def fit_forecast_model(df: DataFrame, trees: int = 100, max_depth: int = 10, see
     a tree's splits — it is monotone per feature — so the forest is fitted on
     the raw values.
     """
-    clean = drop_incomplete(df, FORECAST_FEATURES + ["magnitude"]).persist(StorageLevel.MEMORY_AND_DISK)
+    clean = spread(drop_incomplete(df, FORECAST_FEATURES + ["magnitude"])).persist(StorageLevel.MEMORY_AND_DISK)
     model = forest_pipeline(FORECAST_FEATURES, trees=trees, max_depth=max_depth, seed=seed).fit(clean)
     mean_depth = clean.agg(F.avg("depth").alias("d")).first()["d"]
     return model, mean_depth

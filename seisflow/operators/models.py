@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
+from seisflow.operators.common import spread
 from seisflow.operators.features import (CLUSTER_FEATURES, LOCATION_FEATURES, PATTERN_FEATURES,
                                          fit_standardizer, hash_split, prepare_features)
 from seisflow.operators.filters import drop_incomplete
@@ -60,7 +61,9 @@ def _stable(df: DataFrame, key: str = "id", partitions: int | None = None, enabl
     runs at different partition counts switch it on.
     """
     if not enabled:
-        return df
+        # Iterative fits rescan their input every round: give an under-partitioned
+        # source (one small file) the cluster's parallelism; large inputs are untouched.
+        return spread(df)
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
@@ -154,7 +157,7 @@ def elastic_net(df: DataFrame, label: str = "magnitude", features=LOCATION_FEATU
     Returns (pipeline model, test predictions, metrics frame with train and test rows).
     """
     clean = drop_incomplete(df, list(features) + [label])
-    split = hash_split(clean, "id", train_percent, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    split = spread(hash_split(clean, "id", train_percent, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),

@@ -186,8 +186,10 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
                          F.col("__cx").alias("cx"), F.col("__cy").alias("cy")))
 
     # 1. cell populations; dense cells are all core.
-    cells = _cut(pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("cn")))
-    subs = _keep(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
+    # One pass over the points builds the sub-cell summaries; cell populations
+    # are summed from those (at most sub² rows per cell), not from the points.
+    subs = _cut(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
+    cells = _cut(subs.groupBy("cx", "cy").agg(F.sum("n").alias("cn")))
 
     # 2. points in sparse cells: neighbour counts through sub-cell boxes.
     sparse = (pts.join(broadcast_if_small(cells.where(F.col("cn") < min_samples)), ["cx", "cy"])

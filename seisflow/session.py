@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark)
-    if "://" not in base and not base.startswith("/"):
+    # Spark reports the folder as a URI ("file:/tmp/…", "hdfs://…"); only a bare
+    # relative path is made absolute, never a URI.
+    if not urlparse(base).scheme and not base.startswith("/"):
         base = os.path.abspath(base)
     return f"{base.rstrip('/')}/seisflow-{name}-{uuid.uuid4().hex[:12]}"

@@ -3,11 +3,20 @@
 import io
 from contextlib import redirect_stdout
 
+import pytest
+
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def uncached(spark):
+    # Other test modules persist frames with the same plan; the cache manager
+    # would then show an in-memory scan instead of the Parquet scan.
+    spark.catalog.clearCache()
+
+
 def _plan(df) -> str:
     buf = io.StringIO()
     with redirect_stdout(buf):

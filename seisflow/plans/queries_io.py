@@ -158,3 +158,14 @@ def stream_daily(spark, sf_dir):
 
 
 _ = AS_OF
+
+
+@register("stream_hourly", q(
+    "SELECT date_trunc('hour', time) AS window_start, date_trunc('hour', time) + INTERVAL 1 HOUR AS window_end, "
+    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes "
+    "GROUP BY 1, 2 HAVING date_trunc('hour', time) + INTERVAL 1 HOUR <= "
+    "(SELECT max(time) FROM quakes) - INTERVAL 1 HOUR"))
+def stream_hourly(spark, sf_dir):
+    # I3 with hourly tumbling windows: a window is emitted once the watermark passes its end.
+    out = _run(spark, ingest.daily_counts_stream(ingest.event_stream(spark, sf_dir), size="1 hour"), "hourly")
+    return round_cols(out, ["avg_magnitude"])

@@ -57,7 +57,7 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each word)."""
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        ids = [e.ids for at in range(0, len(words), 4096) for e in self.tokenizer.encode_batch(words[at:at + 4096], add_special_tokens=False)]
         return np.array([i for x in ids for i in x], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def pieces(self) -> pa.Array:

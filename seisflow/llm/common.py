@@ -14,7 +14,7 @@ from seisflow.session import scratch_path
 #: Text handled at once inside a Python task; numpy temporaries are a small multiple of it.
 SLICE_BYTES = 4 << 20
 #: Rows and bytes of one Arrow batch between the JVM and Python.
-BATCH_ROWS, BATCH_BYTES = 2000, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisflow.llm import bpe, secrets
+from seisflow.llm import bpe, langid, lzprint, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,21 @@ def op3_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register("op4_lz_fingerprints")
+def op4_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lzprint.compare_with_successor(table(spark, sf_dir, "documents"))
+
+
 @register("op5_secret_scan")
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
+@register("op9_language_mixture")
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_predictions(table(spark, sf_dir, "documents"))
+
+
+@register("op10_toxicity_nnpu")
+def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -17,9 +17,9 @@ SLICE_BYTES = 4 << 20
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound Arrow batches in rows and bytes, so very long texts cannot pile up in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

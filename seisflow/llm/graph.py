@@ -1,0 +1,29 @@
+"""Connected components of an edge table, by smallest node, as Spark jobs over written tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from seisflow.llm.common import written
+
+
+def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """(node, root): the smallest node reachable, for every node of ``edges`` (a, b).
+
+    Each round takes the smallest label among a node's neighbours (a hash aggregate with map-side
+    partials, so a node with very many neighbours stays cheap), then follows the label's own label.
+    Each round is written to the shared folder; only a count of changes reaches the driver.
+    """
+    both = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
+    both = written(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
+    for _ in range(max_rounds):
+        near = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
+                .agg(F.min("root").alias("near")))
+        lowered = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("low"))
+        up = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
+        moved = written(lowered.join(up, "low", "left").select("node", "old", F.least("low", "far").alias("root")), "labels")
+        labels = moved.select("node", "root")
+        if moved.where("root <> old").limit(1).count() == 0:
+            return labels
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

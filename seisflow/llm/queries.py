@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisflow.llm import bpe, langid, lzprint, secrets, toxicity
+from seisflow.llm import bpe, chat, langid, licenses, lzprint, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register("op1_license_scan", licenses.oracle())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_rows(table(spark, sf_dir, "documents"))
+
+
 @register("op3_bpe_tokens")
 def op3_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -47,6 +52,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
+@register("op6_simhash_near_duplicates")
+def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@register("op8_chat_windows", chat.oracle())
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digests(table(spark, sf_dir, "conversations"))
+
+
 @register("op9_language_mixture")
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_predictions(table(spark, sf_dir, "documents"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,18 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside remove their shuffle files when they end, and not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut of the lineage that survives lost executors.
 
@@ -30,13 +43,8 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
+    with shuffles_freed(spark):
         df.write.option("compression", compression).parquet(path)
-    finally:
-        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

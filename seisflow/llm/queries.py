@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisflow.llm import bpe, chat, decontaminate, langid, licenses, lzprint, secrets, simhash, toxicity
+from seisflow.llm import bpe, chat, decontaminate, langid, licenses, lzprint, secrets, simhash, suffixdedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,6 +62,11 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+@register("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @register("op8_chat_windows", chat.oracle())
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(table(spark, sf_dir, "conversations"))

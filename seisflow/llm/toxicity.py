@@ -33,6 +33,8 @@ MAX_POSITIVES, MAX_UNLABELLED = 4000, 12000
 CANDIDATES, FEATURES = 20000, 256
 #: A feature is kept if at least this share of the documents that have it is estimated to be toxic (π P(f | P) / P(f | U)).
 LEAST_SHARE = 0.25
+#: And if the positives hold it so many standard deviations more often than all documents do.
+LEAST_EXCESS = 4.0
 OPENINGS = (3, 4, 5, 6)
 RATE = 40
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -121,9 +123,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
     in_u = {bytes(r["feature"]): r["n"] for r in _count(docs, set(in_p)).collect()}
     n_p, n_u = max(1, p_ids.count()), max(1, docs.count())
-    names = sorted(in_p)
+    # An opening says no more than a longer feature that nearly all its positives hold.
+    vague = {f[:k] for f, n in in_p.items() for k in OPENINGS if k < len(f) and n >= 0.9 * in_p.get(f[:k], n + 1e9)}
+    names = sorted(in_p.keys() - vague)
     a, b = np.array([in_p[f] / n_p for f in names]), np.array([in_u.get(f, 0) / n_u for f in names])
-    strength = np.where(prior * a >= LEAST_SHARE * b, (a - b) / np.sqrt((b * (1 - b)).clip(0) + 1.0 / n_p), -1.0)
+    excess = n_p * (a - b) / np.sqrt(n_p * b + 1)
+    strength = np.where((prior * a >= LEAST_SHARE * b) & (excess >= LEAST_EXCESS), (a - b) / np.sqrt((b * (1 - b)).clip(0) + 1.0 / n_p), -1.0)
     names = [names[i] for i in np.argsort(-strength, kind="stable")[:FEATURES] if strength[i] > 0]
     number = {f: i for i, f in enumerate(names)}
 

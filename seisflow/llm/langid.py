@@ -109,7 +109,7 @@ def proportions(doc: np.ndarray, bucket: np.ndarray, n_docs: int, model: Model,
     cells = np.bincount(doc * BUCKETS + bucket, minlength=n_docs * BUCKETS)
     at = np.flatnonzero(cells)
     out = np.zeros((n_docs, len(model.languages)))
-    if not len(at):
+    if not len(at) or not model.languages:
         return out
     d, g, c = at // BUCKETS, at % BUCKETS, cells[at].astype(np.float64)
     starts = np.flatnonzero(np.diff(d, prepend=-1))

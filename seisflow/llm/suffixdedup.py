@@ -24,6 +24,8 @@ come out as often as they went in; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -33,6 +35,8 @@ from seisflow.llm.common import bound_batches, byte_view, mix64, ragged_take, sh
 LENGTH, GRAM = 50, 16
 #: Bits of the map of shared anchor hashes that ships to the tasks (32 MB).
 MAP_BITS = 1 << 28
+#: The map is gathered in blocks of so many bits.
+BLOCK_BITS = 1 << 20
 #: Bytes to which the multikey sort goes before blind tries take over.
 SHALLOW = 32
 #: Anchors handled at once in a task.
@@ -230,14 +234,24 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
                 yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(ids[first]), pa.array(ids[last])], names=["h", "lo", "hi"])
 
     held = docs.select("doc", "text").mapInArrow(hashes, "h long, lo long, hi long").groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    bit = held.where("lo < hi").select(F.pmod("h", F.lit(map_bits)).alias("bit"))
-    marked = bit.groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    def blocks(batches):
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bit = np.asarray(batch.column(1))
+            for k in np.unique(bit // BLOCK_BITS).tolist():
+                own = bit[bit // BLOCK_BITS == k] % BLOCK_BITS
+                maps.setdefault(k, np.zeros(BLOCK_BITS, np.uint8))[own] = 1
+        for k, m in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zlib.compress(np.packbits(m, bitorder="little").tobytes(), 1)], pa.binary())], names=["block", "bits"])
+
+    bit = F.pmod("h", F.lit(map_bits))
+    dealt = held.where("lo < hi").select((bit / BLOCK_BITS).cast("long").alias("block"), bit.alias("bit")).repartition("block")
+    marks = np.zeros(-(-map_bits // BLOCK_BITS) * BLOCK_BITS // 8, np.uint8)
     with shuffles_freed(spark):
-        found = marked.toPandas()  # at most map_bits / 64 rows
-    words = np.zeros(max(1, map_bits // 64), np.int64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(words)
-    del found
+        for r in dealt.mapInArrow(blocks, "block long, bits binary").collect():  # at most map_bits in all
+            part = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+            marks[r["block"] * (BLOCK_BITS // 8):][:len(part)] |= part
+    shared = spark.sparkContext.broadcast(marks)
 
     def contexts(batches):
         for batch in batches:
@@ -245,7 +259,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
                 data, offsets = byte_view(part.column(2))
                 at, h = anchors(data, offsets, length, gram)
                 place = (h.view(np.int64) % map_bits)
-                keep = (shared.value[place >> 6] >> (place & 63)) & 1 == 1
+                keep = (shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                 at, h = at[keep], h[keep]
                 row = np.searchsorted(offsets, at, side="right") - 1
                 a, b = np.maximum(offsets[row], at - reach), np.minimum(offsets[row + 1], at + length)

@@ -32,6 +32,8 @@ from seisflow.llm.graph import components
 SHINGLE, MAX_BITS = 3, 3
 #: Pairs of one anchor that are compared in bulk; larger groups are searched from home to home.
 BULK = 4096
+#: Fingerprints with more than this share of all rows (one in so many) are joined by broadcast.
+HOT = 1000
 
 
 def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
@@ -154,12 +156,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint in ``prints`` (doc_id, fp): the smallest doc_id reachable."""
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
+    """(fp, n, component_id) of every distinct fingerprint in ``prints`` (doc_id, fp): its rows, the smallest doc_id reachable."""
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "prints")
     linked = components(written(links(distinct, max_bits), "links")).withColumnRenamed("node", "fp")
     smallest = distinct.join(linked, "fp").groupBy("root").agg(F.min("first").alias("smallest"))
     return (distinct.join(linked.join(smallest, "root"), "fp", "left")
-            .select("fp", F.coalesce("smallest", "first").alias("component_id")))
+            .select("fp", "n", F.coalesce("smallest", "first").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -167,7 +169,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component_id): one row per row of ``docs``."""
     prints = fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "text", "fp", shingle)
     prints = written(prints.select("doc_id", "fp"), "simhash")
-    found = prints.join(classes(prints, max_bits), "fp").select("doc_id", "fp", "component_id")
+    of = written(classes(prints, max_bits), "classes")
+    # Fewer than HOT fingerprints can hold more than 1 / HOT of all rows each; their rows stay where they are.
+    total = of.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = F.broadcast(of.where(F.col("n") * HOT > total).select("fp", "component_id"))
+    others = prints.join(hot, "fp", "left_anti").join(of.select("fp", "component_id"), "fp")
+    found = prints.join(hot, "fp").unionByName(others).select("doc_id", "fp", "component_id")
     return found.withColumnRenamed("doc_id", id_col)
 
 

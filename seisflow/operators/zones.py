@@ -5,6 +5,8 @@ whole standard deviation most pairs are neighbours.  Following the exact grid
 formulation of DBSCAN (Gunawan 2013; Gan & Tao 2015), the work is done on
 cells instead of pairs:
 
+Rows at one place count as one point with a weight (step 0).  Then:
+
 1. Cells of side ``eps/√2``: any two points in one cell are neighbours, so a
    cell holding ``min_samples`` points is all core, with no pair work.
 2. Points of sparser cells count neighbours in the 5×5 surrounding cells.  Each
@@ -32,11 +34,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from seisflow.functions.scalars import round2
-from seisflow.operators.common import broadcast_if_small, dense_index, known_rows
+from seisflow.operators.common import bounded_by, broadcast_if_small, dense_index, known_rows
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import checkpoint_dir, scratch_path
@@ -68,43 +69,35 @@ def _boxbox_dist2(a, b):
     return dx * dx + dy * dy, fx * fx + fy * fy
 
 
-def _box_aggs(prefix: str = ""):
-    return [F.count(F.lit(1)).alias(f"{prefix}n"), F.min("x").alias(f"{prefix}minx"),
-            F.max("x").alias(f"{prefix}maxx"), F.min("y").alias(f"{prefix}miny"), F.max("y").alias(f"{prefix}maxy")]
+def _box_aggs():
+    return [F.sum("n").alias("n"), F.min("x").alias("minx"), F.max("x").alias("maxx"), F.min("y").alias("miny"),
+            F.max("y").alias("maxy")]
 
 
-def _cols(df: DataFrame, prefix: str):
+def _cols(prefix: str):
     return {k: F.col(f"{prefix}{k}") for k in ("minx", "maxx", "miny", "maxy")}
 
 
-def _near_cells(queries: DataFrame, subs: DataFrame, pts: DataFrame, eps2: float, include_self: bool,
-                extra_sub_cols=()) -> DataFrame:
-    """For query points (qk, qx, qy, qcx, qcy): every sub-cell in the surrounding cells, classified.
+def _near(queries: DataFrame, subs: DataFrame, pts: DataFrame, eps2: float, extra=()) -> DataFrame:
+    """For query points (qx, qy, qcx, qcy): (qx, qy, <extra sub-cell columns>, hit) of the sub-cells around them.
 
-    Returns rows (qk, <extra sub columns>, n, hit) where ``hit`` is the number
-    of that sub-cell's points within eps of the query point: the whole count
-    when the sub-cell box is within eps, otherwise counted point by point.
+    ``hit`` counts rows within eps of the query point: a sub-cell's whole count
+    when its box is within eps, otherwise its points one by one.
     """
-    req = queries.select("qk", "qx", "qy", "qcx", "qcy", _offsets(include_self).alias("o")) \
-        .select("qk", "qx", "qy", (F.col("qcx") + F.col("o.dx")).alias("cx"), (F.col("qcy") + F.col("o.dy")).alias("cy"))
+    req = queries.select("qx", "qy", "qcx", "qcy", _offsets(True).alias("o")) \
+        .select("qx", "qy", (F.col("qcx") + F.col("o.dx")).alias("cx"), (F.col("qcy") + F.col("o.dy")).alias("cy"))
     j = req.join(subs, ["cx", "cy"])
     mind2, maxd2 = _box_dist2(F.col("qx"), F.col("qy"), F.col("minx"), F.col("maxx"), F.col("miny"), F.col("maxy"))
-    j = j.withColumn("mind2", mind2).withColumn("maxd2", maxd2).where(F.col("mind2") <= eps2)
-    keep = ["qk", "sx", "sy", *extra_sub_cols]
+    j = j.withColumn("maxd2", maxd2).where(mind2 <= eps2)
+    keep = ["qx", "qy", *extra]
     full = j.where(F.col("maxd2") <= eps2).select(*keep, F.col("n").alias("hit"))
-    partial = _cut(j.where(F.col("maxd2") > eps2).select("qk", "qx", "qy", "sx", "sy", *extra_sub_cols))
+    partial = _cut(j.where(F.col("maxd2") > eps2).select(*keep, "sx", "sy"))
     d2 = (F.col("x") - F.col("qx")) ** 2 + (F.col("y") - F.col("qy")) ** 2
-    # The requests are few (sparse points × nearby sub-cells); broadcasting them
-    # lets every partition of the points join locally, so a crowded sub-cell
-    # never lands in one task.
-    checked = (pts.select("sx", "sy", "x", "y").join(broadcast_if_small(partial), ["sx", "sy"])
-               .where(d2 <= eps2).groupBy(*keep).agg(F.count(F.lit(1)).alias("hit")))
-    return full.unionByName(checked)
-
-
-def _keep(df: DataFrame) -> DataFrame:
-    """Cache a frame that several later jobs read (computed on first use)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    # Where the requests are few, broadcasting them lets every partition of the points join locally, so a crowded
+    # sub-cell never lands in one task.
+    checked = (pts.select("sx", "sy", "x", "y", "n").join(broadcast_if_small(partial), ["sx", "sy"])
+               .where(d2 <= eps2).select(*keep, F.col("n").alias("hit")))
+    return full.unionByName(checked).groupBy(*keep).agg(F.sum("hit").alias("hit"))
 
 
 def _cut(df: DataFrame, observe=None):
@@ -142,7 +135,7 @@ def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -
     both = _cut(edges.select("acx", "acy", "bcx", "bcy").unionByName(
         edges.select(F.col("bcx").alias("acx"), F.col("bcy").alias("acy"),
                      F.col("acx").alias("bcx"), F.col("acy").alias("bcy"))))
-    for i in range(1, max_iter + 1):
+    for _ in range(max_iter):
         pushed = (both.join(labels.select(F.col("cx").alias("acx"), F.col("cy").alias("acy"), "label"), ["acx", "acy"])
                   .groupBy(F.col("bcx").alias("cx"), F.col("bcy").alias("cy")).agg(F.min("label").alias("nb")))
         hooked = (labels.join(pushed, ["cx", "cy"], "left")
@@ -166,117 +159,93 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
            sub: int = 8, out: str = "zone") -> DataFrame:
     """Label every row of ``df`` (non-null x, y) with a cluster number or -1 (noise).
 
-    ``order_col`` must be unique and orderable; it decides cluster numbering.
-    ``min_samples`` counts the point itself.  Distances are Euclidean and a
-    neighbour at exactly ``eps`` counts.
+    Rows at one place are one point with a count, so copies and repeated ids cost nothing and keep their rows.
+    ``order_col`` must be orderable; clusters are numbered by their smallest key among core points (then by cell).
+    ``min_samples`` counts the row itself.  Distances are Euclidean and a
+    neighbour at exactly ``eps`` counts.  An empty frame gives an empty frame.
     """
     eps2 = float(eps) * float(eps)
     side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     r = side / sub
     checkpoint_dir(df.sparkSession)
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    sx, sy = F.floor(F.col(x) / F.lit(r)), F.floor(F.col(y) / F.lit(r))
     p = (base.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
-             .withColumn("__sx", sx).withColumn("__sy", sy)
-             .withColumn("__cx", F.floor(F.col("__sx") / F.lit(sub))).withColumn("__cy", F.floor(F.col("__sy") / F.lit(sub))))
-    # Only the narrow point frame is cached; the caller's other columns are
-    # read again (pruned to what the caller uses) when the labels are attached.
-    pts = _keep(p.select(F.col(order_col).alias("k"), F.col("__x").alias("x"), F.col("__y").alias("y"),
-                         F.col("__sx").alias("sx"), F.col("__sy").alias("sy"),
-                         F.col("__cx").alias("cx"), F.col("__cy").alias("cy")))
-
-    # 1. cell populations; dense cells are all core.
-    # One pass over the points builds the sub-cell summaries; cell populations
-    # are summed from those (at most sub² rows per cell), not from the points.
+             .withColumn("__cx", F.floor(F.floor(F.col(x) / F.lit(r)) / F.lit(sub)))
+             .withColumn("__cy", F.floor(F.floor(F.col(y) / F.lit(r)) / F.lit(sub))))
+    places = p.groupBy(F.col("__x").alias("x"), F.col("__y").alias("y")).agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("k"))
+    places = (places.withColumn("sx", F.floor(F.col("x") / F.lit(r))).withColumn("sy", F.floor(F.col("y") / F.lit(r)))
+              .withColumn("cx", F.floor(F.col("sx") / F.lit(sub))).withColumn("cy", F.floor(F.col("sy") / F.lit(sub))))
+    pts = _cut(places)
+
+    # 1. cell populations, summed from the sub-cells; dense cells are all core.
     subs = _cut(pts.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
-    cells = _cut(subs.groupBy("cx", "cy").agg(F.sum("n").alias("cn")))
-
-    # 2. points in sparse cells: neighbour counts through sub-cell boxes.
-    sparse = (pts.join(broadcast_if_small(cells.where(F.col("cn") < min_samples)), ["cx", "cy"])
-              .select(F.col("k").alias("qk"), F.col("x").alias("qx"), F.col("y").alias("qy"),
-                      F.col("cx").alias("qcx"), F.col("cy").alias("qcy"), "cn"))
-    sparse = _cut(sparse)
-    near = _near_cells(sparse, subs, pts, eps2, include_self=False)
-    counts = near.groupBy("qk").agg(F.sum("hit").alias("others"))
-    sparse_core = _cut(sparse.join(counts, "qk", "left")
-                       .where(F.col("cn") + F.coalesce(F.col("others"), F.lit(0)) >= min_samples)
-                       .select(F.col("qk").alias("k"), F.lit(True).alias("sparse_core")))
-
-    core = (pts.join(broadcast_if_small(cells), ["cx", "cy"]).join(broadcast_if_small(sparse_core), "k", "left")
-            .where((F.col("cn") >= min_samples) | F.col("sparse_core").isNotNull())
-            .select("k", "x", "y", "sx", "sy", "cx", "cy"))
-    core = _keep(core)
-    csubs = _cut(core.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs()))
-    ccells = _cut(csubs.groupBy("cx", "cy").agg(F.sum("n").alias("n"), F.min("minx").alias("minx"),
-                                                F.max("maxx").alias("maxx"), F.min("miny").alias("miny"),
-                                                F.max("maxy").alias("maxy"))
-                  .join(core.groupBy("cx", "cy").agg(F.min("k").alias("first_k")), ["cx", "cy"]))
+    cells = bounded_by(subs, subs.groupBy("cx", "cy").agg(F.sum("n").alias("cn")))
+    thin = bounded_by(subs, cells.where(F.col("cn") < min_samples).select("cx", "cy"))
+
+    # 2. points of thin cells: neighbours (themselves included) through sub-cell boxes.
+    queries = _cut(pts.join(broadcast_if_small(thin), ["cx", "cy"])
+                   .select(F.col("x").alias("qx"), F.col("y").alias("qy"), F.col("cx").alias("qcx"), F.col("cy").alias("qcy")))
+    counted = _cut(_near(queries, subs, pts, eps2).select("qx", "qy", (F.col("hit") >= min_samples).alias("is_core")))
+    thin_core = bounded_by(counted, counted.where("is_core").select(F.col("qx").alias("x"), F.col("qy").alias("y")))
+    dense = bounded_by(subs, cells.where(F.col("cn") >= min_samples).select("cx", "cy"))
+    core = _cut(pts.join(broadcast_if_small(dense), ["cx", "cy"], "left_semi")
+                .unionByName(pts.join(broadcast_if_small(thin_core), ["x", "y"], "left_semi"), allowMissingColumns=False))
+    csubs = _cut(core.groupBy("cx", "cy", "sx", "sy").agg(*_box_aggs(), F.min("k").alias("first_k")))
+    ccells = _cut(csubs.groupBy("cx", "cy").agg(F.min("minx").alias("minx"), F.max("maxx").alias("maxx"), F.min("miny").alias("miny"),
+                                                F.max("maxy").alias("maxy"), F.min("first_k").alias("first_k")))
 
     # 3. edges between core cells: cell boxes, then sub-cell boxes, then points.
-    a = ccells.select(*[F.col(c).alias("a" + c) for c in ccells.columns])
-    b = ccells.select(*[F.col(c).alias("b" + c) for c in ccells.columns])
+    box = ["cx", "cy", "minx", "maxx", "miny", "maxy"]
+    a = ccells.select(*[F.col(c).alias("a" + c) for c in box])
+    b = ccells.select(*[F.col(c).alias("b" + c) for c in box])
     pairs = (a.select("*", _offsets(False).alias("o"))
               .withColumn("bcx", F.col("acx") + F.col("o.dx")).withColumn("bcy", F.col("acy") + F.col("o.dy"))
               .where((F.col("acx") < F.col("bcx")) | ((F.col("acx") == F.col("bcx")) & (F.col("acy") < F.col("bcy"))))
               .drop("o").join(b, ["bcx", "bcy"]))
-    cmin, cmax = _boxbox_dist2(_cols(pairs, "a"), _cols(pairs, "b"))
-    pairs = _keep(pairs.withColumn("mind2", cmin).withColumn("maxd2", cmax).where(F.col("mind2") <= eps2))
+    cmin, cmax = _boxbox_dist2(_cols("a"), _cols("b"))
+    pairs = _cut(pairs.withColumn("maxd2", cmax).where(cmin <= eps2))
     key4 = ["acx", "acy", "bcx", "bcy"]
     sure = pairs.where(F.col("maxd2") <= eps2).select(*key4)
-    unsure = pairs.where(F.col("maxd2") > eps2).select(*key4)
-
-    sa = csubs.select(*[F.col(c).alias("a" + c) for c in csubs.columns])
-    sb = csubs.select(*[F.col(c).alias("b" + c) for c in csubs.columns])
-    sp = unsure.join(sa, ["acx", "acy"]).join(sb, ["bcx", "bcy"])
-    smin, smax = _boxbox_dist2(_cols(sp, "a"), _cols(sp, "b"))
-    sp = _keep(sp.withColumn("mind2", smin).withColumn("maxd2", smax).where(F.col("mind2") <= eps2)
-                      .select(*key4, "asx", "asy", "bsx", "bsy", "maxd2"))
-    sub_sure = sp.where(F.col("maxd2") <= eps2).select(*key4).distinct()
-    left = _cut(sp.where(F.col("maxd2") > eps2).select(*key4, "asx", "asy", "bsx", "bsy")
-                .join(sub_sure.select(*key4, F.lit(True).alias("done")), key4, "left").where(F.col("done").isNull())
-                .drop("done"))
-    edges = sure.unionByName(sub_sure)
-    if not left.isEmpty():
-        # Rare: cell pairs that only boxes could not decide.  Each side keeps the
-        # points within eps of the other sub-cell's box before the pair check.
-        bbox = csubs.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), F.col("minx").alias("bminx"),
-                            F.col("maxx").alias("bmaxx"), F.col("miny").alias("bminy"), F.col("maxy").alias("bmaxy"))
-        pa = core.select(F.col("sx").alias("asx"), F.col("sy").alias("asy"), F.col("x").alias("ax"),
-                         F.col("y").alias("ay"))
-        pb = core.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), F.col("x").alias("bx"),
-                         F.col("y").alias("by"))
-        near_a, _ = _box_dist2(F.col("ax"), F.col("ay"), F.col("bminx"), F.col("bmaxx"), F.col("bminy"), F.col("bmaxy"))
-        cand_a = _cut(pa.join(broadcast_if_small(left.join(bbox, ["bsx", "bsy"])), ["asx", "asy"])
-                      .where(near_a <= eps2).select(*key4, "bsx", "bsy", "ax", "ay").distinct())
-        point_sure = (pb.join(broadcast_if_small(cand_a), ["bsx", "bsy"])
-                      .where((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2 <= eps2)
-                      .select(*key4).distinct())
-        edges = edges.unionByName(point_sure)
-    edges = _keep(edges.distinct())
-
-    # 4. components → cluster numbers by first core point.
-    comp = _components(ccells.select("cx", "cy", F.col("first_k").alias("label")), edges)
-    numbered = dense_index(comp, "label", "zone_no")
-    cell_zone = _cut(comp.join(numbered, "label").select("cx", "cy", "zone_no"))
-
-    # 5. border points: smallest cluster among core points within eps.
-    non_core = (sparse.join(sparse_core.withColumnRenamed("k", "qk"), "qk", "left")
-                .where(F.col("sparse_core").isNull()).select("qk", "qx", "qy", "qcx", "qcy"))
-    zsubs = csubs.join(cell_zone, ["cx", "cy"])
-    border = _cut(_near_cells(non_core, zsubs, core, eps2, include_self=True, extra_sub_cols=("zone_no",))
-              .where(F.col("hit") > 0).groupBy("qk").agg(F.min("zone_no").alias("border_zone")))
-
-    small = lambda d: broadcast_if_small(d)
-    labelled = (p.join(small(cell_zone.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "zone_no")),
-                       ["__cx", "__cy"], "left")
-                 .join(small(sparse_core.select(F.col("k").alias(order_col), "sparse_core")), order_col, "left")
-                 .join(small(cells.select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), "cn")),
-                       ["__cx", "__cy"], "left")
-                 .join(small(border.select(F.col("qk").alias(order_col), "border_zone")), order_col, "left"))
-    is_core = (F.col("cn") >= min_samples) | F.col("sparse_core").isNotNull()
-    zone = F.when(is_core, F.col("zone_no")).otherwise(F.coalesce(F.col("border_zone"), F.lit(NOISE)))
-    return labelled.withColumn(out, zone.cast("int")).drop(
-        "__x", "__y", "__sx", "__sy", "__cx", "__cy", "zone_no", "sparse_core", "cn", "border_zone")
+    unsure = pairs.where(F.col("maxd2") > eps2)
+
+    def side_of(own: str, other: str) -> DataFrame:
+        """Sub-cells of one side that reach within eps of the other cell's box."""
+        mine = csubs.select(F.col("cx").alias(f"{own}cx"), F.col("cy").alias(f"{own}cy"), F.col("sx").alias(f"{own}sx"), F.col("sy").alias(f"{own}sy"),
+                            *[F.col(c).alias(f"s{c}") for c in box[2:]])
+        near, _ = _boxbox_dist2(_cols("s"), _cols(other))
+        met = unsure.select(*key4, *[f"{other}{c}" for c in box[2:]]).join(mine, [f"{own}cx", f"{own}cy"]).where(near <= eps2)
+        return met.select(*key4, f"{own}sx", f"{own}sy", *[F.col(f"s{c}").alias(f"{own}{c}") for c in box[2:]])
+
+    sp = side_of("a", "b").join(side_of("b", "a"), key4)
+    smin, smax = _boxbox_dist2(_cols("a"), _cols("b"))
+    sp = sp.withColumn("maxd2", smax).where(smin <= eps2)
+    # A pair of cells is settled as soon as one pair of sub-cells lies wholly within eps.
+    settled = F.min("maxd2").over(Window.partitionBy(*key4)) <= eps2
+    sp = _cut(sp.select(*key4, "asx", "asy", "bsx", "bsy", *[f"b{c}" for c in box[2:]], settled.alias("done")))
+    edges = sure.unionByName(sp.where("done").select(*key4))
+    left = bounded_by(sp, sp.where(~F.col("done")))
+    near_a, _ = _box_dist2(F.col("x"), F.col("y"), F.col("bminx"), F.col("bmaxx"), F.col("bminy"), F.col("bmaxy"))
+    # What boxes could not decide: each side keeps the points within eps of the other sub-cell's box.
+    cand = _cut(core.select(F.col("sx").alias("asx"), F.col("sy").alias("asy"), "x", "y").join(broadcast_if_small(left), ["asx", "asy"])
+                .where(near_a <= eps2).select(*key4, "bsx", "bsy", F.col("x").alias("ax"), F.col("y").alias("ay")))
+    met = core.select(F.col("sx").alias("bsx"), F.col("sy").alias("bsy"), "x", "y").join(broadcast_if_small(cand), ["bsx", "bsy"])
+    edges = edges.unionByName(met.where((F.col("ax") - F.col("x")) ** 2 + (F.col("ay") - F.col("y")) ** 2 <= eps2).select(*key4)).distinct()
+
+    # 4. components → cluster numbers by first core row.
+    comp = _components(ccells.select("cx", "cy", F.struct("first_k", "cx", "cy").alias("label")), edges)
+    cell_zone = _cut(comp.join(dense_index(comp, "label", "zone_no"), "label").select("cx", "cy", "zone_no"))
+
+    # 5. points of thin cells: core ones take their cell's number, the others the smallest among core points within eps.
+    rest = queries.join(bounded_by(counted, counted.where(~F.col("is_core"))), ["qx", "qy"])
+    zsubs = csubs.join(broadcast_if_small(cell_zone), ["cx", "cy"])
+    border = _near(rest, zsubs, core, eps2, extra=("zone_no",)).groupBy("qx", "qy").agg(F.min("zone_no").alias("zone_no"))
+    own = (queries.join(counted.where("is_core"), ["qx", "qy"])
+           .join(broadcast_if_small(bounded_by(cell_zone, cell_zone.withColumnsRenamed({"cx": "qcx", "cy": "qcy"}))), ["qcx", "qcy"]))
+    thin_zone = _cut(border.unionByName(own.select("qx", "qy", "zone_no")).select(F.col("qx").alias("__x"), F.col("qy").alias("__y"), F.col("zone_no").alias("__thin")))
+    dense_zone = _cut(cell_zone.join(broadcast_if_small(dense), ["cx", "cy"]).select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zone_no").alias("__dense")))
+    labelled = p.join(broadcast_if_small(dense_zone), ["__cx", "__cy"], "left").join(broadcast_if_small(thin_zone), ["__x", "__y"], "left")
+    zone = F.coalesce(F.col("__dense"), F.col("__thin"), F.lit(NOISE)).cast("int")
+    return labelled.select(*[F.col(f"`{c}`") for c in df.columns if c != out], zone.alias(out))
 
 
 def active_zones(df: DataFrame, eps: float = 1.0, min_samples: int = 3, order_col: str = "id") -> DataFrame:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 __all__ = [
-    "col_of", "trunc_int", "bool_int", "epoch_millis_ts", "parse_ts", "ts_text", "shift",
-    "round2", "abs_error", "clamp_points", "cap", "linspace", "confidence_label", "ci_regex",
+    "col_of", "trunc_int", "ts_text", "shift",
+    "round2", "clamp_points", "cap", "linspace", "confidence_label", "ci_regex",
     "zscore", "magnitude_class",
 ]
 
@@ -30,22 +30,6 @@ def magnitude_class(c="magnitude") -> Column:
     return trunc_int(c)
 
 
-def bool_int(c: Column) -> Column:
-    """Boolean → 0/1 integer (null stays null)."""
-    return c.cast("int")
-
-
-def epoch_millis_ts(c) -> Column:
-    """Epoch milliseconds → timestamp; 0 and null → null."""
-    return F.timestamp_millis(F.nullif(col_of(c), F.lit(0).cast("long")))
-
-
-def parse_ts(c, fmt: str | None = None) -> Column:
-    """Text → timestamp; unparseable text → null."""
-    c = col_of(c)
-    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
-
-
 def ts_text(c) -> Column:
     """Timestamp → ``yyyy-MM-dd HH:mm:ss`` text."""
     return F.date_format(col_of(c), "yyyy-MM-dd HH:mm:ss")
@@ -66,11 +50,6 @@ def round2(c, digits: int = 2) -> Column:
     return F.bround(F.round(col_of(c), 9), digits)
 
 
-def abs_error(actual, predicted) -> Column:
-    """G14."""
-    return F.abs(col_of(actual) - col_of(predicted))
-
-
 def clamp_points(count, lo: int = 5, hi: int = 15) -> Column:
     """``min(hi, max(lo, int(count / 2)))``."""
     return F.least(F.lit(hi), F.greatest(F.lit(lo), (col_of(count) / 2).cast("long").cast("int")))
@@ -107,5 +86,7 @@ def ci_regex(c, pattern: str, literal: bool = False) -> Column:
 
 def zscore(c, mean: float, std: float) -> Column:
     """(x - mean) / std with population std; a constant column maps to 0."""
+    if mean is None:  # fitted on no rows
+        return F.lit(None).cast("double")
     scale = std if std and std > 0 else 1.0
     return (col_of(c) - F.lit(float(mean))) / F.lit(float(scale))

@@ -4,41 +4,89 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows a side may have to be broadcast explicitly (a few tens of MB for the narrow frames used here).
-BROADCAST_ROW_LIMIT = 2_000_000
+# Bytes a side may have, as rows in memory, to be broadcast explicitly.
+BROADCAST_BYTES = 64 << 20
+_FIXED, _ROW = 8, 32
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; otherwise leave the join to the planner.
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after checking its size in bytes; otherwise leave the join to the planner.
 
-    Meant for materialised (cached or checkpointed) intermediates, where the
-    count is cheap.  Above the limit the join stays a shuffled join, which AQE
-    may still convert at runtime or split when skewed.
+    The size is rows × (a row's overhead and its fixed-width columns) plus the
+    measured bytes of its text.  A known row bound (``known_rows``) saves the
+    job where there is no text.  Above the limit the join stays a shuffled
+    join, which AQE may still convert at runtime or split when skewed.
     """
+    texts = [c for c, kind in df.dtypes if kind in ("string", "binary")]
+    width = _ROW + _FIXED * (len(df.columns) - len(texts))
     n = getattr(df, "_known_rows", None)
-    if n is None:
-        n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    size = n * width if n is not None else None
+    if size is None or (texts and size <= limit):
+        length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+        got = df.limit(limit // width + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("b")).first()
+        size = got["n"] * width + (got["b"] or 0)
+    return F.broadcast(df) if size <= limit else df
 
 
-def known_rows(df: DataFrame, n: int) -> DataFrame:
-    """Remember a materialised frame's row count so size checks need no extra job."""
-    df._known_rows = int(n)
+def known_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """Remember a row count, or a bound of it, so size checks need no extra job."""
+    if n is not None:
+        df._known_rows = int(n)
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an under-partitioned input over the cluster before CPU-heavy narrow work.
+def bounded_by(source: DataFrame, derived: DataFrame) -> DataFrame:
+    """``derived`` (a projection or filter of ``source``) with the row bound of ``source``."""
+    return known_rows(derived, getattr(source, "_known_rows", None))
 
-    A source with fewer partitions than the cluster's parallelism (one small
-    file, one row group) would run a Python-heavy stage in a handful of tasks.
-    Inputs that already have enough partitions — any large table — are left
-    untouched, so this never adds a shuffle at scale.
+
+# Partitions of the input of an iterative fit.  Part of the model's definition, as its seed is: Spark ML's seeded
+# sampling runs per partition.  It does not follow the cluster's cores; raise it for large inputs.
+FIT_PARTITIONS = 32
+
+
+def placed(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt by a hash of ``key`` and sorted by it, so that a seeded fit does not depend on where rows came from."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
+def order_statistic(df: DataFrame, col: str, fraction: float, bins: int = 1024, few: int = 4096):
+    """Exact ``fraction`` quantile of a numeric column, linear between the two neighbouring values; None if there are none.
+
+    One way at every size: a histogram over the remaining range (a hash
+    aggregate of at most ``bins`` rows) narrows the range to the bin that holds
+    the wanted rank, until few values are left or all are equal; those few are
+    read in order.  No task and no driver sees more.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    v = F.col(col).cast("double")
+    rest = df.select(v.alias("v")).where("v is not null and not isnan(v)")
+    got = rest.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if not got["n"]:
+        return None
+    rank = (got["n"] - 1) * fraction
+
+    def at(k: int) -> float:
+        part, n, lo, hi = rest, got["n"], got["lo"], got["hi"]
+        while n > few and lo < hi:
+            width = (hi - lo) / bins
+            # Bounds are taken from the values in each bin, so bins never overlap whatever the rounding.
+            bin_of = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
+            rows = sorted(part.groupBy(bin_of.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect(),
+                          key=lambda r: r["b"])
+            for r in rows:
+                if k < r["n"]:
+                    break
+                k -= r["n"]
+            if r["n"] == n and (r["lo"], r["hi"]) == (lo, hi):
+                break
+            n, lo, hi = r["n"], r["lo"], r["hi"]
+            part = rest.where(F.col("v").between(F.lit(lo), F.lit(hi)))
+        return lo if lo == hi else part.orderBy("v").limit(k + 1).collect()[k]["v"]
+
+    low = at(int(rank))
+    if rank == int(rank):
+        return low
+    return low + (rank - int(rank)) * (at(int(rank) + 1) - low)
 
 
 def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
@@ -54,8 +102,8 @@ def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     spark = df.sparkSession
     values = df.select(col).distinct()
     n_parts = max(1, min(spark.sparkContext.defaultParallelism, 200))
-    ranged = values.repartitionByRange(n_parts, col).withColumn("__pid", F.spark_partition_id())
-    ranged = ranged.persist()
+    # Kept until the index is read: a recomputed range partitioning could sample other bounds.
+    ranged = values.repartitionByRange(n_parts, col).withColumn("__pid", F.spark_partition_id()).persist()
     counts = sorted((r["__pid"], r["n"]) for r in ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, total = [], 0
     for pid, n in counts:

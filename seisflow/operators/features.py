@@ -37,9 +37,6 @@ class Standardizer:
             exprs[c if replace else f"{c}{suffix}"] = zscore(c, m, s)
         return df.withColumns(exprs)
 
-    def to_rows(self):
-        return [(c, m, s) for c, m, s in zip(self.columns, self.means, self.stds)]
-
 
 def fit_standardizer(df: DataFrame, cols) -> Standardizer:
     """One aggregate pass for all means and population stds (the scaler is a handful of numbers)."""
@@ -61,7 +58,9 @@ def hash_split(df: DataFrame, key: str = "id", train_percent: int = 80, seed: in
     """H8: deterministic train/test label from a hash of the key.
 
     Unlike ``randomSplit`` the assignment does not depend on partitioning or
-    row order, so a re-run (or a retried task) gives the same split.
+    row order, so a re-run (or a retried task) gives the same split.  The hash
+    (first 32 bits of the MD5 of ``key:seed``) exists in every SQL engine.
     """
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.withColumn("split", F.when(bucket < train_percent, "train").otherwise("test"))

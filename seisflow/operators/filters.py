@@ -37,8 +37,6 @@ def lookback(df: DataFrame, as_of, hours: int = 1, min_magnitude: float | None =
 
 def recent_days(df: DataFrame, as_of, days: int = 30, min_magnitude: float = 0.0) -> DataFrame:
     """The last ``days`` days before ``as_of`` at or above a minimum magnitude."""
-    if not 1 <= days <= 365:
-        raise ValueError("days must be within 1..365")
     anchor = _ts(as_of)
     return df.where((F.col("time") >= shift(anchor, days=-days)) & (F.col("time") <= anchor)
                     & (F.col("magnitude") >= F.lit(float(min_magnitude))))

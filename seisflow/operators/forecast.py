@@ -8,14 +8,14 @@ scored in one ``transform`` of the fitted model.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from seisflow.functions.scalars import cap, clamp_points, confidence_label, linspace
-from seisflow.operators.common import spread
+from seisflow.operators.common import FIT_PARTITIONS
 from seisflow.operators.filters import drop_incomplete
-from seisflow.operators.models import forest_pipeline
+from seisflow.operators.models import _fit_placed, forest_pipeline, save_model
 from seisflow.operators.zones import active_zones, zone_stats
+from seisflow.session import scratch_path
 
 ZONE_RADIUS = 0.3
 FORECAST_MIN_MAGNITUDE = 4.0
@@ -55,32 +55,39 @@ def forecast_table(scored: DataFrame, pred_col: str = "prediction", threshold: f
                       F.col("zone").cast("int").alias("zone"))
 
 
-def fit_forecast_model(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42):
+def fit_forecast_model(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, partitions: int = FIT_PARTITIONS):
     """Forest on (latitude, longitude, depth) → magnitude over complete rows.
 
     Standardising the features first (as the scaled pipeline does) cannot change
     a tree's splits — it is monotone per feature — so the forest is fitted on
     the raw values.
     """
-    clean = spread(drop_incomplete(df, FORECAST_FEATURES + ["magnitude"])).persist(StorageLevel.MEMORY_AND_DISK)
-    model = forest_pipeline(FORECAST_FEATURES, trees=trees, max_depth=max_depth, seed=seed).fit(clean)
+    clean = drop_incomplete(df, FORECAST_FEATURES + ["magnitude"]).select("id", "magnitude", *FORECAST_FEATURES)
+    pipeline = forest_pipeline(FORECAST_FEATURES, trees=trees, max_depth=max_depth, seed=seed)
+    model, _ = _fit_placed(pipeline, clean, "id", partitions)
     mean_depth = clean.agg(F.avg("depth").alias("d")).first()["d"]
     return model, mean_depth
 
 
 def predict_future(df: DataFrame, eps: float = 1.0, min_samples: int = 3, order_col: str = "id",
-                   trees: int = 100, max_depth: int = 10, seed: int = 42, depth: str = "global") -> DataFrame:
+                   trees: int = 100, max_depth: int = 10, seed: int = 42, depth: str = "global",
+                   model_path: str | None = None) -> DataFrame:
     """Zones → forest → grid → one scoring pass → forecast rows (empty when no zone).
 
     ``depth='global'`` scores every point at the mean depth of all complete
-    rows; ``depth='zone'`` uses each zone's own mean depth.
+    rows; ``depth='zone'`` uses each zone's own mean depth.  The fitted forest
+    is kept under ``model_path`` if one is given (A12).
     """
     spark = df.sparkSession
     zoned = active_zones(df, eps=eps, min_samples=min_samples, order_col=order_col)
-    zs = zone_stats(zoned).persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, "zone-stats")
+    zone_stats(zoned).write.parquet(path)
+    zs = spark.read.parquet(path)
     if zs.isEmpty():
         return spark.createDataFrame([], FORECAST_SCHEMA)
     model, mean_depth = fit_forecast_model(df, trees, max_depth, seed)
+    if model_path:
+        save_model(model, model_path)
     if depth == "zone":
         zd = (drop_incomplete(zoned, FORECAST_FEATURES + ["magnitude"]).where(F.col("zone") >= 0)
               .groupBy("zone").agg(F.avg("depth").alias("zone_depth")))

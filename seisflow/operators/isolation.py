@@ -10,26 +10,30 @@ Spark ML has no isolation forest, so it is composed from DataFrame steps:
 * **Growing.**  ``groupBy(tree).applyInPandas`` grows one tree per group from
   at most ``sample_size`` rows; the forest is a node table (tree, node, depth,
   feature, threshold, left, right, size) — at most ``trees × (2·256 − 1)`` rows.
-* **Scoring.**  The node table is shipped with the task closure and
-  ``mapInPandas`` walks all trees for a whole Arrow batch at once with numpy
-  index arrays, giving the anomaly score ``2^(−E[h(x)]/c(ψ))``.
+* **Scoring.**  The node table ships with an iterator pandas UDF over the feature
+  columns alone; it walks all trees for a whole Arrow batch at once with numpy
+  index arrays and returns the anomaly score ``2^(−E[h(x)]/c(ψ))``.
 * **Labelling.**  Rows whose negated score lies strictly below its
-  ``contamination`` quantile get -1, the rest 1.  The quantile is exact
-  (``percentile``) up to ``exact_limit`` rows and ``percentile_approx`` above.
+  ``contamination`` quantile get -1, the rest 1.  The quantile is exact at
+  every size (``common.order_statistic``), read from a written table of scores.
 """
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from seisflow.operators.common import spread
+from seisflow.functions.scalars import zscore
+from seisflow.operators.common import order_statistic
 from seisflow.operators.features import PATTERN_FEATURES, fit_standardizer
 from seisflow.operators.filters import drop_incomplete
+from seisflow.session import scratch_path
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("tree int, node int, depth int, feature int, threshold double, "
@@ -87,28 +91,27 @@ def _grow(features: list, max_depth: int, seed: int):
 
 
 class IsolationForestModel:
-    """A fitted forest: its node table (a small DataFrame) plus the sample size."""
+    """A fitted forest: its node table (at most trees × 511 rows, held on the driver) and the sample size."""
 
-    def __init__(self, nodes: DataFrame, features: list, sample_size: int):
-        self.nodes = nodes
+    def __init__(self, table: pd.DataFrame, features: list, sample_size: int):
+        self.table = table.sort_values(["tree", "node"]).reset_index(drop=True)
         self.features = list(features)
         self.sample_size = int(sample_size)
 
-    def save(self, path: str, mode: str = "overwrite") -> None:
-        """The node table as Parquet plus the features and sample size as table metadata columns."""
-        (self.nodes.withColumn("features", F.lit(",".join(self.features)))
+    def save(self, spark, path: str, mode: str = "overwrite") -> None:
+        """The node table as Parquet plus the features and sample size as columns."""
+        (spark.createDataFrame(self.table, NODE_SCHEMA).withColumn("features", F.lit(",".join(self.features)))
          .withColumn("sample_size", F.lit(self.sample_size)).write.mode(mode).parquet(path))
 
     @classmethod
     def load(cls, spark, path: str) -> "IsolationForestModel":
         t = spark.read.parquet(path)
         meta = t.select("features", "sample_size").first()
-        nodes = t.drop("features", "sample_size").persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(nodes, meta["features"].split(","), meta["sample_size"])
+        return cls(t.drop("features", "sample_size").toPandas(), meta["features"].split(","), meta["sample_size"])
 
     def _arrays(self):
         """All trees stacked into flat node arrays with global child indices, plus each tree's root."""
-        pdf = self.nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+        pdf = self.table
         sizes = pdf.groupby("tree").size()
         offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy())[:-1]])
         base = np.repeat(offsets, sizes.to_numpy())
@@ -117,31 +120,30 @@ class IsolationForestModel:
         leaf_h = pdf["depth"].to_numpy() + average_path(pdf["size"].to_numpy())
         return (pdf["feature"].to_numpy(), pdf["threshold"].to_numpy(), left, right, leaf_h, offsets)
 
-    def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
-        """Add ``out`` = 2^(−E[h]/c(ψ)) (higher = more anomalous)."""
+    def score_column(self, columns) -> "F.Column":
+        """2^(−E[h]/c(ψ)) of the given feature columns (higher = more anomalous)."""
         feature, thr, left, right, leaf_h, roots = self._arrays()
-        feats = self.features
-        norm = float(average_path([self.sample_size])[0])
-        n_trees = len(roots)
-        # A new StructType: ``df.schema.add`` would mutate the frame's cached schema.
-        schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType(), True)])
-
-        def score_batches(batches):
-            for pdf in batches:
-                X = pdf[feats].to_numpy(dtype=float)
-                cols = np.arange(len(X))[None, :]
-                node = np.repeat(roots[:, None], len(X), axis=1)      # trees × rows, walked together
+        norm, n_trees = float(average_path([self.sample_size])[0]) or 1.0, len(roots)
+
+        def walk(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for parts in batches:
+                x = np.column_stack([p.to_numpy(dtype=float) for p in parts])
+                rows = np.arange(len(x))[None, :]
+                node = np.repeat(roots[:, None], len(x), axis=1)      # trees × rows, walked together
                 while True:
                     f = feature[node]
                     inner = f >= 0
                     if not inner.any():
                         break
-                    go_left = X[cols, np.where(inner, f, 0)] < thr[node]
+                    go_left = x[rows, np.where(inner, f, 0)] < thr[node]
                     node = np.where(inner, np.where(go_left, left[node], right[node]), node)
-                pdf[out] = np.power(2.0, -(leaf_h[node].sum(axis=0) / n_trees) / norm)
-                yield pdf
+                yield pd.Series(np.power(2.0, -(leaf_h[node].sum(axis=0) / n_trees) / norm))
 
-        return spread(df).mapInPandas(score_batches, schema)
+        udf = F.pandas_udf(walk, "double")
+        return udf(*[F.col(c) if isinstance(c, str) else c for c in columns])
+
+    def score(self, df: DataFrame, out: str = "anomaly_score") -> DataFrame:
+        return df.withColumn(out, self.score_column(self.features))
 
 
 def fit_isolation_forest(df: DataFrame, features, key: str = "id", trees: int = 100, sample_size: int = 256,
@@ -164,7 +166,7 @@ def fit_isolation_forest(df: DataFrame, features, key: str = "id", trees: int =
     per_tree = (pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
                 .withColumn("u", _unit_hash(F.col(key), F.lit(seed), F.col("tree"))))
     cut = min(1.0, oversample * psi / max(pool_rate * n, 1.0))
-    cand = per_tree.where(F.col("u") < F.lit(cut)).persist(StorageLevel.MEMORY_AND_DISK)
+    cand = held = per_tree.where(F.col("u") < F.lit(cut)).persist(StorageLevel.MEMORY_AND_DISK)
     short = [r["tree"] for r in cand.groupBy("tree").count().where(F.col("count") < psi).collect()]
     have = cand.select("tree").distinct().count()
     if cut < 1.0 and (short or have < trees):
@@ -173,31 +175,49 @@ def fit_isolation_forest(df: DataFrame, features, key: str = "id", trees: int =
         cand = cand.where(~F.col("tree").isin(redo)).unionByName(per_tree.where(F.col("tree").isin(redo)))
     w = Window.partitionBy("tree").orderBy("u", key)
     sample = cand.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= psi).drop("rk")
-    nodes = sample.groupBy("tree").applyInPandas(_grow(list(features), max_depth, seed), NODE_SCHEMA)
-    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    return IsolationForestModel(nodes, features, psi)
+    # Model-sized: at most trees × (2 × sample_size − 1) rows.
+    table = sample.groupBy("tree").applyInPandas(_grow(list(features), max_depth, seed), NODE_SCHEMA).toPandas()
+    held.unpersist()
+    return IsolationForestModel(table, features, psi)
 
 
 def label_anomalies(scored: DataFrame, contamination: float = 0.1, score_col: str = "anomaly_score",
-                    out: str = "is_anomaly", exact_limit: int = 10_000_000, n_rows: int | None = None) -> DataFrame:
-    """-1 where −score is strictly below its ``contamination`` quantile, else 1."""
-    n = n_rows if n_rows is not None else scored.count()
-    neg = -F.col(score_col)
-    if n <= exact_limit:
-        q = scored.agg(F.percentile(neg, F.lit(contamination)).alias("q")).first()["q"]
-    else:
-        q = scored.agg(F.percentile_approx(neg, F.lit(contamination), F.lit(100_000)).alias("q")).first()["q"]
-    return scored.withColumn(out, F.when(neg < F.lit(q), F.lit(-1)).otherwise(F.lit(1)))
+                    out: str = "is_anomaly", scores: DataFrame | None = None) -> DataFrame:
+    """-1 where −score is strictly below its exact ``contamination`` quantile, else 1.
+
+    ``scores``: a table that already holds ``score_col`` of the same rows, so that the quantile's passes need not
+    score again.
+    """
+    table = (scored if scores is None else scores).select((-F.col(score_col)).alias("neg"))
+    q = order_statistic(table, "neg", contamination)
+    low = F.lit(False) if q is None else -F.col(score_col) < F.lit(q)
+    return scored.withColumn(out, F.when(low, F.lit(-1)).otherwise(F.lit(1)))
+
+
+def fit_detector(df: DataFrame, key: str = "id", trees: int = 100, sample_size: int = 256, seed: int = 42,
+                 features=PATTERN_FEATURES):
+    """(scaler, forest) of the complete rows; the forest is None where there are none."""
+    clean = drop_incomplete(df, list(features)).select(key, *features)
+    scaler = fit_standardizer(clean, list(features))
+    if scaler.means[0] is None:
+        return scaler, None
+    z = scaler.transform(clean, suffix="_z")
+    return scaler, fit_isolation_forest(z, [f"{c}_z" for c in features], key=key, trees=trees, sample_size=sample_size, seed=seed)
 
 
 def detect_anomalies(df: DataFrame, contamination: float = 0.1, key: str = "id", trees: int = 100,
-                     sample_size: int = 256, seed: int = 42, features=PATTERN_FEATURES) -> DataFrame:
-    """Standardise the features (population std), fit, score and label complete rows."""
+                     sample_size: int = 256, seed: int = 42, features=PATTERN_FEATURES, fitted=None) -> DataFrame:
+    """Standardise the features (population std), fit, score and label complete rows.
+
+    Nothing stays cached: the scores are written once as a one-column table for the quantile, and computed again
+    where the result is read.  No complete rows give an empty frame of the same columns.
+    """
     clean = drop_incomplete(df, list(features))
-    scaler = fit_standardizer(clean, list(features))
-    z = scaler.transform(clean, suffix="_z").persist(StorageLevel.MEMORY_AND_DISK)
-    zcols = [f"{c}_z" for c in features]
-    n = z.count()
-    model = fit_isolation_forest(z, zcols, key=key, trees=trees, sample_size=sample_size, seed=seed, n_rows=n)
-    scored = model.score(z).persist(StorageLevel.MEMORY_AND_DISK)
-    return label_anomalies(scored, contamination, n_rows=n).drop(*zcols)
+    scaler, model = fitted or fit_detector(df, key, trees, sample_size, seed, features)
+    if model is None:
+        return clean.withColumn("anomaly_score", F.lit(None).cast("double")).withColumn("is_anomaly", F.lit(None).cast("int"))
+    z = [zscore(c, m, s) for c, m, s in zip(scaler.columns, scaler.means, scaler.stds)]
+    scored = clean.withColumn("anomaly_score", model.score_column(z))
+    path = scratch_path(df.sparkSession, "scores")
+    scored.select("anomaly_score").write.parquet(path)
+    return label_anomalies(scored, contamination, scores=df.sparkSession.read.parquet(path))

@@ -2,8 +2,9 @@
 
 Iterative estimators (k-means, linear models, forests) come from Spark ML,
 which keeps the data distributed and only moves model-sized state (centres,
-gradients, split statistics) through the driver.  Inputs are persisted before
-a fit because every iteration rescans them.
+gradients, split statistics) through the driver.  The key and the features are
+persisted while a fit runs, because every iteration rescans them, and released
+when it ends.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seisflow.operators.common import spread
+from seisflow.operators.common import FIT_PARTITIONS, placed
 from seisflow.operators.features import (CLUSTER_FEATURES, LOCATION_FEATURES, PATTERN_FEATURES,
                                          fit_standardizer, hash_split, prepare_features)
 from seisflow.operators.filters import drop_incomplete
@@ -54,34 +55,30 @@ def group_centers(df: DataFrame, key: str, cols) -> list:
 
 # ----------------------------------------------------------------------------- k-means
 
-def _stable(df: DataFrame, key: str = "id", partitions: int | None = None, enabled: bool = False) -> DataFrame:
-    """Optionally pin row placement: seeded k-means and forests depend on it.
-
-    Off by default because it costs a full range shuffle; tests that compare
-    runs at different partition counts switch it on.
-    """
-    if not enabled:
-        # Iterative fits rescan their input every round: give an under-partitioned
-        # source (one small file) the cluster's parallelism; large inputs are untouched.
-        return spread(df)
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+def _fit_placed(estimator, df: DataFrame, key: str, partitions: int, evaluate=None):
+    """Fit on rows of fixed placement, held only while fitting; returns (model, what ``evaluate`` gives)."""
+    held = placed(df, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(held)
+        return model, evaluate(model, held) if evaluate else None
+    finally:
+        held.unpersist()
 
 
-def kmeans_raw(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20):
+def kmeans_raw(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20, partitions: int = FIT_PARTITIONS):
     """H2/H4/H5: k-means on raw (magnitude, longitude, latitude, depth).
 
-    Returns (model, predictions, silhouette, centres frame).
+    Returns (model, predictions of id and features, silhouette, centres frame).  ``partitions`` is part of the
+    model's definition, like the seed; the rows' own partitioning and the cluster's size are not.
     """
-    feats = _stable(prepare_features(df, CLUSTER_FEATURES)).persist(StorageLevel.MEMORY_AND_DISK)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(feats)
-    pred = model.transform(feats)
-    silhouette = ClusteringEvaluator(featuresCol="features").evaluate(pred)
+    feats = prepare_features(df.select("id", *CLUSTER_FEATURES), CLUSTER_FEATURES)
+    model, silhouette = _fit_placed(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features"), feats, "id", partitions,
+                                    lambda m, rows: ClusteringEvaluator(featuresCol="features").evaluate(m.transform(rows)))
     spark = df.sparkSession
     centers = spark.createDataFrame(
         [(i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "prediction int, " + ", ".join(f"{c} double" for c in CLUSTER_FEATURES))
-    return model, pred, silhouette, centers
+    return model, model.transform(feats), silhouette, centers
 
 
 def clustered_table(pred: DataFrame) -> DataFrame:
@@ -89,18 +86,23 @@ def clustered_table(pred: DataFrame) -> DataFrame:
     return pred.select("id", "magnitude", "longitude", "latitude", "depth", "prediction")
 
 
-def kmeans_scaled(df: DataFrame, k: int = 5, seed: int = 42):
-    """H11 + C10: k-means on population-z-scored features; returns (rows with cluster, stats)."""
+def kmeans_scaled(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 300, partitions: int = FIT_PARTITIONS):
+    """H11 + C10: k-means on population-z-scored features; returns (model, rows with cluster, stats).
+
+    ``model.summary.numIter`` below ``max_iter`` says that it converged.  No complete rows: (None, empty, empty).
+    """
     clean = drop_incomplete(df, PATTERN_FEATURES)
     scaler = fit_standardizer(clean, PATTERN_FEATURES)
-    z = scaler.transform(clean, suffix="_z")
     zcols = [f"{c}_z" for c in PATTERN_FEATURES]
-    feats = _stable(VectorAssembler(inputCols=zcols, outputCol="features").transform(z)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(feats)
-    out = model.transform(feats).drop("features")
+    assemble = VectorAssembler(inputCols=zcols, outputCol="features")
+    if scaler.means[0] is None:
+        model, out = None, scaler.transform(clean, suffix="_z").withColumn("cluster", F.lit(None).cast("int"))
+    else:
+        narrow = assemble.transform(scaler.transform(clean.select("id", *PATTERN_FEATURES), suffix="_z")).select("id", "features")
+        model, _ = _fit_placed(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster"), narrow, "id", partitions)
+        out = model.transform(assemble.transform(scaler.transform(clean, suffix="_z"))).drop("features")
     stats = group_stats(out, "cluster", {"magnitude": ["mean", "min", "max", "count"], "depth": ["mean"]})
-    return out, stats
+    return model, out, stats
 
 
 # ----------------------------------------------------------------------------- PCA
@@ -113,10 +115,12 @@ def pca_components(df: DataFrame, k: int = 2):
     """
     clean = drop_incomplete(df, PATTERN_FEATURES)
     scaler = fit_standardizer(clean, PATTERN_FEATURES)
+    if scaler.means[0] is None:
+        return clean.select("*", *[F.lit(None).cast("double").alias(f"pca{j + 1}") for j in range(k)]), []
     z = scaler.transform(clean, suffix="_z")
     zcols = [f"{c}_z" for c in PATTERN_FEATURES]
     feats = VectorAssembler(inputCols=zcols, outputCol="zf").transform(z)
-    model = PCA(k=k, inputCol="zf", outputCol="pcs").fit(feats)
+    model = PCA(k=k, inputCol="zf", outputCol="pcs").fit(feats.select("zf"))
     pc = model.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
     arr = vector_to_array(F.col("pcs"))
@@ -151,20 +155,21 @@ def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def elastic_net(df: DataFrame, label: str = "magnitude", features=LOCATION_FEATURES, reg: float = 0.1,
-                elastic: float = 0.8, max_iter: int = 10, train_percent: int = 80, seed: int = 42):
+                elastic: float = 0.8, max_iter: int = 10, train_percent: int = 80, seed: int = 42,
+                partitions: int = FIT_PARTITIONS):
     """H7/H8/H9: elastic-net linear model in a Pipeline on a hash split.
 
     Returns (pipeline model, test predictions, metrics frame with train and test rows).
     """
     clean = drop_incomplete(df, list(features) + [label])
-    split = spread(hash_split(clean, "id", train_percent, seed)).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+    split = hash_split(clean, "id", train_percent, seed)
+    train = split.where(F.col("split") == "train").select("id", label, *features)
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         LinearRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg,
                          elasticNetParam=elastic),
     ])
-    model = pipe.fit(train)
+    model, _ = _fit_placed(pipe, train, "id", partitions)
     scored = model.transform(split).drop("features")
     metrics = (regression_metrics(scored.where(F.col("split") == "train"), label, "prediction")
                .withColumn("split", F.lit("train"))
@@ -174,30 +179,25 @@ def elastic_net(df: DataFrame, label: str = "magnitude", features=LOCATION_FEATU
 
 
 def forest_pipeline(features=LOCATION_FEATURES, label: str = "magnitude", trees: int = 100, max_depth: int = 10,
-                    seed: int = 42, scale: bool = False) -> Pipeline:
-    """Random-forest regressor with every feature considered at each split (as scikit-learn's default)."""
-    stages = [VectorAssembler(inputCols=list(features), outputCol="raw_features" if scale else "features")]
-    if scale:
-        # Population-std scaling is irrelevant to tree splits; kept for parity with the scaled pipeline.
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-    stages.append(RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=max_depth,
-                                        featureSubsetStrategy="all", seed=seed, subsamplingRate=1.0,
-                                        bootstrap=True))
-    return Pipeline(stages=stages)
-
-
-def forest_magnitude(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42):
-    """In-sample random-forest magnitude prediction with absolute error."""
-    feats = ["depth", "latitude", "longitude"]
-    clean = _stable(drop_incomplete(df, feats + ["magnitude"])).persist(StorageLevel.MEMORY_AND_DISK)
-    model = forest_pipeline(feats, trees=trees, max_depth=max_depth, seed=seed).fit(clean)
-    out = model.transform(clean).drop("features").withColumnRenamed("prediction", "predicted_magnitude")
-    out = out.withColumn("magnitude_error", F.abs(F.col("magnitude") - F.col("predicted_magnitude")))
-    return model, out
+                    seed: int = 42) -> Pipeline:
+    """Random-forest regressor with every feature considered at each split (as scikit-learn's default).
+
+    ``max_depth`` bounds the trees (at most 30 in Spark ML), so they are coarser than trees grown to the end.
+    """
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="features"),
+        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=max_depth,
+                              featureSubsetStrategy="all", seed=seed, subsamplingRate=1.0, bootstrap=True)])
 
 
-def evaluate_rmse(pred: DataFrame, label: str = "magnitude", col: str = "prediction") -> float:
-    return RegressionEvaluator(labelCol=label, predictionCol=col, metricName="rmse").evaluate(pred)
+def forest_magnitude(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, label: str = "magnitude",
+                     partitions: int = FIT_PARTITIONS):
+    """In-sample random-forest magnitude prediction with absolute error (trees of at most ``max_depth``)."""
+    feats = ["depth", "latitude", "longitude"]
+    clean = drop_incomplete(df, feats + [label])
+    model, _ = _fit_placed(forest_pipeline(feats, label, trees, max_depth, seed), clean.select("id", label, *feats), "id", partitions)
+    out = model.transform(clean).drop("features").withColumnRenamed("prediction", "predicted_magnitude")
+    return model, out.withColumn("magnitude_error", F.abs(F.col(label) - F.col("predicted_magnitude")))
 
 
 def save_model(model, path: str) -> None:

@@ -138,9 +138,9 @@ def kpi_row(df: DataFrame) -> DataFrame:
                       F.concat(fixed("avg_depth"), F.lit(" km")).alias("avg_depth_text"))
 
 
-def map_center(df: DataFrame) -> DataFrame:
-    """Mean latitude and longitude of mappable rows (coordinates and magnitude present)."""
-    rows = drop_incomplete(df, ["latitude", "longitude", "magnitude"])
+def map_center(df: DataFrame, complete: bool = True) -> DataFrame:
+    """Mean latitude and longitude of mappable rows (coordinates and magnitude present), or of all rows."""
+    rows = drop_incomplete(df, ["latitude", "longitude", "magnitude"]) if complete else df
     return rows.agg(F.avg("latitude").alias("center_latitude"), F.avg("longitude").alias("center_longitude"))
 
 

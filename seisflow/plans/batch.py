@@ -2,20 +2,18 @@
 
 Run with ``spark-submit -m seisflow.plans.batch --input PATH --format csv|parquet|feed --output DIR``
 (or ``python -m``).  Every output is a Parquet table under ``--output``; the
-base catalogue is cached once and every output derives from it.
+catalogue is written first and every other output derives from that table by
+pruned reads.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from seisflow.operators import grids, models, summaries
-from seisflow.operators.filters import drop_incomplete
+from seisflow.operators import forecast, grids, models, summaries
 from seisflow.plans import jobs
-from seisflow.functions.display import MAP_BANDS, marker_radius, popup_text, severity_band
 from seisflow.sources.catalogue import read_catalogue_csv, read_catalogue_parquet, require_rows
 from seisflow.sources.geojson import read_feed
 
@@ -30,16 +28,10 @@ def load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     raise ValueError(f"unknown format {fmt}")
 
 
-def map_rows(df: DataFrame) -> DataFrame:
-    rows = drop_incomplete(df, ["latitude", "longitude", "magnitude"])
-    return rows.select("id", "latitude", "longitude", marker_radius("magnitude", 1.5).alias("radius"),
-                       severity_band("magnitude", MAP_BANDS).alias("color"), popup_text().alias("popup"))
-
-
 def run_batch(spark: SparkSession, df: DataFrame, out: str, k: int = 5, seed: int = 42) -> dict:
     """Write every output of the batch job under ``out``; returns {name: path}."""
-    base = require_rows(df.persist(StorageLevel.MEMORY_AND_DISK), 1, "catalogue")
-    paths = jobs.save_processed(base, f"{out}/events")
+    paths = jobs.save_processed(require_rows(df, 1, "catalogue"), f"{out}/events")
+    base = read_catalogue_parquet(spark, paths["events"])
     report = jobs.basic_report(base)
     model, pred, silhouette, centers = models.kmeans_raw(base, k=k, seed=seed)
     outputs = {
@@ -47,7 +39,7 @@ def run_batch(spark: SparkSession, df: DataFrame, out: str, k: int = 5, seed: in
         "clustered": models.clustered_table(pred),
         "cluster_centers": centers,
         "cluster_stats": summaries.cluster_stats(models.clustered_table(pred)),
-        "map_rows": map_rows(base),
+        "map_rows": jobs.map_rows(base),
         "map_center": summaries.map_center(base),
         "heat_cells": grids.heat_cells(base),
         "marker_tiles": grids.marker_tiles(base),
@@ -66,8 +58,11 @@ def run_batch(spark: SparkSession, df: DataFrame, out: str, k: int = 5, seed: in
     spark.createDataFrame([(float(silhouette),)], "silhouette double").write.mode("overwrite") \
         .parquet(f"{out}/silhouette")
     paths["silhouette"] = f"{out}/silhouette"
-    base.unpersist()
-    return paths
+    patterns = jobs.pattern_report(base, k=k, seed=seed, models_path=f"{out}/models")
+    paths.update({f"pattern_{n}": p for n, p in jobs.write_report(patterns, f"{out}/pattern").items()})
+    predicted = forecast.predict_future(base, model_path=f"{out}/models/forecast")
+    predicted.write.mode("overwrite").parquet(f"{out}/forecast")
+    return {**paths, "models": f"{out}/models", "forecast": f"{out}/forecast"}
 
 
 def main(argv=None) -> None:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from seisflow.functions.display import CHART_BANDS, MAP_BANDS, marker_radius, popup_text, severity_band
+from seisflow.functions.display import CHART_BANDS, MAP_BANDS, severity_band
 from seisflow.functions.scalars import ts_text
 from seisflow.operators import filters, regions, summaries
-from seisflow.plans.oracle import q
-from seisflow.plans.registry import AS_OF, RANGE_END, RANGE_START, catalogue, r6, register, round_cols
+from seisflow.plans import jobs
+from seisflow.plans.oracle import REGION_FIRST, q
+from seisflow.plans.registry import AS_OF, RANGE_END, RANGE_START, catalogue, register, round_cols
 
 # ---------------------------------------------------------------- scans
 
@@ -92,14 +91,7 @@ _SUM_SQL = """(CAST(longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 9
  + CAST(longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 AS INTEGER) * 6
  + CAST(NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) AS INTEGER) * 7)"""
 
-_FIRST_SQL = """(CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1
- WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2
- WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3
- WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4
- WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5
- WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6
- WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7
- ELSE 0 END)"""
+_FIRST_SQL = REGION_FIRST
 
 
 def _name_sql(code: str) -> str:
@@ -278,14 +270,15 @@ def severity_bands(spark, sf_dir):
     "SELECT id, latitude, longitude, magnitude * 1.5e0 AS radius, "
     "CASE WHEN magnitude < 2e0 THEN 'green' WHEN magnitude < 4e0 THEN 'blue' "
     "WHEN magnitude < 6e0 THEN 'orange' ELSE 'red' END AS color, "
-    "'<strong>Magnitude:</strong> ' || CAST(magnitude AS VARCHAR) || '<br><strong>Location:</strong> ' || place "
-    "|| '<br><strong>Depth:</strong> ' || CAST(depth AS VARCHAR) || ' km<br><strong>Time:</strong> ' "
-    "|| strftime(time, '%Y-%m-%d %H:%M:%S') || '<br>' AS popup "
+    "'<strong>Magnitude:</strong> ' || coalesce(CAST(magnitude AS VARCHAR), 'unknown') || '<br><strong>Location:</strong> ' "
+    "|| coalesce(place, 'unknown') || '<br><strong>Depth:</strong> ' || coalesce(CAST(depth AS VARCHAR), 'unknown') "
+    "|| ' km<br><strong>Time:</strong> ' || coalesce(strftime(time, '%Y-%m-%d %H:%M:%S'), 'unknown') || '<br>' AS popup "
     "FROM quakes WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND magnitude IS NOT NULL"))
 def map_rows(spark, sf_dir):
-    rows = filters.drop_incomplete(catalogue(spark, sf_dir), ["latitude", "longitude", "magnitude"])
-    return rows.select("id", "latitude", "longitude", marker_radius("magnitude", 1.5).alias("radius"),
-                       severity_band("magnitude", MAP_BANDS).alias("color"), popup_text().alias("popup"))
+    return jobs.map_rows(catalogue(spark, sf_dir))
 
 
-_ = (F, r6)
+@register("map_center_all_rows", q(
+    "SELECT round(avg(latitude), 6) AS center_latitude, round(avg(longitude), 6) AS center_longitude FROM quakes"))
+def map_center_all_rows(spark, sf_dir):
+    return round_cols(summaries.map_center(catalogue(spark, sf_dir), complete=False), ["center_latitude", "center_longitude"])

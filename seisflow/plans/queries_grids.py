@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seisflow.operators import features, grids, models, regions
 from seisflow.operators.filters import drop_incomplete
-from seisflow.plans.oracle import q
+from seisflow.plans.oracle import REGION_FIRST, q
 from seisflow.plans.registry import catalogue, register, round_cols
 
 # ---------------------------------------------------------------- histogram and KDE
@@ -125,14 +125,7 @@ def feature_covariance(spark, sf_dir):
 # Centres are fitted from the data: the mean feature vector of each region (first-match mode), in code order.
 
 _CF = ["magnitude", "longitude", "latitude", "depth"]
-_FIRST_SQL = """(CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1
- WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2
- WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3
- WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4
- WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5
- WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6
- WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7
- ELSE 0 END)"""
+_FIRST_SQL = REGION_FIRST
 _CENTRES = (
     "clean AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
     "AND latitude IS NOT NULL AND depth IS NOT NULL), "

@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seisflow.plans import jobs
-from seisflow.plans.oracle import q
-from seisflow.plans.registry import AS_OF, RANGE_END, RANGE_START, catalogue, register, round_cols
+from seisflow.plans.oracle import REGION_FIRST, q
+from seisflow.schema import CATALOGUE_FIELDS
+from seisflow.plans.registry import RANGE_END, RANGE_START, catalogue, fitted, register, round_cols
 from seisflow.session import scratch_path
 from seisflow.sources import catalogue as cat_io
-from seisflow.sources import geojson
+from seisflow.sources import fixture, geojson
 from seisflow.streaming import ingest
 
 _ROW_COLS = ["id", "magnitude", "place", "time", "longitude", "latitude", "depth", "date", "hour"]
@@ -30,14 +31,22 @@ def csv_roundtrip(spark, sf_dir):
     return cat_io.read_catalogue_csv(spark, path).select(*_ROW_COLS)
 
 
-@register("parquet_roundtrip", q(
-    _ROW_SQL + " WHERE strftime(time, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-12'"))
-def parquet_roundtrip(spark, sf_dir):
+def _dated(spark, sf_dir):
     path = scratch_path(spark, "parquet")
     cat_io.write_catalogue_parquet(catalogue(spark, sf_dir).drop("event_id"), path, partition_by="date")
-    back = cat_io.read_catalogue_parquet(spark, path)
-    # The date predicate prunes partition folders before any file is opened.
-    return back.where(F.col("date").between("2024-01-10", "2024-01-12")).select(*_ROW_COLS)
+    return cat_io.read_catalogue_parquet(spark, path)
+
+
+@register("parquet_roundtrip", q(_ROW_SQL))
+def parquet_roundtrip(spark, sf_dir):
+    return _dated(spark, sf_dir).select(*_ROW_COLS)
+
+
+@register("parquet_pruned_read", q(
+    _ROW_SQL + " WHERE strftime(time, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-12'"))
+def parquet_pruned_read(spark, sf_dir):
+    # The whole table is written; the date predicate prunes partition folders before any file is opened.
+    return _dated(spark, sf_dir).where(F.col("date").between("2024-01-10", "2024-01-12")).select(*_ROW_COLS)
 
 
 # Feed documents carry epoch milliseconds, so times come back truncated to the millisecond.
@@ -69,36 +78,83 @@ def collect_job(spark, sf_dir):
     return spark.createDataFrame([(n,)], "rows_written long")
 
 
+@register("collected_table", q(
+    _FEED_SQL + f" WHERE time BETWEEN TIMESTAMP '{RANGE_START}' AND TIMESTAMP '{RANGE_END}' AND magnitude >= 2.5e0"))
+def collected_table(spark, sf_dir):
+    feed, out = scratch_path(spark, "landed"), scratch_path(spark, "collected")
+    geojson.write_feed(catalogue(spark, sf_dir), feed)
+    jobs.collect_and_save(spark, feed, out, RANGE_START, RANGE_END, 2.5)
+    return cat_io.read_catalogue_parquet(spark, out).select(*_ROW_COLS)
+
+
+def _processed(spark, sf_dir):
+    def write():
+        paths = jobs.save_processed(catalogue(spark, sf_dir).drop("event_id"), scratch_path(spark, "processed"))
+        return {k: spark.read.parquet(p) for k, p in paths.items()}
+    return fitted(spark, sf_dir, "processed", write)
+
+
+@register("processed_events", q(_ROW_SQL))
+def processed_events(spark, sf_dir):
+    return _processed(spark, sf_dir)["events"].select(*_ROW_COLS[:-2], F.col("date").cast("string").alias("date"), "hour")
+
+
+@register("processed_daily", q(
+    "SELECT CAST(year(time) AS INTEGER) AS year, CAST(month(time) AS INTEGER) AS month, CAST(day(time) AS INTEGER) AS day, "
+    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes GROUP BY 1, 2, 3"))
+def processed_daily(spark, sf_dir):
+    return round_cols(_processed(spark, sf_dir)["daily"], ["avg_magnitude"])
+
+
+@register("processed_hourly", q(
+    "SELECT CAST(hour(time) AS INTEGER) AS hour, count(*) AS earthquakes_count FROM quakes GROUP BY 1"))
+def processed_hourly(spark, sf_dir):
+    return _processed(spark, sf_dir)["hourly"].select("hour", "earthquakes_count")
+
+
+@register("processed_regions", q(f"SELECT id, {REGION_FIRST} AS code FROM quakes"))
+def processed_regions(spark, sf_dir):
+    from seisflow.operators.regions import region_code
+    return _processed(spark, sf_dir)["regions"].select("id", region_code(mode="first").alias("code"))
+
+
 @register("processed_tables", q(
     "SELECT 'events' AS item, count(*) AS \"rows\" FROM quakes UNION ALL "
     "SELECT 'regions', count(*) FROM quakes UNION ALL "
-    "SELECT 'region_summary', count(DISTINCT CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1 "
-    " WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2 "
-    " WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3 "
-    " WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4 "
-    " WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5 "
-    " WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6 "
-    " WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7 ELSE 0 END) FROM quakes UNION ALL "
+    f"SELECT 'region_summary', count(DISTINCT {REGION_FIRST}) FROM quakes UNION ALL "
     "SELECT 'daily', count(DISTINCT CAST(time AS DATE)) FROM quakes UNION ALL "
     "SELECT 'hourly', count(DISTINCT hour(time)) FROM quakes"))
 def processed_tables(spark, sf_dir):
-    out = scratch_path(spark, "processed")
-    paths = jobs.save_processed(catalogue(spark, sf_dir).drop("event_id"), out)
-    frames = {k: spark.read.parquet(p) for k, p in paths.items()}
-    return jobs.report_sizes(frames)
+    return jobs.report_sizes(_processed(spark, sf_dir))
+
 
+_CLASS = "(CASE WHEN isnan(magnitude) THEN NULL ELSE CAST(trunc(magnitude) AS INTEGER) END)"
+_BASIC = (f"SELECT 'schema' AS item, {len(CATALOGUE_FIELDS) + 1} AS \"rows\" UNION ALL SELECT 'sample', 5 UNION ALL SELECT 'describe', 1 UNION ALL "
+          f"SELECT 'magnitude_classes', count(*) FROM (SELECT DISTINCT {_CLASS} FROM quakes) UNION ALL "
+          "SELECT 'top_places', least(10, count(DISTINCT place)) FROM quakes UNION ALL "
+          f"SELECT 'depth_by_class', count(*) FROM (SELECT DISTINCT {_CLASS} FROM quakes) UNION ALL "
+          "SELECT 'hours', count(DISTINCT hour(time)) FROM quakes")
 
-@register("basic_report")
+
+@register("basic_report", q(_BASIC))
 def basic_report(spark, sf_dir):
     return jobs.report_sizes(jobs.basic_report(catalogue(spark, sf_dir)))
 
 
-@register("spark_analysis")
+_WHOLE = "magnitude IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL AND depth IS NOT NULL"
+
+
+@register("spark_analysis", q(_BASIC + f" UNION ALL SELECT 'clustered', count(*) FROM quakes WHERE {_WHOLE} UNION ALL SELECT 'centers', 5 "
+                              "UNION ALL SELECT 'cluster_sizes', 5 UNION ALL SELECT 'silhouette', 1"))
 def spark_analysis(spark, sf_dir):
     return jobs.report_sizes(jobs.spark_analysis(catalogue(spark, sf_dir)))
 
 
-@register("pattern_report")
+@register("pattern_report", q(
+    f"SELECT unnest(['clustered', 'anomalies', 'pca', 'predictions']) AS item, count(*) AS \"rows\" FROM quakes WHERE {_WHOLE} UNION ALL "
+    "SELECT 'cluster_stats', 5 UNION ALL SELECT 'explained_variance', 2 UNION ALL "
+    f"SELECT 'hourly_patterns', count(DISTINCT hour(time)) FROM quakes WHERE {_WHOLE} UNION ALL "
+    f"SELECT 'spatial_patterns', count(DISTINCT place) FROM quakes WHERE {_WHOLE}"))
 def pattern_report(spark, sf_dir):
     return jobs.report_sizes(jobs.pattern_report(catalogue(spark, sf_dir)))
 
@@ -118,46 +174,106 @@ def _run(spark, stream, name, mode="append"):
     return spark.read.parquet(sink)
 
 
+DROPS = 4
+_LATE_DAYS = 5
+
+
+def _landed(spark, sf_dir, drops):
+    """Event drops landed one after another as files of one folder, read one file per micro-batch.
+
+    File times decide the order in which a file stream reads, so each drop is written after the one before.
+    """
+    folder = scratch_path(spark, "drops")
+    for part in drops:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return ingest.event_stream(spark, folder, glob="*.parquet", max_files_per_trigger=1)
+
+
+def _by_day(spark, sf_dir):
+    """The table in DROPS drops of consecutive days."""
+    events = fixture.load_events(spark, sf_dir)
+    day = F.dayofmonth("ts")
+    return [events.where((day > 8 * k) & (day <= 8 * (k + 1))) for k in range(DROPS)]
+
+
 @register("stream_ingest", q("SELECT id, magnitude, time, longitude, latitude, depth FROM quakes"))
 def stream_ingest(spark, sf_dir):
-    s = ingest.event_stream(spark, sf_dir).select("id", "magnitude", "time", "longitude", "latitude", "depth")
+    s = _landed(spark, sf_dir, _by_day(spark, sf_dir)).select("id", "magnitude", "time", "longitude", "latitude", "depth")
     return _run(spark, s, "ingest")
 
 
+@register("stream_feed", q(_FEED_SQL))
+def stream_feed(spark, sf_dir):
+    # Feed features landed as several files, one per micro-batch.
+    folder = scratch_path(spark, "feed-drops")
+    geojson.write_feed(catalogue(spark, sf_dir).repartition(DROPS, "id"), folder)
+    return _run(spark, ingest.feed_stream(spark, folder, max_files_per_trigger=1), "feed").select(*_ROW_COLS)
+
+
 @register("stream_dedup", q("SELECT id, magnitude, time FROM quakes"))
 def stream_dedup(spark, sf_dir):
-    # The same drop landed twice: every event arrives two times and must come out once.
-    s = ingest.event_stream(spark, sf_dir).unionByName(ingest.event_stream(spark, sf_dir))
-    out = ingest.dedup_stream(s.select("id", "magnitude", "time"))
+    # Every drop lands a second time, as a file of its own, right after the first: repeats meet the state of an
+    # earlier micro-batch, and each event comes out once.
+    drops = [d for part in _by_day(spark, sf_dir) for d in (part, part)]
+    out = ingest.dedup_stream(_landed(spark, sf_dir, drops).select("id", "magnitude", "time"), delay="10 days")
     return _run(spark, out, "dedup")
 
 
 @register("stream_latest", q(
     "SELECT id, round(magnitude + 1e-1, 6) AS magnitude, time + INTERVAL 1 HOUR AS updated FROM quakes"))
 def stream_latest(spark, sf_dir):
-    # Every event arrives as the original and as a revision one hour later with magnitude + 0.1;
-    # each micro-batch appends its newest revisions, readers take the newest overall.
-    base = ingest.event_stream(spark, sf_dir).select("id", "magnitude", "updated")
-    revised = base.select("id", (F.col("magnitude") + 0.1).alias("magnitude"),
-                          (F.col("updated") + F.expr("INTERVAL 1 HOUR")).alias("updated"))
-    table = scratch_path(spark, "revisions")
-    q_ = (base.unionByName(revised).writeStream.foreachBatch(ingest.upsert_batches(table))
+    # Originals and revisions (one hour later, magnitude + 0.1) land in different files, the revisions of the first
+    # drop before its originals; readers take the newest over all micro-batches.
+    folder, table = scratch_path(spark, "revision-drops"), scratch_path(spark, "revisions")
+    base = catalogue(spark, sf_dir).select("id", "magnitude", "updated", F.dayofmonth("time").alias("day"))
+    revised = base.select("id", (F.col("magnitude") + 0.1).alias("magnitude"), (F.col("updated") + F.expr("INTERVAL 1 HOUR")).alias("updated"), "day")
+    early = F.col("day") <= 15
+    for part in (revised.where(early), base.where(early), base.where(~early), revised.where(~early)):
+        part.drop("day").coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema("id string, magnitude double, updated timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    q_ = (stream.writeStream.foreachBatch(ingest.upsert_batches(table))
           .option("checkpointLocation", scratch_path(spark, "revisions-ckpt")).trigger(availableNow=True).start())
     q_.awaitTermination()
     latest = ingest.latest_revisions(spark.read.parquet(table).select("id", "magnitude", "updated"))
     return round_cols(latest, ["magnitude"])
 
 
+def _late_drops(spark, sf_dir):
+    """Days in order, but the rows of user_id % 50 = 2 on the first three days come after everything else."""
+    very_late = (F.col("user_id") % 50 == 2) & (F.dayofmonth("ts") <= 3)
+    events = fixture.load_events(spark, sf_dir)
+    return [*(d.where(~very_late) for d in _by_day(spark, sf_dir)), events.where(very_late)]
+
+
+def _delayed_drops(spark, sf_dir):
+    """Days in order, but the rows of user_id % 50 = 1 come one drop (eight days) late."""
+    late, days = F.col("user_id") % 50 == 1, _by_day(spark, sf_dir)
+    return [days[0].where(~late), *(b.where(~late).unionByName(a.where(late)) for a, b in zip(days, days[1:])), days[-1].where(late)]
+
+
+# Rows of the last drop lie more than the watermark behind the newest time by then, so their windows are closed.
+_ON_TIME = "quakes_in AS (SELECT quakes.* FROM quakes JOIN events USING (event_id) WHERE NOT (user_id % 50 = 2 AND day(time) <= 3))"
+
+
 @register("stream_daily", q(
     "SELECT date_trunc('day', time) AS window_start, date_trunc('day', time) + INTERVAL 1 DAY AS window_end, "
-    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes "
-    "GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL 1 HOUR"))
+    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes_in "
+    f"GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL {_LATE_DAYS} DAY", _ON_TIME))
 def stream_daily(spark, sf_dir):
-    out = _run(spark, ingest.daily_counts_stream(ingest.event_stream(spark, sf_dir)), "daily")
+    stream = _landed(spark, sf_dir, _late_drops(spark, sf_dir))
+    out = _run(spark, ingest.daily_counts_stream(stream, delay=f"{_LATE_DAYS} days"), "daily")
     return round_cols(out, ["avg_magnitude"])
 
 
-_ = AS_OF
+@register("stream_late_kept", q(
+    "SELECT date_trunc('day', time) AS window_start, date_trunc('day', time) + INTERVAL 1 DAY AS window_end, "
+    "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes "
+    "GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL 20 DAY"))
+def stream_late_kept(spark, sf_dir):
+    # Rows eight days late under a watermark of 20 days: inside it, so every one is counted.
+    stream = _landed(spark, sf_dir, _delayed_drops(spark, sf_dir))
+    out = _run(spark, ingest.daily_counts_stream(stream, delay="20 days"), "late")
+    return round_cols(out, ["avg_magnitude"])
 
 
 @register("stream_hourly", q(
@@ -167,5 +283,6 @@ _ = AS_OF
     "(SELECT max(time) FROM quakes) - INTERVAL 1 HOUR"))
 def stream_hourly(spark, sf_dir):
     # I3 with hourly tumbling windows: a window is emitted once the watermark passes its end.
-    out = _run(spark, ingest.daily_counts_stream(ingest.event_stream(spark, sf_dir), size="1 hour"), "hourly")
+    stream = _landed(spark, sf_dir, _by_day(spark, sf_dir))
+    out = _run(spark, ingest.daily_counts_stream(stream, size="1 hour"), "hourly")
     return round_cols(out, ["avg_magnitude"])

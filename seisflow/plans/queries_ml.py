@@ -1,56 +1,62 @@
 """Registered queries: zones, forecast, models, anomalies.
 
-Iterative and randomised operators (k-means, forests, isolation forest,
-DBSCAN) have no SQL text: DuckDB cannot express them efficiently on the whole
-table, so the driver checks their rows only and the unit tests check them
-against brute force and invariants.  The forecast grid and table are exact
-when fed SQL-expressible zones and a closed-form predictor.
+Zones, the split, the linear model and the forecast have SQL for their rows.  For k-means, forests and the isolation
+forest, whose rows depend on seeded sampling, a row of invariants is compared with SQL (rows, nearest centres, centres
+that are means, shares, errors below the constant predictor's); their raw rows are checked by the unit tests.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seisflow.operators import forecast, isolation, models, regions, zones
+from seisflow.functions.display import fixed, forecast_colour, forecast_markers
+from seisflow.functions.scalars import round2
+from seisflow.operators import features, forecast, isolation, models, zones
 from seisflow.operators.filters import drop_incomplete
 from seisflow.operators.summaries import anomaly_count, mean_abs_error
-from seisflow.plans.oracle import q
-from seisflow.plans.registry import catalogue, fitted, register, round_cols
+from seisflow.plans.oracle import q, zones as zone_ctes
+from seisflow.plans.registry import catalogue, fitted, register
+from seisflow.session import scratch_path
 
 # ---------------------------------------------------------------- zones
 
 
+ZONE_EPS = 0.05
+
+
 def _zoned(spark, sf_dir):
-    return fitted(spark, sf_dir, "zones", lambda: zones.active_zones(
-        catalogue(spark, sf_dir), order_col="event_id").persist())
+    def label():
+        path = scratch_path(spark, "zoned")
+        labelled = zones.active_zones(catalogue(spark, sf_dir), eps=ZONE_EPS, order_col="event_id")
+        labelled.select("id", "magnitude", "latitude", "longitude", "zone").write.parquet(path)
+        return spark.read.parquet(path)
+    return fitted(spark, sf_dir, "zones", label)
 
 
-@register("zone_labels")
+@register("zone_labels", q("SELECT id, zone FROM zoned", zone_ctes(ZONE_EPS)))
 def zone_labels(spark, sf_dir):
     return _zoned(spark, sf_dir).select("id", "zone")
 
 
-@register("zone_stats")
+@register("zone_stats", q(
+    "SELECT zone, count(magnitude) AS magnitude_count, round_even(round(avg(magnitude), 9), 2) AS magnitude_mean, "
+    "round_even(round(max(magnitude), 9), 2) AS magnitude_max, round_even(round(avg(latitude), 9), 2) AS latitude_mean, "
+    "round_even(round(avg(longitude), 9), 2) AS longitude_mean FROM zoned WHERE zone <> -1 GROUP BY zone "
+    "HAVING count(magnitude) >= 3", zone_ctes(ZONE_EPS)))
 def zone_stats(spark, sf_dir):
     return zones.zone_stats(_zoned(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- forecast with SQL-expressible zones
-# Zones here are the region groups of complete rows; the predictor is the
-# least-squares line of magnitude on latitude.  Both come from the data.
-
-_FIRST = """(CASE WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 15 AND 90 THEN 1
- WHEN longitude BETWEEN -85 AND -30 AND latitude BETWEEN -60 AND 15 THEN 2
- WHEN longitude BETWEEN -30 AND 40 AND latitude BETWEEN 35 AND 90 THEN 3
- WHEN longitude BETWEEN 40 AND 180 AND latitude BETWEEN 0 AND 90 THEN 4
- WHEN longitude BETWEEN -30 AND 60 AND latitude BETWEEN -40 AND 35 THEN 5
- WHEN longitude BETWEEN 110 AND 180 AND latitude BETWEEN -50 AND 0 THEN 6
- WHEN NOT (longitude BETWEEN -170 AND 180 AND latitude BETWEEN -60 AND 90) THEN 7
- ELSE 0 END)"""
+# Zones here are groups of complete rows by the number of binary digits of the event number, so their sizes run from a
+# few rows to half the table; the predictor is the least-squares line of a label that depends on latitude.  Both come
+# from the data, and together they reach every branch: rows below the threshold, capped rows, both labels, all
+# buckets and colours, and grids of 5 to 15 points a side.
+
 _ZONES = (
     "clean AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
     "AND latitude IS NOT NULL AND depth IS NOT NULL), "
-    f"zs AS (SELECT {_FIRST} AS zone, count(magnitude) AS magnitude_count, round_even(round(max(magnitude), 9), 2) AS magnitude_max, "
+    f"zs AS (SELECT length(bin(event_id)) AS zone, count(magnitude) AS magnitude_count, round_even(round(max(magnitude), 9), 2) AS magnitude_max, "
     "round_even(round(avg(latitude), 9), 2) AS latitude_mean, round_even(round(avg(longitude), 9), 2) AS longitude_mean "
     "FROM clean GROUP BY 1 HAVING count(magnitude) >= 3), "
     "g AS (SELECT *, least(15, greatest(5, CAST(trunc(magnitude_count / 2) AS INTEGER))) AS n_points FROM zs), "
@@ -61,7 +67,8 @@ _ZONES = (
     "/ (n_points - 1)) + (latitude_mean - 3e-1) END AS latitude, "
     "CASE WHEN j = n_points - 1 THEN longitude_mean + 3e-1 ELSE j * (((longitude_mean + 3e-1) - (longitude_mean - 3e-1)) "
     "/ (n_points - 1)) + (longitude_mean - 3e-1) END AS longitude FROM gij), "
-    "fit AS (SELECT regr_slope(magnitude, latitude) AS a, regr_intercept(magnitude, latitude) AS b FROM clean), "
+    "fit AS (SELECT regr_slope(v, latitude) AS a, regr_intercept(v, latitude) AS b FROM "
+    "(SELECT latitude, 5e0 + latitude * 3e-1 + ((event_id * 17) % 10) / 1e2 AS v FROM clean)), "
     "scored AS (SELECT grid.*, least(fit.b + fit.a * latitude, magnitude_max * 1.2e0) AS predicted_magnitude "
     "FROM grid, fit), "
     "fc AS (SELECT latitude, longitude, predicted_magnitude, CASE WHEN magnitude_count > 10 AND "
@@ -69,11 +76,9 @@ _ZONES = (
     "FROM scored WHERE predicted_magnitude >= 4e0)")
 
 
-def _region_zones(spark, sf_dir):
-    from seisflow.operators.summaries import group_stats  # noqa: F401
-    from seisflow.functions.scalars import round2
+def _digit_zones(spark, sf_dir):
     clean = drop_incomplete(catalogue(spark, sf_dir), ["magnitude", "longitude", "latitude", "depth"])
-    zs = (clean.withColumn("zone", regions.region_code(mode="first")).groupBy("zone")
+    zs = (clean.withColumn("zone", F.length(F.bin("event_id"))).groupBy("zone")
           .agg(F.count("magnitude").alias("magnitude_count"), round2(F.max("magnitude")).alias("magnitude_max"),
                round2(F.avg("latitude")).alias("latitude_mean"), round2(F.avg("longitude")).alias("longitude_mean"))
           .where(F.col("magnitude_count") >= 3))
@@ -81,8 +86,9 @@ def _region_zones(spark, sf_dir):
 
 
 def _stand_in_forecast(spark, sf_dir):
-    clean, zs = _region_zones(spark, sf_dir)
-    fit = models.linear_fit(clean, "magnitude", "latitude").first()
+    clean, zs = _digit_zones(spark, sf_dir)
+    label = F.lit(5.0) + F.col("latitude") * 0.3 + ((F.col("event_id") * 17) % 10) / 100.0
+    fit = models.linear_fit(clean.withColumn("v", label), "v", "latitude").first()
     grid = forecast.forecast_grid(zs)
     scored = grid.withColumn("prediction", F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("latitude"))
     return forecast.forecast_table(scored)
@@ -91,7 +97,7 @@ def _stand_in_forecast(spark, sf_dir):
 @register("forecast_grid", q(
     "SELECT zone, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude FROM grid", _ZONES))
 def forecast_grid(spark, sf_dir):
-    _, zs = _region_zones(spark, sf_dir)
+    _, zs = _digit_zones(spark, sf_dir)
     g = forecast.forecast_grid(zs).select("zone", "latitude", "longitude")
     return g.select("zone", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"))
 
@@ -121,19 +127,30 @@ def forecast_confidence(spark, sf_dir):
     return forecast.confidence_counts(_stand_in_forecast(spark, sf_dir))
 
 
-@register("forecast_colours", q(
-    "SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, CASE WHEN confidence = 'High' THEN "
+_COLOUR = ("CASE WHEN confidence = 'High' THEN "
     "(CASE WHEN predicted_magnitude >= 6e0 THEN 'red' WHEN predicted_magnitude >= 5e0 THEN 'orange' ELSE 'yellow' END) "
     "ELSE (CASE WHEN predicted_magnitude >= 6e0 THEN 'lightred' WHEN predicted_magnitude >= 5e0 THEN 'lightorange' "
-    "ELSE 'lightyellow' END) END AS colour, printf('%.1f', predicted_magnitude) AS magnitude_text, zone FROM fc",
-    _ZONES))
+    "ELSE 'lightyellow' END) END")
+
+
+@register("forecast_colours", q(
+    f"SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, {_COLOUR} AS colour, "
+    "printf('%.1f', predicted_magnitude) AS magnitude_text, zone FROM fc", _ZONES))
 def forecast_colours(spark, sf_dir):
-    from seisflow.functions.display import fixed, forecast_colour
     t = _stand_in_forecast(spark, sf_dir)
     return t.select(F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"),
                     forecast_colour().alias("colour"), fixed("predicted_magnitude", 1).alias("magnitude_text"), "zone")
 
 
+@register("forecast_markers", q(
+    f"SELECT round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, 8 AS radius, {_COLOUR} AS color, "
+    "'<strong>Predicted Magnitude:</strong> ' || printf('%.1f', predicted_magnitude) || '<br><strong>Confidence:</strong> ' || confidence "
+    "|| '<br><strong>Zone:</strong> ' || CAST(zone AS VARCHAR) AS popup FROM fc", _ZONES))
+def forecast_markers_q(spark, sf_dir):
+    t = forecast_markers(_stand_in_forecast(spark, sf_dir))
+    return t.select(F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"), "radius", "color", "popup")
+
+
 @register("forecast_full")
 def forecast_full(spark, sf_dir):
     return forecast.predict_future(catalogue(spark, sf_dir), order_col="event_id", trees=100, max_depth=10)
@@ -161,10 +178,32 @@ def kmeans_summary(spark, sf_dir):
 
 @register("kmeans_scaled")
 def kmeans_scaled(spark, sf_dir):
-    _, stats = models.kmeans_scaled(catalogue(spark, sf_dir), k=5, seed=42)
+    _, _, stats = models.kmeans_scaled(catalogue(spark, sf_dir), k=5, seed=42)
     return stats
 
 
+_COMPLETE = ("complete AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
+             "AND latitude IS NOT NULL AND depth IS NOT NULL)")
+
+
+@register("kmeans_invariants", q(
+    "SELECT count(*) AS \"rows\", count(*) AS at_nearest, 5 AS clusters, TRUE AS centres_are_means, TRUE AS silhouette_in_range "
+    "FROM complete", _COMPLETE))
+def kmeans_invariants(spark, sf_dir):
+    """H2-H6: every complete row has the cluster of its nearest centre, and centres settle near their rows' means."""
+    _, pred, silhouette, centers = _kmeans(spark, sf_dir)
+    cols = ["magnitude", "longitude", "latitude", "depth"]
+    fixed_centers = [[r[c] for c in cols] for r in centers.orderBy("prediction").collect()]
+    rows = models.clustered_table(pred)
+    rows = rows.withColumn("near", models.nearest_center(cols, fixed_centers))
+    means = rows.groupBy("prediction").agg(*[F.avg(c).alias(f"m_{c}") for c in cols])
+    off = means.join(centers, "prediction").agg(F.max(F.greatest(*[F.abs(F.col(f"m_{c}") - F.col(c)) for c in cols])).alias("off"),
+                                                F.count(F.lit(1)).alias("clusters"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("near") == F.col("prediction")).alias("at_nearest")).join(
+        off.select(F.col("clusters").cast("int").alias("clusters"), (F.col("off") < 5.0).alias("centres_are_means"))).withColumn(
+        "silhouette_in_range", F.lit(-1.0 <= silhouette <= 1.0))
+
+
 def _pca(spark, sf_dir):
     return fitted(spark, sf_dir, "pca", lambda: models.pca_components(catalogue(spark, sf_dir), k=2))
 
@@ -182,25 +221,52 @@ def pca_variance(spark, sf_dir):
                                  "component int, explained_variance_ratio double")
 
 
+# The label depends on depth (R² about 0.8), so the fit is one that the penalty does not empty.
+def _label():
+    return F.lit(2.0) + F.col("depth") * 4e-3 + F.col("latitude") * 1e-2 + ((F.col("event_id") * 17) % 10) / 100.0
+
+
+_SPLIT = ("complete AS (SELECT *, 2e0 + depth * 4e-3 + latitude * 1e-2 + ((event_id * 17) % 10) / 1e2 AS label_lin, "
+          "CASE WHEN CAST('0x' || substr(md5(id || ':42'), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split "
+          "FROM quakes WHERE latitude IS NOT NULL AND depth IS NOT NULL)")
+# One feature has a closed form: soft threshold of the correlation, in units of the deviations (reg 0.1, l1 share 0.8).
+_ENET = _SPLIT + (", mo AS (SELECT covar_pop(label_lin, depth) AS cxy, stddev_pop(depth) AS sx, stddev_pop(label_lin) AS sy, avg(depth) AS mx, "
+                  "avg(label_lin) AS my FROM complete WHERE split = 'train'), "
+                  "co AS (SELECT sign(cxy) * greatest(abs(cxy / (sx * sy)) - 8e-2 / sy, 0) / (1 + 2e-2 / sy) * sy / sx AS slope, mx, my FROM mo), "
+                  "en AS (SELECT slope, my - slope * mx AS intercept FROM co)")
+
+
 def _enet(spark, sf_dir):
-    return fitted(spark, sf_dir, "enet", lambda: models.elastic_net(catalogue(spark, sf_dir)))
+    df = catalogue(spark, sf_dir).where("latitude IS NOT NULL").withColumn("label_lin", _label())
+    return fitted(spark, sf_dir, "enet", lambda: models.elastic_net(df, label="label_lin", features=["depth"], max_iter=100))
 
 
 @register("elastic_net")
 def elastic_net(spark, sf_dir):
     _, test, _ = _enet(spark, sf_dir)
-    return test.select("id", "magnitude", "prediction")
+    return test.select("id", "label_lin", "prediction")
+
+
+@register("elastic_net_coefficients", q("SELECT round(slope, 5) AS slope, round(intercept, 3) AS intercept FROM en", _ENET))
+def elastic_net_coefficients(spark, sf_dir):
+    model, _, _ = _enet(spark, sf_dir)
+    line = model.stages[-1]
+    return catalogue(spark, sf_dir).limit(1).select(F.round(F.lit(float(line.coefficients[0])), 5).alias("slope"),
+                                                    F.round(F.lit(float(line.intercept)), 3).alias("intercept"))
 
 
-@register("elastic_net_metrics")
+@register("elastic_net_metrics", q(
+    "SELECT split, count(*) AS n, round(sqrt(avg((label_lin - p) ** 2)), 4) AS rmse, round(avg(abs(label_lin - p)), 4) AS mae, "
+    "round(1 - sum((label_lin - p) ** 2) / (var_pop(label_lin) * count(*)), 4) AS r2 "
+    "FROM (SELECT complete.*, intercept + slope * depth AS p FROM complete, en) GROUP BY split", _ENET))
 def elastic_net_metrics(spark, sf_dir):
     _, _, metrics = _enet(spark, sf_dir)
-    return metrics
+    return metrics.select("split", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 def _forest(spark, sf_dir):
     return fitted(spark, sf_dir, "forest", lambda: models.forest_magnitude(
-        catalogue(spark, sf_dir), trees=100, max_depth=10)[1].persist())
+        catalogue(spark, sf_dir), trees=100, max_depth=10)[1])
 
 
 @register("forest_magnitude")
@@ -213,11 +279,20 @@ def forest_error(spark, sf_dir):
     return mean_abs_error(_forest(spark, sf_dir))
 
 
-@register("hash_split")
+@register("forest_invariants", q(
+    "SELECT count(*) AS \"rows\", TRUE AS below_constant FROM complete", _SPLIT + ", z AS (SELECT 1)"))
+def forest_invariants(spark, sf_dir):
+    """On a label that depends on the features the forest beats the constant predictor by far."""
+    df = catalogue(spark, sf_dir).where("latitude IS NOT NULL").withColumn("label_lin", _label()).withColumn("longitude", F.coalesce("longitude", F.lit(0.0)))
+    _, out = models.forest_magnitude(df, trees=20, max_depth=8, label="label_lin")
+    got = out.agg(F.count(F.lit(1)).alias("rows"), F.avg("magnitude_error").alias("mae"), F.stddev_pop("label_lin").alias("sd"))
+    return got.select("rows", (F.col("mae") < 0.3 * F.col("sd")).alias("below_constant"))
+
+
+@register("hash_split", q(
+    "SELECT id, CASE WHEN CAST('0x' || substr(md5(id || ':42'), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split FROM quakes"))
 def hash_split(spark, sf_dir):
-    # H8: xxhash64 has no DuckDB counterpart, so this one is checked by rows and by the split-share test.
-    from seisflow.operators.features import hash_split as split
-    return split(catalogue(spark, sf_dir), "id", 80, 42).select("id", "split")
+    return features.hash_split(catalogue(spark, sf_dir), "id", 80, 42).select("id", "split")
 
 
 # ---------------------------------------------------------------- anomalies
@@ -225,7 +300,7 @@ def hash_split(spark, sf_dir):
 
 def _anomalies(spark, sf_dir):
     return fitted(spark, sf_dir, "anomalies", lambda: isolation.detect_anomalies(
-        catalogue(spark, sf_dir), contamination=0.1, key="id").persist())
+        catalogue(spark, sf_dir), contamination=0.1, key="id"))
 
 
 @register("anomalies")
@@ -244,4 +319,11 @@ def anomaly_count_q(spark, sf_dir):
     return anomaly_count(_anomalies(spark, sf_dir))
 
 
-_ = round_cols
+@register("anomaly_invariants", q(
+    "SELECT count(*) AS \"rows\", TRUE AS share_below, TRUE AS scores_separate FROM complete", _COMPLETE))
+def anomaly_invariants(spark, sf_dir):
+    """Every complete row is labelled; the -1 rows are the highest scores, a tenth of all at most."""
+    out = _anomalies(spark, sf_dir).groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"), F.min("anomaly_score").alias("lo"), F.max("anomaly_score").alias("hi"))
+    low = F.col("is_anomaly") == -1
+    got = out.agg(F.sum("n").alias("rows"), F.sum(F.when(low, F.col("n"))).alias("odd"), F.min(F.when(low, F.col("lo"))).alias("lo"), F.max(F.when(~low, F.col("hi"))).alias("hi"))
+    return got.select("rows", ((F.col("odd") <= 0.1 * F.col("rows")) & (F.col("odd") >= 0.08 * F.col("rows"))).alias("share_below"), (F.col("lo") > F.col("hi")).alias("scores_separate"))

@@ -32,7 +32,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_CATALOGUES: dict = {}
+_MEMO: dict = {}
+
+
+def _of_application(spark: SparkSession) -> dict:
+    """What is kept for the running application; a new application drops what an ended one left."""
+    app = spark.sparkContext.applicationId
+    if app not in _MEMO:
+        _MEMO.clear()
+    return _MEMO.setdefault(app, {})
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,21 +52,21 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     # Every time-of-day and calendar result is defined in UTC.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _CATALOGUES:
-        _CATALOGUES[key] = load_catalogue(spark, sf_dir)
-    return _CATALOGUES[key]
-
-
-_FITTED: dict = {}
+    memo = _of_application(spark)
+    if ("catalogue", sf_dir) not in memo:
+        memo["catalogue", sf_dir] = load_catalogue(spark, sf_dir)
+    return memo["catalogue", sf_dir]
 
 
 def fitted(spark: SparkSession, sf_dir: str, name: str, fit: Callable):
-    """Fit a model (or run an iterative operator) once per session and folder; later queries reuse it."""
-    key = (id(spark._jsparkSession), sf_dir, name)
-    if key not in _FITTED:
-        _FITTED[key] = fit()
-    return _FITTED[key]
+    """Fit a model (or run an iterative operator) once per application and folder; later queries reuse it.
+
+    Kept are models and plans over written tables, never cached rows.
+    """
+    memo = _of_application(spark)
+    if (name, sf_dir) not in memo:
+        memo[name, sf_dir] = fit()
+    return memo[name, sf_dir]
 
 
 def r6(c) -> "F.Column":

@@ -35,7 +35,6 @@ CATALOGUE_COLUMNS = [n for n, _ in CATALOGUE_FIELDS]
 
 # Integer columns are read as double from text and cast back: a writer that
 # emits ``12.0`` for an integer column with gaps would otherwise read as null.
-INTEGER_COLUMNS = [n for n, t in CATALOGUE_FIELDS if isinstance(t, T.IntegerType)]
 
 # Raw feed document: {"features": [{"id", "properties": {...}, "geometry": {"coordinates": [...]}}]}
 FEED_PROPERTIES = T.StructType([

@@ -18,16 +18,19 @@ from seisflow.sources.geojson import flatten_features
 def event_stream(spark: SparkSession, source_dir: str, glob: str = "events.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream Parquet event drops from a folder into catalogue rows."""
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{glob}").schema
+    schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir if "*" in glob else f"{source_dir.rstrip('/')}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return catalogue_from_events(reader.parquet(source_dir).select(*EVENTS_COLUMNS))
 
 
-def feed_stream(spark: SparkSession, source_dir: str) -> DataFrame:
+def feed_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream line-delimited feed features (one feature per line) into catalogue rows."""
-    feats = spark.readStream.schema(FEED_FEATURE).json(source_dir)
+    reader = spark.readStream.schema(FEED_FEATURE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    feats = reader.json(source_dir)
     return flatten_features(feats.select(F.struct(*feats.columns).alias("f")))
 
 

@@ -5,17 +5,18 @@ A byte goes if it lies in a ``LENGTH``-byte string that also starts in a documen
 Which suffixes are sorted: every ``LENGTH``-byte window names one of its ``GRAM``-byte grams, the one with the
 smallest hash, as its anchor; equal windows name the same anchor. So two documents can share a window
 only at anchors with equal grams. A first pass finds the anchor hashes that two documents hold (a hash
-aggregate with map-side partials) and marks them in a bitmap of fixed size; a second pass ships the marked
-anchors with the bytes that windows around them can cover. The bitmap only saves shuffling: what
-it marks by chance finds no partner later.
+aggregate with map-side partials) and marks them in a bitmap of fixed size; a second pass ships the different
+contexts of marked anchors (the bytes that windows around them can cover), each with the documents it lies
+between. The bitmap only saves shuffling: what it marks by chance finds no partner later.
 
 Per anchor hash the texts to the right of the anchor, and those to the left read backwards, are sorted
 deep-shallow: multikey quicksort on eight-byte words to a shallow depth, then a blind trie orders each
 group that still agrees. Neighbours' common prefixes give, for each of the windows around an anchor,
 the classes of equal windows, and each class its smallest document id.
 
-Spans are gathered per document and the text is joined once more to cut them out. Anchors of one hash are
-sorted by document id and streamed: only different contexts are kept, so copies of any number cost no memory.
+A third pass joins each anchor's place with what was decided for its context (a join that Spark can split where
+one context is hot). Spans are gathered per document and the text is joined once more to cut them out. Contexts of
+one hash are sorted by document id and streamed, so copies of any number cost no memory.
 
 Defined results: a null text is an empty one; texts shorter than ``LENGTH`` bytes keep everything; a null id
 counts as larger than all others; rows that share an id never remove each other's bytes, and equal rows
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from seisflow.llm.common import bound_batches, byte_view, mix64, ragged_take, shuffles_freed, text_slices, written
+from seisflow.llm.common import bound_batches, byte_view, mix64, shuffles_freed, text_slices, written
 
 LENGTH, GRAM = 50, 16
 #: Bits of the map of shared anchor hashes that ships to the tasks (32 MB).
@@ -153,48 +154,37 @@ def sorted_classes(raw: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> t
     return order, common
 
 
-def matched_offsets(h: np.ndarray, doc: np.ndarray, left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray,
+def earlier_offsets(h: np.ndarray, lead: np.ndarray, left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray,
                     length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each anchor the smallest and largest offset of a window that starts that far before it and is in a smaller document; -1: none.
+    """For each of some different contexts the smallest and largest offset of a window that starts that far before the
+    anchor and also occurs in a context of the same hash with a smaller document; -1: none.
 
-    All windows of an anchor hold its gram, so their union is one span.
+    ``lead``: a context's smallest document. All windows of an anchor hold its gram, so their union is one span.
     """
-    reach = length - gram
-    small, large = np.minimum(length, n_right), np.minimum(reach, n_left)
-    lowest = length - small  # windows from ``lowest`` to ``large`` lie inside the text
-    # Equal contexts: one representative with the smallest document.
-    key = np.column_stack([h, _digest(left, n_left), _digest(right, n_right)])
-    _, first, context = np.unique(key.view([("", key.dtype)] * 3).ravel(), return_index=True, return_inverse=True)
-    lead = np.full(len(first), _LAST, np.int64)
-    np.minimum.at(lead, context, doc)
-    lo, hi = np.where(doc > lead[context], lowest, -1), np.where(doc > lead[context], large, -1)
-    # Hashes with several contexts: which windows agree between them.
-    group = np.unique(h[first], return_inverse=True)[1]
-    many = np.flatnonzero(np.bincount(group)[group] > 1)
-    if len(many):
-        rows, lead_of = first[many], lead[many]
-        group = group[many]
-        r_order, r_common = sorted_classes(right[rows], n_right[rows], group)
-        l_order, l_common = sorted_classes(left[rows], n_left[rows], group)
-        m = len(rows)
-        c_lo, c_hi = np.full(m, -1), np.full(m, -1)
-        r_class, l_class = np.empty(m, np.int64), np.empty(m, np.int64)
-        for o in range(reach + 1):
-            fits = np.flatnonzero((n_left[rows] >= o) & (n_right[rows] >= length - o))
-            if len(fits) < 2:
-                continue
-            r_class[r_order], l_class[l_order] = np.cumsum(r_common < length - o), np.cumsum(l_common < o)
-            _, of = np.unique(r_class[fits] * (m + 1) + l_class[fits], return_inverse=True)
-            least = np.full(int(of.max()) + 1, _LAST, np.int64)
-            np.minimum.at(least, of, lead_of[fits])
-            hit = fits[least[of] < lead_of[fits]]
-            c_lo[hit] = np.where(c_lo[hit] < 0, o, c_lo[hit])
-            c_hi[hit] = o
-        full_lo, full_hi = np.full(len(first), -1), np.full(len(first), -1)
-        full_lo[many], full_hi[many] = c_lo, c_hi
-        own = (doc == lead[context]) & (full_lo[context] >= 0)
-        lo, hi = np.where(own, full_lo[context], lo), np.where(own, full_hi[context], hi)
-    return np.where(lo <= hi, lo, -1), np.where(lo <= hi, hi, -1)
+    lo, hi = np.full(len(h), -1), np.full(len(h), -1)
+    group = np.unique(h, return_inverse=True)[1]
+    many = np.flatnonzero(np.bincount(group)[group] > 1) if len(h) else np.zeros(0, np.int64)
+    if not len(many):
+        return lo, hi
+    group, lead, left, n_left, right, n_right = (x[many] for x in (group, lead, left, n_left, right, n_right))
+    r_order, r_common = sorted_classes(right, n_right, group)
+    l_order, l_common = sorted_classes(left, n_left, group)
+    m = len(many)
+    c_lo, c_hi = np.full(m, -1), np.full(m, -1)
+    r_class, l_class = np.empty(m, np.int64), np.empty(m, np.int64)
+    for o in range(length - gram + 1):
+        fits = np.flatnonzero((n_left >= o) & (n_right >= length - o))
+        if len(fits) < 2:
+            continue
+        r_class[r_order], l_class[l_order] = np.cumsum(r_common < length - o), np.cumsum(l_common < o)
+        _, of = np.unique(r_class[fits] * (m + 1) + l_class[fits], return_inverse=True)
+        least = np.full(int(of.max()) + 1, _LAST, np.int64)
+        np.minimum.at(least, of, lead[fits])
+        hit = fits[least[of] < lead[fits]]
+        c_lo[hit] = np.where(c_lo[hit] < 0, o, c_lo[hit])
+        c_hi[hit] = o
+    lo[many], hi[many] = c_lo, c_hi
+    return lo, hi
 
 
 def _digest(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -253,63 +243,82 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
             marks[r["block"] * (BLOCK_BITS // 8):][:len(part)] |= part
     shared = spark.sparkContext.broadcast(marks)
 
+    def marked_anchors(texts: pa.Array):
+        """(row, position, hash, context digest, left, n_left, right, n_right) of the anchors on the map."""
+        data, offsets = byte_view(texts)
+        at, h = anchors(data, offsets, length, gram)
+        place = h.view(np.int64) % map_bits
+        keep = (shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        at, h = at[keep], h[keep]
+        row = np.searchsorted(offsets, at, side="right") - 1
+        n_left, n_right = np.minimum(reach, at - offsets[row]), np.minimum(length, offsets[row + 1] - at)
+        left, right = _matrix(data, at - 1, n_left, max(1, reach), -1), _matrix(data, at, n_right, length)
+        return row, at - offsets[row], h, mix64(h ^ _digest(left, n_left) * np.uint64(3) ^ _digest(right, n_right)), left, n_left, right, n_right
+
     def contexts(batches):
+        """Different contexts of a slice with the smallest and largest document that holds each."""
         for batch in batches:
             for part in text_slices(batch, "text"):
-                data, offsets = byte_view(part.column(2))
-                at, h = anchors(data, offsets, length, gram)
-                place = (h.view(np.int64) % map_bits)
-                keep = (shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                at, h = at[keep], h[keep]
-                row = np.searchsorted(offsets, at, side="right") - 1
-                a, b = np.maximum(offsets[row], at - reach), np.minimum(offsets[row + 1], at + length)
-                body = ragged_take(data, a, b - a)
-                ends = np.concatenate([[0], np.cumsum(b - a)]).astype(np.int32)
-                context = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(body))])
-                doc, tag = (np.asarray(part.column(i))[row] for i in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(tag), pa.array(at - offsets[row]),
-                                                  pa.array((at - a).astype(np.int32)), context], names=["h", "doc", "tag", "at", "n_left", "context"])
+                row, _, h, digest, left, n_left, right, n_right = marked_anchors(part.column(1))
+                _, first, of = np.unique(digest, return_index=True, return_inverse=True)
+                doc = np.asarray(part.column(0))[row]
+                lo, hi = np.full(len(first), _LAST), np.full(len(first), -_LAST)
+                np.minimum.at(lo, of, doc)
+                np.maximum.at(hi, of, doc)
+                both = np.hstack([left[first], right[first]])
+                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(lo), pa.array(hi), pa.array(digest[first].view(np.int64)), pa.array(n_left[first].astype(np.int32)),
+                                                  pa.array(n_right[first].astype(np.int32)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(both.shape[1]), len(first), [None, pa.py_buffer(np.ascontiguousarray(both))]).cast(pa.binary())],
+                                                 names=["h", "lo", "hi", "digest", "n_left", "n_right", "context"])
 
     def decide(batches):
-        names = ["doc", "tag", "start", "end"]
-        kept = None  # different contexts of the anchor hash that goes on: (h, doc, left, n_left, right, n_right)
-        rows, count = [], 0
+        """Rows of one hash come by ascending document: a context's first row has its smallest one."""
+        names = ["digest", "lead", "full_lo", "full_hi", "own_lo", "own_hi"]
+        kept, rows, count = None, [], 0  # kept: the contexts of the hash that goes on
 
         def close():
             nonlocal kept
-            h, doc, tag, at, n_left = (np.concatenate([r[i] for r in rows]) for i in range(5))
-            left, right, n_right = (np.concatenate([r[i] for r in rows]) for i in (5, 6, 7))
+            h, lo, hi, digest, n_left, n_right, both = (np.concatenate([r[i] for r in rows]) for i in range(7))
             old = len(kept[0]) if kept is not None and kept[0][0] == h[0] else 0
-            parts = (h, doc, left, n_left, right, n_right)
             if old:
-                parts = tuple(np.concatenate([k, p]) for k, p in zip(kept, parts))
-            lo, hi = matched_offsets(*parts, length, gram)
-            last = np.flatnonzero(parts[0] == h[-1])
-            seen = np.column_stack([_digest(parts[2][last], parts[3][last]), _digest(parts[4][last], parts[5][last])])
-            last = last[np.unique(seen.view([("", seen.dtype)] * 2).ravel(), return_index=True)[1]]  # first rows, so smallest documents
-            kept = tuple(p[last] for p in parts)
-            lo, hi = lo[old:], hi[old:]
-            hit = lo >= 0
-            return pa.RecordBatch.from_arrays([pa.array(doc[hit]), pa.array(tag[hit]), pa.array(at[hit] - hi[hit]), pa.array(at[hit] - lo[hit] + length)], names=names)
+                h, lo, hi, digest, n_left, n_right, both = (np.concatenate([k, x]) for k, x in zip(kept, (h, lo, hi, digest, n_left, n_right, both)))
+            _, first, of = np.unique(digest, return_index=True, return_inverse=True)
+            last = np.full(len(first), -_LAST)
+            np.maximum.at(last, of, hi)
+            h, lead, digest, n_left, n_right, both = (x[first] for x in (h, lo, digest, n_left, n_right, both))
+            width = max(1, reach)
+            own_lo, own_hi = earlier_offsets(h, lead, both[:, :width], n_left, both[:, width:], n_right, length, gram)
+            on = h == np.concatenate([r[0] for r in rows])[-1]
+            kept = tuple(x[on] for x in (h, lead, last, digest, n_left, n_right, both))
+            say = (own_lo >= 0) | (last > lead) & (length - n_right <= n_left)
+            return pa.RecordBatch.from_arrays([pa.array(x[say]) for x in (digest, lead, length - n_right, n_left, own_lo, own_hi)], names=names)
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            h, doc, tag, at, n_left = (np.asarray(batch.column(i)) for i in range(5))
-            data, offsets = byte_view(batch.column(5))
-            n_left, middle = n_left.astype(np.int64), offsets[:-1] + n_left
-            n_right = offsets[1:] - middle
-            rows.append((h, doc, tag, at, n_left, _matrix(data, middle - 1, n_left, max(1, reach), -1), _matrix(data, middle, n_right, length), n_right))
-            count += len(h)
-            if count >= ROWS:
-                yield close()
-                rows, count = [], 0
+            if batch.num_rows:
+                h, lo, hi, digest, n_left, n_right = (np.asarray(batch.column(i)).astype(np.int64) for i in range(6))
+                rows.append((h, lo, hi, digest, n_left, n_right, byte_view(batch.column(6))[0].reshape(len(h), -1)))
+                count += len(h)
+                if count >= ROWS:
+                    yield close()
+                    rows, count = [], 0
         if rows:
             yield close()
 
-    marked_rows = docs.mapInArrow(contexts, "h long, doc long, tag long, at long, n_left int, context binary")
-    dealt = marked_rows.repartition("h").sortWithinPartitions("h", "doc")
-    return dealt.mapInArrow(decide, "doc long, tag long, start long, end long")
+    def occurrences(batches):
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                row, at, _, digest, *_ = marked_anchors(part.column(2))
+                doc, tag = (np.asarray(part.column(i))[row] for i in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(doc), pa.array(tag), pa.array(at.astype(np.int32))], names=["digest", "doc", "tag", "at"])
+
+    # Texts are cut off before the shuffles: of copies a task sends one context, and the rows of a hot hash are its different contexts.
+    dealt = docs.select("doc", "text").mapInArrow(contexts, "h long, lo long, hi long, digest long, n_left int, n_right int, context binary")
+    dealt = dealt.repartition("h").sortWithinPartitions("h", "lo")
+    decided = written(dealt.mapInArrow(decide, "digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long"), "contexts")
+    decided = decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")])
+    met = docs.select("doc", "tag", "text").mapInArrow(occurrences, "digest long, doc long, tag long, at int").join(decided, "digest")
+    later = F.col("doc") > F.col("lead")
+    met = met.select("doc", "tag", "at", F.when(later, F.col("full_lo")).otherwise(F.col("own_lo")).alias("lo"), F.when(later, F.col("full_hi")).otherwise(F.col("own_hi")).alias("hi"))
+    return met.where("lo >= 0 and lo <= hi").select("doc", "tag", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("end"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, map_bits: int = MAP_BITS) -> DataFrame:

@@ -111,5 +111,7 @@ def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
         total += n
     off = spark.createDataFrame(offsets or [(0, 0)], "__pid int, __off long")
     w = Window.partitionBy("__pid").orderBy(col)
-    return (ranged.withColumn("__rn", F.row_number().over(w)).join(F.broadcast(off), "__pid")
+    made = (ranged.withColumn("__rn", F.row_number().over(w)).join(F.broadcast(off), "__pid")
             .select(col, (F.col("__off") + F.col("__rn") - 1).cast("int").alias(out)))
+    made._held = ranged  # to be released once the index was read
+    return made

@@ -40,7 +40,7 @@ from seisflow.functions.scalars import round2
 from seisflow.operators.common import bounded_by, broadcast_if_small, dense_index, known_rows
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
-from seisflow.session import checkpoint_dir, scratch_path
+from seisflow.session import checkpoint_dir, drop_scratch, scratch_path
 
 NOISE = -1
 _OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3)]
@@ -115,9 +115,16 @@ def _cut(df: DataFrame, observe=None):
     df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
     got = obs.get
     out = known_rows(spark.read.schema(df.schema).parquet(path), got["__rows"])
+    out._scratch = path
     return (out, got) if observe else out
 
 
+def _drop(*tables: DataFrame) -> None:
+    """Delete cut tables that nothing reads any more."""
+    for t in tables:
+        drop_scratch(t.sparkSession, t._scratch)
+
+
 def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
     """Connected components of the cell graph by min-label hooking with pointer jumping.
 
@@ -149,9 +156,13 @@ def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -
         # both the hop and the jump) while the drops are counted.
         new, got = _cut(new, observe=[F.count_if("dropped").alias("changed")])
         changed = got["changed"]
+        _drop(labels)
         labels = new.drop("dropped")
+        labels._scratch = new._scratch
         if changed == 0:
-            return labels.select("cx", "cy", "label")
+            final = _cut(labels.select("cx", "cy", "label"))
+            _drop(labels, both)
+            return final
     raise RuntimeError("connected components did not converge")
 
 
@@ -233,7 +244,9 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
 
     # 4. components → cluster numbers by first core row.
     comp = _components(ccells.select("cx", "cy", F.struct("first_k", "cx", "cy").alias("label")), edges)
-    cell_zone = _cut(comp.join(dense_index(comp, "label", "zone_no"), "label").select("cx", "cy", "zone_no"))
+    numbers = dense_index(comp, "label", "zone_no")
+    cell_zone = _cut(comp.join(numbers, "label").select("cx", "cy", "zone_no"))
+    numbers._held.unpersist()
 
     # 5. points of thin cells: core ones take their cell's number, the others the smallest among core points within eps.
     rest = queries.join(bounded_by(counted, counted.where(~F.col("is_core"))), ["qx", "qy"])
@@ -243,6 +256,7 @@ def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_
            .join(broadcast_if_small(bounded_by(cell_zone, cell_zone.withColumnsRenamed({"cx": "qcx", "cy": "qcy"}))), ["qcx", "qcy"]))
     thin_zone = _cut(border.unionByName(own.select("qx", "qy", "zone_no")).select(F.col("qx").alias("__x"), F.col("qy").alias("__y"), F.col("zone_no").alias("__thin")))
     dense_zone = _cut(cell_zone.join(broadcast_if_small(dense), ["cx", "cy"]).select(F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("zone_no").alias("__dense")))
+    _drop(pts, subs, queries, counted, core, csubs, ccells, pairs, sp, cand, comp, cell_zone)
     labelled = p.join(broadcast_if_small(dense_zone), ["__cx", "__cy"], "left").join(broadcast_if_small(thin_zone), ["__x", "__y"], "left")
     zone = F.coalesce(F.col("__dense"), F.col("__thin"), F.lit(NOISE)).cast("int")
     return labelled.select(*[F.col(f"`{c}`") for c in df.columns if c != out], zone.alias(out))

@@ -159,7 +159,12 @@ def pattern_report(spark, sf_dir):
     return jobs.report_sizes(jobs.pattern_report(catalogue(spark, sf_dir)))
 
 
-@register("schema_report")
+_DERIVED = {c: c for c in ("id", "magnitude", "place", "time", "updated", "longitude", "latitude", "depth")} | {"date": "time", "hour": "time"}
+
+
+@register("schema_report", q(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{n}' AS name, '{t.simpleString()}' AS data_type, TRUE AS nullable, count({_DERIVED.get(n, 'NULL')}) AS non_null FROM quakes"
+    for i, (n, t) in enumerate(CATALOGUE_FIELDS))))
 def schema_report(spark, sf_dir):
     from seisflow.schema import schema_report as report
     return report(catalogue(spark, sf_dir).drop("event_id"))

@@ -1,6 +1,6 @@
 """Fixed schemas: the flat event catalogue and the raw GeoJSON feed document."""
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 # The 24 catalogue columns, in order, all nullable.
 CATALOGUE_FIELDS = [
@@ -70,7 +70,8 @@ FEED_SCHEMA = T.StructType([T.StructField("features", T.ArrayType(FEED_FEATURE))
 
 
 def schema_report(df):
-    """The schema as (position, name, type, nullable) rows instead of printSchema text."""
-    spark = df.sparkSession
+    """The schema as (position, name, type, nullable) rows with each column's number of values, in one pass."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, name string, data_type string, nullable boolean")
+    kinds = df.sparkSession.createDataFrame(rows, "position int, name string, data_type string, nullable boolean")
+    filled = df.agg(*[F.count(f"`{c}`").alias(c) for c in df.columns]).unpivot([], df.columns, "name", "non_null")
+    return kinds.join(F.broadcast(filled), "name").select("position", "name", "data_type", "nullable", "non_null")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -65,8 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark)
-    # Spark reports the folder as a URI ("file:/tmp/…", "hdfs://…"); only a bare
-    # relative path is made absolute, never a URI.
+    # Spark reports the folder as a URI ("file:/tmp/…", "hdfs://…"). A bare relative path would mean another
+    # folder on every machine.
     if not urlparse(base).scheme and not base.startswith("/"):
-        base = os.path.abspath(base)
+        raise ValueError(f"spark.checkpoint.dir must be a URI or an absolute path, not {base!r}")
     return f"{base.rstrip('/')}/seisflow-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that :func:`scratch_path` named, once nothing reads it any more."""
+    if "/seisflow-" not in path:
+        raise ValueError(f"not a scratch table: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

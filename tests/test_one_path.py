@@ -68,6 +68,7 @@ def test_nothing_stays_cached(spark, cat):
     models.forest_magnitude(cat, trees=3, max_depth=3)
     isolation.detect_anomalies(cat, trees=5)
     models.pca_components(cat)
+    zones.active_zones(cat, eps=0.1, order_col="event_id").count()
     assert cached(spark) == before
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from seisflow.session import scratch_path
+from seisflow.session import drop_scratch, scratch_path
 
 #: Text handled at once inside a Python task; numpy temporaries are a small multiple of it.
 SLICE_BYTES = 4 << 20
@@ -45,7 +45,15 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = scratch_path(spark, name)
     with shuffles_freed(spark):
         df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more."""
+    for t in tables:
+        drop_scratch(t.sparkSession, t._scratch)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from seisflow.llm.common import written
+from seisflow.llm.common import drop_written, written
 
 
 def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
@@ -23,7 +23,10 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         lowered = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("low"))
         up = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
         moved = written(lowered.join(up, "low", "left").select("node", "old", F.least("low", "far").alias("root")), "labels")
+        drop_written(labels)
         labels = moved.select("node", "root")
+        labels._scratch = moved._scratch
         if moved.where("root <> old").limit(1).count() == 0:
+            drop_written(both)
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -313,8 +313,9 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
     # Texts are cut off before the shuffles: of copies a task sends one context, and the rows of a hot hash are its different contexts.
     dealt = docs.select("doc", "text").mapInArrow(contexts, "h long, lo long, hi long, digest long, n_left int, n_right int, context binary")
     dealt = dealt.repartition("h").sortWithinPartitions("h", "lo")
-    decided = written(dealt.mapInArrow(decide, "digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long"), "contexts")
-    decided = decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")])
+    decided = dealt.mapInArrow(decide, "digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long")
+    # Summed up before it is written, so that the join below has two plain exchanges and Spark can split a hot context.
+    decided = written(decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")]), "contexts")
     met = docs.select("doc", "tag", "text").mapInArrow(occurrences, "digest long, doc long, tag long, at int").join(decided, "digest")
     later = F.col("doc") > F.col("lead")
     met = met.select("doc", "tag", "at", F.when(later, F.col("full_lo")).otherwise(F.col("own_lo")).alias("lo"), F.when(later, F.col("full_hi")).otherwise(F.col("own_hi")).alias("hi"))

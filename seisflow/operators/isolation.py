@@ -137,7 +137,8 @@ class IsolationForestModel:
                         break
                     go_left = x[rows, np.where(inner, f, 0)] < thr[node]
                     node = np.where(inner, np.where(go_left, left[node], right[node]), node)
-                yield pd.Series(np.power(2.0, -(leaf_h[node].sum(axis=0) / n_trees) / norm))
+                # Rounded, so that a row's score does not depend on the batch it comes in.
+                yield pd.Series(np.round(np.power(2.0, -(leaf_h[node].sum(axis=0) / n_trees) / norm), 12))
 
         udf = F.pandas_udf(walk, "double")
         return udf(*[F.col(c) if isinstance(c, str) else c for c in columns])

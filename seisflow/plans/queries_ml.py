@@ -322,8 +322,8 @@ def anomaly_count_q(spark, sf_dir):
 @register("anomaly_invariants", q(
     "SELECT count(*) AS \"rows\", TRUE AS share_below, TRUE AS scores_separate FROM complete", _COMPLETE))
 def anomaly_invariants(spark, sf_dir):
-    """Every complete row is labelled; the -1 rows are the highest scores, a tenth of all at most."""
+    """Every complete row is labelled; the -1 rows are the highest scores, those below the tenth's order statistic."""
     out = _anomalies(spark, sf_dir).groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"), F.min("anomaly_score").alias("lo"), F.max("anomaly_score").alias("hi"))
     low = F.col("is_anomaly") == -1
     got = out.agg(F.sum("n").alias("rows"), F.sum(F.when(low, F.col("n"))).alias("odd"), F.min(F.when(low, F.col("lo"))).alias("lo"), F.max(F.when(~low, F.col("hi"))).alias("hi"))
-    return got.select("rows", ((F.col("odd") <= 0.1 * F.col("rows")) & (F.col("odd") >= 0.08 * F.col("rows"))).alias("share_below"), (F.col("lo") > F.col("hi")).alias("scores_separate"))
+    return got.select("rows", ((F.col("odd") <= F.floor(0.1 * (F.col("rows") - 1)) + 1) & (F.col("odd") >= 0.08 * F.col("rows"))).alias("share_below"), (F.col("lo") > F.col("hi")).alias("scores_separate"))

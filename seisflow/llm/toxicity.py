@@ -8,13 +8,14 @@ A linear classifier g over words and word openings (their presence, and how ofte
 with logistic loss and the class prior π; where the bracket falls below zero its gradient is reversed,
 so that the classifier does not fit U as if all of it were negative.
 
-The fit reads a bounded sample (``MAX_POSITIVES`` labelled rows, ``MAX_UNLABELLED`` texts, by hash of
-the id); the document frequencies that choose the features, and the prior, come from all training
-rows. The model is at most ``FEATURES`` strings and weights.
+The document frequencies that choose the features, and the prior, come from all training rows: one pass counts
+every feature among the positives and among all (an aggregate with map-side partials), the tests for a feature
+are column expressions, and the ``FEATURES`` strongest come back. Only the matrix of the fit reads a bounded sample
+(``MAX_POSITIVES`` labelled texts, ``MAX_UNLABELLED`` texts, by hash of the id).
 
 Defined results: a null or empty text has no features and gets the score of the bias alone; without
 positives every score is 0; repeated label rows count as toxic if one of them is; repeated documents
-are scored each for itself.
+are scored each for itself, and equal rows come into the fit's matrix once.
 """
 
 from __future__ import annotations
@@ -26,11 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seisflow.llm.common import append_columns, bound_batches, text_bytes, text_slices
+from seisflow.llm.common import append_columns, bound_batches, drop_written, text_bytes, text_slices, written
+from seisflow.operators.common import broadcast_if_small, known_rows
 
 MAX_POSITIVES, MAX_UNLABELLED = 4000, 12000
-#: Features considered (by frequency in the positives) and kept.
-CANDIDATES, FEATURES = 20000, 256
+#: Features of the model.
+FEATURES = 256
+#: A task hands on its counts when it holds so many different features.
+HELD_FEATURES = 200_000
 #: A feature is kept if at least this share of the documents that have it is estimated to be toxic (π P(f | P) / P(f | U)).
 LEAST_SHARE = 0.25
 #: And if the positives hold it so many standard deviations more often than all documents do.
@@ -69,18 +73,45 @@ class Model:
     bias: float
 
 
-def _count(docs: DataFrame, names: set[bytes] | None) -> DataFrame:
-    """(feature, documents that have it), of the given features or of all."""
+def _count(docs: DataFrame) -> DataFrame:
+    """(feature, p, u): in how many positive documents, and in how many of all, a feature occurs; of ``docs`` (positive, text)."""
     bound_batches(docs.sparkSession)
 
+    def summed(p: Counter, u: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(u), pa.binary()), pa.array([p[f] for f in u], pa.int64()), pa.array(list(u.values()), pa.int64())], names=["feature", "p", "u"])
+
     def run(batches):
-        n: Counter = Counter()
+        p, u = Counter(), Counter()
         for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                n.update(features(text) if names is None else features(text) & names)
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())], names=["feature", "n"])
-
-    return docs.select("text").mapInArrow(run, "feature binary, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+            for positive, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                found = features(text)
+                u.update(found)
+                if positive:
+                    p.update(found)
+                if len(u) >= HELD_FEATURES:
+                    yield summed(p, u)
+                    p, u = Counter(), Counter()
+        yield summed(p, u)
+
+    return docs.select("positive", "text").mapInArrow(run, "feature binary, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
+def chosen(counts: DataFrame, n_p: int, n_u: int, prior: float) -> list[bytes]:
+    """The ``FEATURES`` strongest features that pass the tests; ``counts``: (feature, p, u)."""
+    # An excess of so many deviations needs more than as many positives. The same holds, as their count is
+    # whole, for a longer feature that has 0.9 of them.
+    held = written(counts.where(F.col("p") > LEAST_EXCESS), "features")
+    # An opening says no more than a longer feature that nearly all its positives hold.
+    cuts = F.array(*[F.when(F.octet_length("feature") > k, F.substring("feature", 1, k)) for k in OPENINGS])
+    longer = held.select(F.explode(cuts).alias("feature"), "p").where("feature is not null").groupBy("feature").agg(F.max("p").alias("longer"))
+    a, b = F.col("p") / F.lit(n_p), F.col("u") / F.lit(n_u)
+    excess = n_p * (a - b) / F.sqrt(n_p * b + 1)
+    strength = (a - b) / F.sqrt(F.greatest(b * (1 - b), F.lit(0.0)) + 1.0 / n_p)
+    told = held.join(longer, "feature", "left").where(F.col("longer").isNull() | (F.col("longer") < 0.9 * F.col("p")))
+    kept = told.where((prior * a >= LEAST_SHARE * b) & (excess >= LEAST_EXCESS)).select("feature", strength.alias("strength")).where("strength > 0")
+    names = [bytes(r["feature"]) for r in kept.orderBy(F.desc("strength"), "feature").limit(FEATURES).collect()]
+    drop_written(held)
+    return names
 
 
 def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -104,53 +135,45 @@ def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); both hold training rows only."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.col("doc_id").isNotNull())
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rate = known.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("rate")).first()["rate"]
-    if not rate:
+    told = known.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("rate"), F.count_if(F.col("toxic") > 0).alias("n")).first()
+    if not told["rate"]:
         return Model([], np.zeros(0), -30.0)
-    prior = min(max(rate, 1e-3), 0.9)
-
-    by_hash = F.xxhash64("doc_id")
-    positives = known.where("toxic > 0").orderBy(by_hash, "doc_id").limit(MAX_POSITIVES).select("doc_id")
-    p_ids = spark.createDataFrame(positives.collect(), "doc_id long")
-    u_ids = spark.createDataFrame(docs.select("doc_id").distinct().orderBy(by_hash, "doc_id").limit(MAX_UNLABELLED).collect(), "doc_id long")
+    prior = min(max(told["rate"], 1e-3), 0.9)
 
-    # Both id lists are bounded by the two parameters above.
-    p_docs = docs.join(F.broadcast(p_ids), "doc_id")
-    in_p = {bytes(r["feature"]): r["n"] for r in _count(p_docs, None).where(F.col("n") >= max(3, p_ids.count() // 100)).orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()}
-    if not in_p:
+    positives = broadcast_if_small(known_rows(known.where("toxic > 0").select("doc_id", F.lit(True).alias("positive")), told["n"]))
+    marked = docs.join(positives, "doc_id", "left").withColumn("positive", F.col("positive").isNotNull())
+    size = marked.agg(F.count_if("positive").alias("p"), F.count(F.lit(1)).alias("u")).first()
+    if not size["p"]:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
-    in_u = {bytes(r["feature"]): r["n"] for r in _count(docs, set(in_p)).collect()}
-    n_p, n_u = max(1, p_ids.count()), max(1, docs.count())
-    # An opening says no more than a longer feature that nearly all its positives hold.
-    vague = {f[:k] for f, n in in_p.items() for k in OPENINGS if k < len(f) and n >= 0.9 * in_p.get(f[:k], n + 1e9)}
-    names = sorted(in_p.keys() - vague)
-    a, b = np.array([in_p[f] / n_p for f in names]), np.array([in_u.get(f, 0) / n_u for f in names])
-    excess = n_p * (a - b) / np.sqrt(n_p * b + 1)
-    strength = np.where((prior * a >= LEAST_SHARE * b) & (excess >= LEAST_EXCESS), (a - b) / np.sqrt((b * (1 - b)).clip(0) + 1.0 / n_p), -1.0)
-    names = [names[i] for i in np.argsort(-strength, kind="stable")[:FEATURES] if strength[i] > 0]
+    names = chosen(_count(marked), size["p"], size["u"], prior)
     number = {f: i for i, f in enumerate(names)}
 
     def rows(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
-                found = [frequent(t, number) for t in text_bytes(part.column(0))]
-                yield pa.RecordBatch.from_arrays([pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                                                  pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))], names=["at", "rate"])
-
-    def matrix(sample: DataFrame) -> np.ndarray:
-        # Repeated rows of a sampled id come along, up to twice the sample.
-        found = sample.select("text").mapInArrow(rows, "at array<int>, rate array<float>").limit(2 * (MAX_POSITIVES + MAX_UNLABELLED)).collect()
+                found = [frequent(t, number) for t in text_bytes(part.column(2))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
+                                                  pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))], names=["doc_id", "tag", "at", "rate"])
+
+    # Equal rows are one; different texts of one id are told apart by their hash.
+    tagged = marked.withColumn("tag", F.xxhash64("text"))
+
+    def matrix(of: DataFrame, most: int) -> np.ndarray:
+        key = ["doc_id", "tag"]
+        ids = of.select(*key).distinct().orderBy(F.xxhash64("doc_id"), *key).limit(most).collect()
+        # Bounded by ``most``, as are the rows that come back: one of each key.
+        sample = of.join(F.broadcast(spark.createDataFrame(ids, "doc_id long, tag long")), key).select(*key, "text")
+        found = sample.mapInArrow(rows, "doc_id long, tag long, at array<int>, rate array<float>").groupBy(*key).agg(F.first("at").alias("at"), F.first("rate").alias("rate"))
+        found = sorted(found.collect(), key=lambda r: (r["doc_id"], r["tag"]))
         x = np.zeros((len(found), 2 * len(names)), np.float32)
         for i, r in enumerate(found):
             x[i, r["at"]] = 1
             x[i, [len(names) + j for j in r["at"]]] = r["rate"]
         return x
 
-    x_p, x_u = matrix(p_docs), matrix(docs.join(F.broadcast(u_ids), "doc_id"))
-    if not len(x_p) or not len(x_u):
-        return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
+    x_p, x_u = matrix(tagged.where("positive"), MAX_POSITIVES), matrix(tagged, MAX_UNLABELLED)
     weights, bias = nnpu(x_p, x_u, prior)
     return Model(names, weights, bias)
 

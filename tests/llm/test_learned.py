@@ -51,6 +51,18 @@ def test_toxicity_held_out(spark):
     assert hit > 0.85 and wrong < 0.02
 
 
+def test_toxicity_counts_all_positives(frame, spark, monkeypatch):
+    """Each of 100 words is in 12 of 1200 positives: too few for a share of them, and for a sample."""
+    monkeypatch.setattr(toxicity, "MAX_POSITIVES", 200)
+    words = ["".join(chr(97 + i // k % 10) for k in (1, 10)) * 2 + "q" for i in range(100)]
+    rows = [(i, f"plain text {words[i % 100]}" if i < 1200 else "plain text") for i in range(6000)]
+    labels = spark.createDataFrame([(i, 0, int(i < 1200)) for i in range(6000)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame(rows), labels)
+    assert {f.strip() for f in model.names} >= {w.encode() for w in words}
+    assert toxicity.fit(frame(rows + rows[:1200] * 3, parts=5), labels).names == model.names
+    assert toxicity.fit(frame(rows, parts=7), labels).bias == model.bias
+
+
 def test_non_negative_risk_keeps_unlabelled_positives_apart():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(4000, 2)).astype(np.float32)

@@ -1,7 +1,9 @@
 """Licence scans (1) by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences at line ends and after ``. ! ?``; each is normalised (ASCII lower case,
-runs of other characters as one blank) and mapped to the identifier of a known licence sentence. The
+A text is normalised (ASCII lower case, runs of other characters as one blank). A known sentence may begin and end
+at a line end, after ``. ! ?`` and a blank, at ``; :`` and after a bracketed bullet. It may run on over all of these
+(texts are wrapped, and a header may be one line), but not over a line without words, nor over an end mark that no
+digit follows (``v. 2.0``); of two that begin at one place the longer is found. Each is mapped to an identifier. The
 identifiers of a document, in order, are matched against ordered rules: the first rule takes the runs
 it matches out of the sequence, then the next rule looks at what is left. Identifiers that no rule takes
 are reported as ``unmatched``.
@@ -70,25 +72,67 @@ RULES = [
     ("Proprietary", ["ALL_RIGHTS"]),
 ]
 
+# What the SQL below does not know. Further wordings, and rules that are tried before the others.
+MORE_SENTENCES = {
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "APACHE2_COPY",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "APACHE2_COPY",
+    SENTENCES["GPL_FREE"].replace("version 3", "version 2"): "GPL2_FREE",
+    SENTENCES["GPL_FREE"].replace("gnu general", "gnu affero general"): "AGPL3_FREE",
+    **{SENTENCES["GPL_FREE"].replace("this program", f"this {what}").replace("gnu general", "gnu lesser general").replace("version 3", f"version {v}"): i
+       for what in ("program", "library") for v, i in (("3", "LGPL3_FREE"), ("2 1", "LGPL21_FREE"))},
+    SENTENCES["GPL_HOPE"].replace("this program", "this library"): "GPL_HOPE",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSD_NAMES",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISC_GRANT",
+    "this is free and unencumbered software released into the public domain": "UNLICENSE",
+}
+MORE_RULES = [
+    ("BSD-3-Clause", ["ALL_RIGHTS", "BSD_USE", "BSD_SOURCE", "BSD_BINARY", "BSD_NAMES"]),
+    ("BSD-3-Clause", ["BSD_USE", "BSD_SOURCE", "BSD_BINARY", "BSD_NAMES"]),
+    ("BSD-2-Clause", ["ALL_RIGHTS", "BSD_USE", "BSD_SOURCE", "BSD_BINARY"]),
+    *[(name, ids) for name, first in (("AGPL-3.0-or-later", "AGPL3_FREE"), ("LGPL-3.0-or-later", "LGPL3_FREE"), ("LGPL-2.1-or-later", "LGPL21_FREE"), ("GPL-2.0-or-later", "GPL2_FREE"))
+      for ids in ([first, "GPL_HOPE"], [first])],
+    ("ISC", ["ISC_GRANT"]),
+    ("Unlicense", ["UNLICENSE"]),
+]
+# The holder's name stands in this one.
+_HOLDER, _ANY_HOLDER = "of the copyright holder nor the names of its ", "of (?:[a-z0-9]+ ){1,20}nor the names of (?:its|the|their) "
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_END, _OTHER = r"([.!?])[ \t\n\r\f]+", "[^a-z0-9]+"
+# Marks, in order; upper case is free after folding: H ends a sentence, S may end one or be run over.
+_MARKS = [
+    (r"[.!?][ \t\n\r\f]++(?![0-9])", "H"),
+    (r"\n(?:[^a-z0-9HS\n]*+\n)++", "H"),
+    (r"[;:\n]|\)[ \t]|[.!?][ \t\r\f]", "S"),
+    ("[^a-z0-9HS]+", " "),
+    ("[ S]*+H[ HS]*+", "H"),
+    (" *+S[ S]*+", "S"),
+]
 
 
 def _sequence(ids: list[str]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
+def _sentences() -> dict[str, str]:
+    """Identifiers by sentence, the longer sentences first."""
+    return dict(sorted([*((s, i) for i, s in SENTENCES.items()), *MORE_SENTENCES.items()], key=lambda x: -len(x[0])))
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    lines = F.split(F.regexp_replace(F.translate(text, _UPPER, _LOWER), _END, "$1\n"), "\n")
-    known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
-    ids = F.transform(lines, lambda s: F.try_element_at(known, F.trim(F.regexp_replace(s, _OTHER, " "))))
-    return F.filter(ids, lambda i: i.isNotNull())
+    cut = F.translate(text, _UPPER, _LOWER)
+    for pattern, mark in _MARKS:
+        cut = F.regexp_replace(cut, pattern, mark)
+    ids = _sentences()
+    wanted = "|".join(s.replace(_HOLDER, _ANY_HOLDER).replace(" ", "[ S]") for s in ids)
+    found = F.regexp_extract_all(F.concat(F.lit("H"), F.trim(cut), F.lit("H")), F.lit(f"(?<=[HS])(?:{wanted})(?=[HS])"), F.lit(0))
+    known = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    return F.transform(found, lambda s: F.try_element_at(known, F.regexp_replace(F.translate(s, "S", " "), _ANY_HOLDER, _HOLDER)))
 
 
 def apply_rules(ids: Column) -> Column:
     """struct(left, found): what no rule took, and the licences found, in rule order."""
-    rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(_sequence(s)).alias("take")) for n, s in RULES])
+    rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(_sequence(s)).alias("take")) for n, s in [*MORE_RULES, *RULES]])
     start = F.struct(F.array_join(F.transform(ids, lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "").alias("left"),
                      F.array().cast("array<string>").alias("found"))
 
@@ -115,7 +159,7 @@ def license_rows(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same result in SQL: sentences unnested and joined, rules applied one by one."""
+    """SQL for texts with one sentence a line or after an end mark, of the first tables: sentences unnested and joined, rules applied one by one."""
     known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES.items())
     sql = [f"""WITH known(sentence, id) AS (VALUES {known}),
 docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),

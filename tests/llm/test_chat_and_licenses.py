@@ -74,6 +74,31 @@ def test_license_rules(frame):
     assert got == {1: ("MIT", ""), 2: ("MIT,Proprietary", ""), 3: ("", "BSD_SOURCE"), 4: ("", ""), 5: ("", ""), 6: ("Apache-2.0,CC-BY-NC-4.0", "")}
 
 
+def test_licenses_as_they_are_wrapped(frame):
+    mit = ('Copyright (c) 2020 A\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\n'
+           "in the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\n"
+           "furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS")
+    gpl = ("This program is free software{0} you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation{0} either version {1} of the License, or\n(at your option) any later version.\n\n"
+           "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.")
+    bsd = ("Copyright (c) 2001, A\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+           "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2{0} Redistributions in binary form must reproduce the above copyright notice,\n"
+           "   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n")
+    names = "3. Neither the name of Example Labs, Inc nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless'
+    texts = {mit: "MIT", mit.replace("\n", "\r\n"): "MIT", "\n".join(f" * {x}" for x in mit.split("\n")): "MIT", gpl.format(",", 3): "GPL-3.0-or-later", gpl.format(";", 2): "GPL-2.0-or-later",
+             bsd.format("."): "BSD-2-Clause", bsd.format(")") + names: "BSD-3-Clause", apache: "Apache-2.0", "x. This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy": "MPL-2.0",
+             "Licensed under the\n\nMIT License": "", "Licensed under the Apache. License Version 2.0": "", "not licensed under the MIT license": "", "licensed under the MIT license now": ""}
+    got = {r.doc_id: r for r in licenses.license_rows(frame(list(enumerate(texts)))).collect()}
+    assert [got[i].licenses for i in range(len(texts))] == list(texts.values())
+    assert got[7].sentence_ids == "APACHE2_THE_LICENSE,APACHE2_COMPLY"
+    assert {r.unmatched for r in got.values()} == {""}
+
+
+def test_no_license_sentence_ends_or_lies_in_another():
+    known = list(licenses._sentences())
+    assert not [(a, b) for a in known for b in known if a != b and f" {a} " in f" {b} " and not b.startswith(a)]
+
+
 def test_license_edges(frame, odd):
     assert licenses.license_rows(frame([])).count() == 0
     assert licenses.scan_licenses(odd).where("size(licenses) = 0").count() == odd.count()

@@ -18,6 +18,10 @@ A third pass joins each anchor's place with what was decided for its context (a
 one context is hot). Spans are gathered per document and the text is joined once more to cut them out. Contexts of
 one hash are sorted by document id and streamed, so copies of any number cost no memory.
 
+An anchor hash with more than ``MOST`` places may have as many different contexts, too many for one task. Its contexts
+are not sorted: each names its windows by digests, an aggregate with map-side partials takes the smallest document of
+each (hash, window), and a join that Spark can split brings it back to the contexts.
+
 Defined results: a null text is an empty one; texts shorter than ``LENGTH`` bytes keep everything; a null id
 counts as larger than all others; rows that share an id never remove each other's bytes, and equal rows
 come out as often as they went in; an empty table gives an empty table.
@@ -42,6 +46,8 @@ BLOCK_BITS = 1 << 20
 SHALLOW = 32
 #: Anchors handled at once in a task.
 ROWS = 50_000
+#: Places of an anchor hash up to which one task sorts its contexts.
+MOST = ROWS
 _LAST = (1 << 63) - 1
 
 
@@ -204,7 +210,24 @@ def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: in
     return np.where(held, data[np.where(held, starts[:, None] + step * k, 0)], 0).astype(np.uint8) if len(data) else np.zeros((len(starts), width), np.uint8)
 
 
-def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int = MAP_BITS) -> DataFrame:
+def window_digests(left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, length: int, gram: int):
+    """(offset, rows, digests) of the windows that start so far before the anchor, for each offset and the contexts that hold it."""
+    step = lambda x, byte: mix64((x ^ (byte.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15))
+    reach = length - gram
+    ends, x = [], np.zeros(len(right), np.uint64)
+    for k in range(length):
+        x = step(x, right[:, k])
+        if k + 1 >= gram:
+            ends.append(x)
+    x = np.full(len(left), length, np.uint64)
+    for o in range(reach + 1):
+        if o:
+            x = step(x, left[:, o - 1])
+        fits = np.flatnonzero((n_left >= o) & (n_right >= length - o))
+        yield o, fits, mix64(x[fits] * np.uint64(3) ^ ends[reach - o][fits] + np.uint64(o))
+
+
+def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int = MAP_BITS, most: int = MOST) -> DataFrame:
     """(doc, tag, start, end): byte spans to remove from ``docs`` (doc, tag, text); they may overlap."""
     if not 8 <= gram <= length:
         raise ValueError("the gram must have 8 bytes at least and fit into the length")
@@ -221,55 +244,88 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
                 h, ids = h[order], ids[order]
                 first = np.flatnonzero(np.diff(h, prepend=~h[:1]) != 0)
                 last = np.append(first[1:], len(h))[:len(first)] - 1
-                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(ids[first]), pa.array(ids[last])], names=["h", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(ids[first]), pa.array(ids[last]), pa.array(last - first + 1)], names=["h", "lo", "hi", "n"])
+
+    held = docs.select("doc", "text").mapInArrow(hashes, "h long, lo long, hi long, n long").groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
 
-    held = docs.select("doc", "text").mapInArrow(hashes, "h long, lo long, hi long").groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     def blocks(batches):
-        maps: dict[int, np.ndarray] = {}
+        maps: dict[int, np.ndarray] = {}  # 1: shared, 2: hot
         for batch in batches:
-            bit = np.asarray(batch.column(1))
+            bit, both, hot = np.asarray(batch.column(1)), *(batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             for k in np.unique(bit // BLOCK_BITS).tolist():
-                own = bit[bit // BLOCK_BITS == k] % BLOCK_BITS
-                maps.setdefault(k, np.zeros(BLOCK_BITS, np.uint8))[own] = 1
+                own = bit // BLOCK_BITS == k
+                m = maps.setdefault(k, np.zeros(BLOCK_BITS, np.uint8))
+                m[bit[own & both] % BLOCK_BITS] |= 1
+                m[bit[own & hot] % BLOCK_BITS] |= 2
         for k, m in maps.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zlib.compress(np.packbits(m, bitorder="little").tobytes(), 1)], pa.binary())], names=["block", "bits"])
+            packed = [zlib.compress(np.packbits(m & 1, bitorder="little").tobytes(), 1), (np.flatnonzero(m & 2) + k * BLOCK_BITS).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), *(pa.array([x], pa.binary()) for x in packed)], names=["block", "bits", "hot"])
 
     bit = F.pmod("h", F.lit(map_bits))
-    dealt = held.where("lo < hi").select((bit / BLOCK_BITS).cast("long").alias("block"), bit.alias("bit")).repartition("block")
+    dealt = held.where((F.col("lo") < F.col("hi")) | (F.col("n") > most)).select((bit / BLOCK_BITS).cast("long").alias("block"), bit.alias("bit"), F.expr("lo < hi").alias("both"), (F.col("n") > most).alias("hot")).repartition("block")
     marks = np.zeros(-(-map_bits // BLOCK_BITS) * BLOCK_BITS // 8, np.uint8)
+    hot = [np.zeros(0, np.int64)]
     with shuffles_freed(spark):
-        for r in dealt.mapInArrow(blocks, "block long, bits binary").collect():  # at most map_bits in all
+        # At most map_bits in all, and one number for each ``most`` places.
+        for r in dealt.mapInArrow(blocks, "block long, bits binary, hot binary").collect():
+            hot.append(np.frombuffer(r["hot"], np.int64))
             part = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
             marks[r["block"] * (BLOCK_BITS // 8):][:len(part)] |= part
-    shared = spark.sparkContext.broadcast(marks)
+    hot = np.sort(np.concatenate(hot))
+    shared, crowded = spark.sparkContext.broadcast(marks), spark.sparkContext.broadcast(hot)
 
-    def marked_anchors(texts: pa.Array):
-        """(row, position, hash, context digest, left, n_left, right, n_right) of the anchors on the map."""
+    def marked_anchors(texts: pa.Array, only_hot: bool | None = None):
+        """(row, position, hash, context digest, left, n_left, right, n_right) of the anchors on the map: all, or only the hot ones, or only the others."""
         data, offsets = byte_view(texts)
         at, h = anchors(data, offsets, length, gram)
         place = h.view(np.int64) % map_bits
         keep = (shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        if only_hot is not None and len(crowded.value):
+            keep &= np.isin(place, crowded.value) == only_hot
         at, h = at[keep], h[keep]
         row = np.searchsorted(offsets, at, side="right") - 1
         n_left, n_right = np.minimum(reach, at - offsets[row]), np.minimum(length, offsets[row + 1] - at)
         left, right = _matrix(data, at - 1, n_left, max(1, reach), -1), _matrix(data, at, n_right, length)
         return row, at - offsets[row], h, mix64(h ^ _digest(left, n_left) * np.uint64(3) ^ _digest(right, n_right)), left, n_left, right, n_right
 
-    def contexts(batches):
+    def different(part: pa.RecordBatch, only_hot: bool):
         """Different contexts of a slice with the smallest and largest document that holds each."""
+        row, _, h, digest, left, n_left, right, n_right = marked_anchors(part.column(1), only_hot)
+        _, first, of = np.unique(digest, return_index=True, return_inverse=True)
+        doc = np.asarray(part.column(0))[row]
+        lo, hi = np.full(len(first), _LAST), np.full(len(first), -_LAST)
+        np.minimum.at(lo, of, doc)
+        np.maximum.at(hi, of, doc)
+        return h[first].view(np.int64), lo, hi, digest[first].view(np.int64), left[first], n_left[first], right[first], n_right[first]
+
+    def contexts(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
-                row, _, h, digest, left, n_left, right, n_right = marked_anchors(part.column(1))
-                _, first, of = np.unique(digest, return_index=True, return_inverse=True)
-                doc = np.asarray(part.column(0))[row]
-                lo, hi = np.full(len(first), _LAST), np.full(len(first), -_LAST)
-                np.minimum.at(lo, of, doc)
-                np.maximum.at(hi, of, doc)
-                both = np.hstack([left[first], right[first]])
-                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(lo), pa.array(hi), pa.array(digest[first].view(np.int64)), pa.array(n_left[first].astype(np.int32)),
-                                                  pa.array(n_right[first].astype(np.int32)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(both.shape[1]), len(first), [None, pa.py_buffer(np.ascontiguousarray(both))]).cast(pa.binary())],
+                h, lo, hi, digest, left, n_left, right, n_right = different(part, False)
+                both = np.hstack([left, right])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(lo), pa.array(hi), pa.array(digest), pa.array(n_left.astype(np.int32)),
+                                                  pa.array(n_right.astype(np.int32)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(both.shape[1]), len(h), [None, pa.py_buffer(np.ascontiguousarray(both))]).cast(pa.binary())],
                                                  names=["h", "lo", "hi", "digest", "n_left", "n_right", "context"])
 
+    def windows(batches):
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                h, lo, hi, digest, left, n_left, right, n_right = different(part, True)
+                for o, of, window in window_digests(left, n_left, right, n_right, length, gram) if len(h) else ():
+                    yield pa.RecordBatch.from_arrays([pa.array(h[of]), pa.array(window.view(np.int64)), pa.array(digest[of]), pa.array(lo[of]), pa.array(hi[of]), pa.array(np.full(len(of), o))],
+                                                     names=["h", "window", "digest", "lo", "hi", "o"])
+
+    def decided_by_window() -> DataFrame:
+        """What ``decide`` says, for the hot hashes."""
+        named = docs.select("doc", "text").mapInArrow(windows, "h long, window long, digest long, lo long, hi long, o long")
+        named = written(named.groupBy("h", "window", "digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("o").alias("o")), "windows")
+        # Written, so that the join has two plain exchanges and Spark can split a window that very many contexts hold.
+        least = written(named.groupBy("h", "window").agg(F.min("lo").alias("least")), "least")
+        own = F.when(F.col("least") < F.col("lo"), F.col("o"))
+        of = named.join(least, ["h", "window"]).groupBy("digest").agg(F.min("lo").alias("lead"), F.max("hi").alias("last"), F.min("o").alias("full_lo"), F.max("o").alias("full_hi"),
+                                                                     F.coalesce(F.min(own), F.lit(-1)).alias("own_lo"), F.coalesce(F.max(own), F.lit(-1)).alias("own_hi"))
+        return of.where("own_lo >= 0 or last > lead").drop("last")
+
     def decide(batches):
         """Rows of one hash come by ascending document: a context's first row has its smallest one."""
         names = ["digest", "lead", "full_lo", "full_hi", "own_lo", "own_hi"]
@@ -315,18 +371,19 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
     dealt = dealt.repartition("h").sortWithinPartitions("h", "lo")
     decided = dealt.mapInArrow(decide, "digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long")
     # Summed up before it is written, so that the join below has two plain exchanges and Spark can split a hot context.
-    decided = written(decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")]), "contexts")
+    decided = decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")])
+    decided = written(decided.unionByName(decided_by_window()) if len(hot) else decided, "contexts")
     met = docs.select("doc", "tag", "text").mapInArrow(occurrences, "digest long, doc long, tag long, at int").join(decided, "digest")
     later = F.col("doc") > F.col("lead")
     met = met.select("doc", "tag", "at", F.when(later, F.col("full_lo")).otherwise(F.col("own_lo")).alias("lo"), F.when(later, F.col("full_hi")).otherwise(F.col("own_hi")).alias("hi"))
     return met.where("lo >= 0 and lo <= hi").select("doc", "tag", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("end"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, map_bits: int = MAP_BITS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, map_bits: int = MAP_BITS, most: int = MOST) -> DataFrame:
     """(id, text, kept, spans): the kept bytes and the removed runs (start, end) of each row."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = rows.select(F.coalesce("id", F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"), "text", "id")
-    found = written(spans(keyed.select("doc", "tag", "text"), length, gram, map_bits), "spans")
+    found = written(spans(keyed.select("doc", "tag", "text"), length, gram, map_bits, most), "spans")
     of = found.distinct().groupBy("doc", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     both = keyed.join(of, ["doc", "tag"], "left").select("id", "text", "spans.start", "spans.end")
     bound_batches(docs.sparkSession)

@@ -48,6 +48,35 @@ def test_equals_brute_force(frame, monkeypatch, at_once):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("most, tables", [(2, ["windows", "least", "contexts", "spans"]), (10**6, ["contexts", "spans"])])
+def test_hot_hashes_go_by_window(frame, monkeypatch, most, tables):
+    """One gram in very many contexts, and all kinds of texts, when few places make a hash hot."""
+    seen, kept = [], suffixdedup.written
+    monkeypatch.setattr(suffixdedup, "written", lambda df, name: seen.append(name) or kept(df, name))
+    rng = random.Random(most)
+    around = lambda n: "".join(rng.choice("ab") for _ in range(n)) + rng.choice(["", "c" * 20, "d" * 30])
+    rows = mixed(3) + [(2000 + i, around(rng.randrange(4)) + "-" * 16 + around(rng.randrange(4)) + "e" * rng.randrange(40)) for i in range(400)]
+    want = brute(rows)
+    assert sum(x[1] > 0 for i, x in want.items() if i >= 2000) > 50
+    made = suffixdedup.remove_repeats(frame(rows, parts=5), most=most).collect()
+    assert {r.doc_id: (len((r.text or "").encode()), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in made} == {i: (x[0], x[3]) for i, x in want.items()}
+    assert seen == tables
+
+
+def test_window_digests_are_equal_where_windows_are():
+    import numpy as np
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab") for _ in range(12)) for _ in range(60)]
+    left, right = (np.array([list(t[a:b].encode()) for t in texts], np.uint8) for a, b in ((0, 4), (4, 12)))
+    names: dict = {}
+    for o, of, window in suffixdedup.window_digests(left, np.full(60, 3), right, np.full(60, 8), 8, 4):
+        assert len(of) == (60 if o < 4 else 0)
+        for i, w in zip(of.tolist(), window.tolist()):
+            names.setdefault((o, bytes(left[i, :o]), bytes(right[i, :8 - o])), set()).add(w)
+    assert all(len(x) == 1 for x in names.values()) and len(set.union(*names.values())) == len(names)
+
+
 def test_whole_table(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert {r[0]: tuple(r)[1:] for r in suffixdedup.repeat_digests(docs).collect()} == brute(rows)

@@ -42,13 +42,16 @@ def any_case(word: str) -> str:
 
 KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
 
+# A key that is cut off before its end line matches by its header alone.
+PEM_BODY = "[\r\n]*(Proc-Type: 4,ENCRYPTED[\r\n]+DEK-Info: [A-Z0-9-]+,[0-9A-F]+)?[A-Za-z0-9+/=\r\n]*"
+
 # Formats of well-known credentials. The first three kinds are the base rules.
 RULES = (
     Rule("assign", f"({'|'.join(map(any_case, KEYWORDS))})[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]+", 12, True),
     Rule("access", "AKIA[A-Z0-9]+", 18),
     Rule("hex", "[0-9a-f]{16,}", 16),
     Rule("github", "gh[oprsu]_[A-Za-z0-9]+", 40),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
+    Rule("pem", f"-----BEGIN [A-Z ]*PRIVATE KEY-----({PEM_BODY}-----END [A-Z ]*PRIVATE KEY-----)?", 27),
 )
 BASE = ("assign", "access", "hex")
 

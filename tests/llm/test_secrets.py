@@ -38,6 +38,15 @@ def test_more_kinds_and_redaction(frame):
     assert kept == {1: "a * b * c * d", 2: "nothing", 3: None}
 
 
+def test_private_keys_go_with_their_bodies(frame):
+    body = "\n".join("MIIEpAIBAAKCAQEA" + "x+/9" * 12 for _ in range(30)) + "\nQ=="
+    key = "-----BEGIN RSA PRIVATE KEY-----\n{}" + body + "\n-----END RSA PRIVATE KEY-----"
+    texts = {"a " + key.format("") + " b": "a * b", "é\n" + key.format("").replace("\n", "\r\n") + "\nb": "é\n*\nb", key.format("Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n") + " " + key.format(""): "* *",
+             "a -----BEGIN PRIVATE KEY-----\nMIIE b": "a *\nMIIE b", "-----BEGIN PRIVATE KEY-----\nMIIE\n-----END CERTIFICATE-----": "*\nMIIE\n-----END CERTIFICATE-----"}
+    got = {r.doc_id: r.text for r in secrets.redact_secrets(frame(list(enumerate(texts))), mark="*").collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_automaton_is_minimal_and_total():
     one = secrets.build_automaton(["(a|b)c", "ac|bc"], anchored=True)
     # start, after a or b, both rules at once, dead

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from seisflow.llm import bpe, chat, decontaminate, langid, licenses, lzprint, secrets, simhash, suffixdedup, toxicity
+from seisflow.llm import (bpe, chat, decontaminate, langid, lexical, licenses, lzprint, prefixtrie, secrets, sharding, simhash, suffixdedup,
+                          toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +81,18 @@ def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_toxicity_nnpu")
 def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_hash_tree_shards", sharding.oracle())
+def op11_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digests(table(spark, sf_dir, "documents"))
+
+
+@register("op12_prefix_trie", prefixtrie.oracle())
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie_rows(table(spark, sf_dir, "conversations"))
+
+
+@register("op13_ranked_search", lexical.oracle())
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -17,8 +17,8 @@ Rows at one place count as one point with a weight (step 0).  Then:
 3. Two core cells are connected when some pair of their core points is within
    eps: decided on cell boxes, then sub-cell boxes, then points for what is
    left.
-4. Connected components of the cell graph by iterated min-label propagation;
-   each iteration is checkpointed to the shared checkpoint folder.
+4. Connected components of the cell graph by contraction; each round is
+   written to the shared checkpoint folder.
 5. Clusters are numbered by their first core point in ``order_col`` order;
    a border point joins the smallest-numbered cluster with a core point within
    eps; the rest is noise (-1).  This is the labelling a sequential scan in
@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from seisflow.functions.scalars import round2
 from seisflow.operators.common import bounded_by, broadcast_if_small, dense_index, known_rows
+from seisflow.operators.components import components
 from seisflow.operators.features import fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import checkpoint_dir, drop_scratch, scratch_path
@@ -125,45 +126,19 @@ def _drop(*tables: DataFrame) -> None:
         drop_scratch(t.sparkSession, t._scratch)
 
 
-def _components(vertices: DataFrame, edges: DataFrame, max_iter: int = 10_000) -> DataFrame:
-    """Connected components of the cell graph by min-label hooking with pointer jumping.
+def _components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(cx, cy, label): the smallest label among the cells connected with each cell.
 
-    ``vertices`` (cx, cy, label) start with distinct labels; ``edges``
-    (acx, acy, bcx, bcy).  A round (one job) moves every label one hop (the
-    minimum over neighbours) and then jumps it to the current label of the
-    vertex that started with it, so long chains collapse in O(log length)
-    rounds instead of one round per hop.  It stops when no label drops.  Each
-    round's labels are written to the shared checkpoint folder, so the plan and
-    the lineage (and any recomputation after a lost executor) stay one round
-    long.
+    ``vertices`` (cx, cy, label) have distinct labels; ``edges`` (acx, acy, bcx, bcy).  The cell graph is contracted
+    round by round (:mod:`seisflow.operators.components`), so rounds follow the logarithm of the number of cells.
     """
-    checkpoint_dir(vertices.sparkSession)
-    labels = _cut(vertices.select("cx", "cy", F.col("label").alias("init"), "label"))
-    both = _cut(edges.select("acx", "acy", "bcx", "bcy").unionByName(
-        edges.select(F.col("bcx").alias("acx"), F.col("bcy").alias("acy"),
-                     F.col("acx").alias("bcx"), F.col("acy").alias("bcy"))))
-    for _ in range(max_iter):
-        pushed = (both.join(labels.select(F.col("cx").alias("acx"), F.col("cy").alias("acy"), "label"), ["acx", "acy"])
-                  .groupBy(F.col("bcx").alias("cx"), F.col("bcy").alias("cy")).agg(F.min("label").alias("nb")))
-        hooked = (labels.join(pushed, ["cx", "cy"], "left")
-                  .select("cx", "cy", "init", "label", F.least("label", F.coalesce("nb", "label")).alias("hop")))
-        owners = hooked.select(F.col("init").alias("hop"), F.col("hop").alias("jump"))
-        new = (hooked.join(owners, "hop", "left")
-               .select("cx", "cy", "init", F.least("hop", F.coalesce("jump", "hop")).alias("label"),
-                       (F.least("hop", F.coalesce("jump", "hop")) < F.col("label")).alias("dropped")))
-        # One job per round: the round is written to the shared folder (which
-        # cuts the plan — it would otherwise double every round, as labels feed
-        # both the hop and the jump) while the drops are counted.
-        new, got = _cut(new, observe=[F.count_if("dropped").alias("changed")])
-        changed = got["changed"]
-        _drop(labels)
-        labels = new.drop("dropped")
-        labels._scratch = new._scratch
-        if changed == 0:
-            final = _cut(labels.select("cx", "cy", "label"))
-            _drop(labels, both)
-            return final
-    raise RuntimeError("connected components did not converge")
+    cell = lambda x, y: F.concat_ws(":", x, y)
+    found = components(edges.select(cell("acx", "acy").alias("a"), cell("bcx", "bcy").alias("b")))
+    named = vertices.withColumn("node", cell("cx", "cy")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("label").alias("least"))
+    out = _cut(named.join(least, "root").select("cx", "cy", F.col("least").alias("label")))
+    _drop(found)
+    return out
 
 
 def dbscan(df: DataFrame, x: str, y: str, order_col: str, eps: float = 1.0, min_samples: int = 3,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from seisflow.operators.filters import drop_incomplete
 
@@ -119,11 +119,77 @@ def marker_tiles(df: DataFrame, zooms=(2, 4, 6)) -> DataFrame:
                   F.avg("longitude").alias("center_longitude"), F.max("magnitude").alias("max_magnitude")))
 
 
+def heat_raster(df: DataFrame, zoom: int = 3, radius: int = 15, tile: int = 256) -> DataFrame:
+    """The heat layer's values: each event spread over ``radius`` pixels by a triangular kernel in both directions.
+
+    A sparse raster of Σ magnitude per pixel, then one pass along x and one along y: each explodes a pixel into
+    ``2 · radius + 1`` offsets and sums them up with partials, so work follows occupied pixels and not events. Pixels
+    carry the tile they lie in, and kernels run on over tile borders. Weights are ``radius + 1 - |d|`` over their
+    sum: the total of ``weight`` is Σ magnitude. The map wraps in x; in y what would lie beyond an edge stays on it.
+    """
+    rows = drop_incomplete(df, ["latitude", "longitude", "magnitude"])
+    size = tile * 2 ** zoom
+    la = F.least(F.greatest(F.col("latitude"), F.lit(-WEB_MERCATOR_MAX_LAT)), F.lit(WEB_MERCATOR_MAX_LAT)) * F.lit(DEG2RAD)
+    px = F.floor((F.col("longitude") + F.lit(180.0)) / F.lit(360.0) * float(size))
+    py = F.floor((F.lit(1.0) - F.log(F.tan(la) + F.lit(1.0) / F.cos(la)) / F.lit(math.pi)) / F.lit(2.0) * float(size))
+    edge = lambda c: F.least(F.greatest(c, F.lit(0)), F.lit(size - 1))
+    raster = rows.groupBy(F.pmod(px, F.lit(size)).alias("px"), edge(py).alias("py")).agg(F.sum("magnitude").alias("weight"))
+    share = (F.lit(radius + 1) - F.abs("d")) / F.lit(float((radius + 1) ** 2))
+    offsets = F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("d")
+    wide = raster.select("px", "py", "weight", offsets).groupBy(F.pmod(F.col("px") + F.col("d"), F.lit(size)).alias("px"), "py").agg(F.sum(F.col("weight") * share).alias("weight"))
+    full = wide.select("px", "py", "weight", offsets).groupBy("px", edge(F.col("py") + F.col("d")).alias("py")).agg(F.sum(F.col("weight") * share).alias("weight"))
+    return full.select(F.floor(F.col("px") / tile).cast("int").alias("tile_x"), F.floor(F.col("py") / tile).cast("int").alias("tile_y"),
+                       F.col("px").cast("int").alias("px"), F.col("py").cast("int").alias("py"), "weight")
+
+
 def time_ordered(df: DataFrame) -> DataFrame:
     """E5: (time, magnitude) points in time order (id breaks ties)."""
     return df.select("time", "magnitude", "id").orderBy("time", "id")
 
 
+def series_points(df: DataFrame, points: int = 500) -> DataFrame:
+    """E5: at most ``points`` of the (time, magnitude) points that keep the line's shape, in time order.
+
+    The span is cut into ``points - 2`` stretches of equal time. Of each the point stays that makes the largest triangle
+    with the mean points of the nearest occupied stretches before and after (at the ends: with the first and last
+    point, which stay too). Two passes of hash aggregates; only the stretches' means, at most ``points`` rows, are
+    joined back, so no rows are sorted but the result. Equal triangles go to the earlier point, then the smaller id.
+    Points without time or magnitude are left out.
+    """
+    if points < 3:
+        raise ValueError("a series keeps at least three points")
+    rows = df.where(F.col("time").isNotNull() & F.col("magnitude").isNotNull()).select("id", "time", "magnitude", F.unix_micros(F.col("time").cast("timestamp")).alias("us"))
+    place = F.struct("us", "id", "magnitude", "time")
+    ends = rows.agg(F.min(place).alias("first"), F.max(place).alias("last")).first()
+    if ends["first"] is None:
+        return rows.select("time", "magnitude", "id")
+    first, last = ends["first"], ends["last"]
+    # Times count from the first point, so that means and triangles do not depend on how large epoch numbers round.
+    t = ((F.col("us") - F.lit(first["us"])) / F.lit(1e6)).alias("t")
+    width = max((last["us"] - first["us"]) / 1e6 / (points - 2), 1e-6)
+    cut = rows.select("*", t).withColumn("stretch", F.least(F.floor(F.col("t") / F.lit(width)), F.lit(points - 3)).cast("int"))
+    means = cut.groupBy("stretch").agg(F.round(F.avg("t"), 6).alias("mt"), F.round(F.avg("magnitude"), 9).alias("mm"))
+    order = Window.orderBy("stretch")  # over at most ``points`` rows
+    end_t = (last["us"] - first["us"]) / 1e6
+    around = means.select("stretch", F.coalesce(F.lag("mt").over(order), F.lit(0.0)).alias("pt"), F.coalesce(F.lag("mm").over(order), F.lit(first["magnitude"])).alias("pm"),
+                          F.coalesce(F.lead("mt").over(order), F.lit(end_t)).alias("nt"), F.coalesce(F.lead("mm").over(order), F.lit(last["magnitude"])).alias("nm"))
+    area = F.abs((F.col("pt") - F.col("nt")) * (F.col("magnitude") - F.col("pm")) - (F.col("pt") - F.col("t")) * (F.col("nm") - F.col("pm")))
+    best = cut.join(F.broadcast(around), "stretch").withColumn("area", F.round(area, 6)).groupBy("stretch").agg(
+        F.min(F.struct((-F.col("area")).alias("less"), F.col("us"), F.col("id"), F.col("magnitude"), F.col("time"))).alias("kept"))
+    picked = best.select("kept.us", "kept.id", "kept.magnitude", "kept.time")
+    tips = rows.where(F.col("us").isin(first["us"], last["us"])).agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    tips = tips.select(F.explode(F.array("a", "b")).alias("p")).select("p.us", "p.id", "p.magnitude", "p.time")
+    return picked.unionByName(tips).distinct().orderBy("us", "id").select("time", "magnitude", "id")
+
+
+def scatter_points(df: DataFrame, points: int = 1000, sizes=(20.0, 200.0)) -> DataFrame:
+    """At most ``points`` rows of :func:`depth_scatter`, those with the smallest hash of their id.
+
+    The sizes span the magnitudes of all rows. Top-k per task and then over tasks; the same rows at any partitioning.
+    """
+    return depth_scatter(df, sizes).orderBy(F.md5(F.col("id").cast("string")), "id").limit(points)
+
+
 def depth_scatter(df: DataFrame, sizes=(20.0, 200.0)) -> DataFrame:
     """Depth-magnitude points with the magnitude mapped linearly onto a marker-size range."""
     lo, hi, _, _ = _range(df, "magnitude")

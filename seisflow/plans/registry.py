@@ -79,5 +79,5 @@ def round_cols(df: DataFrame, cols) -> DataFrame:
 
 def all_queries():
     # Import modules that register queries (side effect) before returning the tables.
-    from seisflow.plans import queries_basic, queries_grids, queries_ml, queries_io  # noqa: F401
+    from seisflow.plans import queries_basic, queries_grids, queries_io, queries_ml, queries_spatial  # noqa: F401
     return QUERIES, ORACLE

@@ -16,17 +16,21 @@ vocabulary lacks decode to nothing; repeated rows are encoded each for itself.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from seisflow.llm.common import append_columns, bound_batches, ragged_take
 
+#: Words that are encoded, decoded and hashed at once.
+SLICE_WORDS = 1 << 17
 # Fixed value: the byte-level vocabulary's word pattern, with Unicode white space spelled out for the JVM.
 _SPACE = r"\p{IsWhite_Space}"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{IsWhite_Space}})|{_SPACE}+"
@@ -84,40 +88,53 @@ def words_of(text: Column, special: list[str]) -> Column:
     return F.when(F.greatest(*holds) if len(holds) > 1 else holds[0], mixed).otherwise(split(text))
 
 
+def _span(column: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """(values, offsets from 0) of a list column without nulls."""
+    offsets = np.asarray(column.offsets).astype(np.int64)
+    return column.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+
+def encode_lists(vocabulary: Vocabulary, column: pa.ListArray) -> pa.ListArray:
+    """The ids of each list of words, through the table of distinct words in all of them."""
+    words, offsets = _span(column)
+    flat = words.dictionary_encode()
+    table, lengths = vocabulary.encode_words(flat.dictionary.to_pylist())
+    at = np.asarray(flat.indices).astype(np.int64)
+    ids = ragged_take(table, (np.cumsum(lengths) - lengths)[at], lengths[at])
+    ends = np.concatenate([[0], np.cumsum(lengths[at])])[offsets]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+class Decoder:
+    """The join of ids with the table of their bytes."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        pieces = vocabulary.pieces()
+        starts = np.frombuffer(pieces.buffers()[1], np.int32)[:len(pieces) + 1].astype(np.int64)
+        self.body, self.starts, self.lengths = np.frombuffer(pieces.buffers()[2], np.uint8), starts, np.diff(starts)
+
+    def texts(self, column: pa.ListArray) -> list[str]:
+        ids, offsets = _span(column)
+        ids = np.asarray(ids.fill_null(-1)).astype(np.int64)
+        known = (ids >= 0) & (ids < len(self.lengths))
+        ids = np.where(known, ids, 0)
+        sizes = np.where(known, self.lengths[ids], 0)
+        data = ragged_take(self.body, self.starts[ids], sizes).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with ``out``: the token ids of the whole text. ``text_col`` is not kept."""
     words = docs.withColumn(out, words_of(F.coalesce(F.col(text_col), F.lit("")), vocabulary.special)).drop(text_col)
-
-    def make(column: pa.ListArray) -> pa.Array:
-        offsets = np.asarray(column.offsets).astype(np.int64)
-        flat = column.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        table, lengths = vocabulary.encode_words(flat.dictionary.to_pylist())
-        at = np.asarray(flat.indices).astype(np.int64)
-        ids = ragged_take(table, (np.cumsum(lengths) - lengths)[at], lengths[at])
-        ends = np.concatenate([[0], np.cumsum(lengths[at])])[offsets - offsets[0]]
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-
-    return _replace_list(words, out, T.ArrayType(T.IntegerType()), make)
+    return _replace_list(words, out, T.ArrayType(T.IntegerType()), lambda column: encode_lists(vocabulary, column))
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with ``out``: the text of the ids, special tokens included. A null list decodes to an empty text."""
-    pieces = vocabulary.pieces()
-    starts = np.frombuffer(pieces.buffers()[1], np.int32)[:len(pieces) + 1].astype(np.int64)
-    body, lengths = np.frombuffer(pieces.buffers()[2], np.uint8), np.diff(starts)
-
-    def make(column: pa.ListArray) -> pa.Array:
-        offsets = np.asarray(column.offsets).astype(np.int64)
-        ids = np.asarray(column.values.slice(offsets[0], offsets[-1] - offsets[0]).fill_null(-1)).astype(np.int64)
-        known = (ids >= 0) & (ids < len(lengths))
-        ids = np.where(known, ids, 0)
-        sizes = np.where(known, lengths[ids], 0)
-        data = ragged_take(body, starts[ids], sizes).tobytes()
-        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets - offsets[0]].tolist()
-        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])], pa.string())
-
+    decoder = Decoder(vocabulary)
     kept = docs.withColumn(out, F.coalesce(F.col(ids_col), F.array().cast("array<int>")))
-    return _replace_list(kept, out, T.StringType(), make)
+    return _replace_list(kept, out, T.StringType(), lambda column: pa.array(decoder.texts(column), pa.string()))
 
 
 def _replace_list(df: DataFrame, column: str, kind: T.DataType, make: Callable[[pa.ListArray], pa.Array]) -> DataFrame:
@@ -134,10 +151,36 @@ def _replace_list(df: DataFrame, column: str, kind: T.DataType, make: Callable[[
     return df.mapInArrow(run, schema)
 
 
+def word_slices(column: pa.ListArray, limit: int = SLICE_WORDS) -> Iterator[tuple[int, pa.ListArray]]:
+    """(first row, rows) in runs of at most ``limit`` words (one row at least)."""
+    ends, start = np.asarray(column.offsets).astype(np.int64), 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, side="right")) - 1)
+        yield start, column.slice(start, stop - start)
+        start = stop
+
+
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """One row per document: number of ids, digest of the ids, digest of the decoded text."""
+    """One row per document: number of ids, digest of the ids, digest of the text decoded from them.
+
+    One stage from words to digests: ids and decoded texts stay inside it, for a bounded number of words at a time.
+    """
     vocabulary = Vocabulary(path)
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    words = docs.select("doc_id", words_of(F.coalesce("text", F.lit("")), vocabulary.special).alias("words"))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    bound_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(vocabulary)
+        for batch in batches:
+            for start, column in word_slices(batch.column(1)):
+                ids = encode_lists(vocabulary, column)
+                joined = pa.compute.binary_join(ids.cast(pa.list_(pa.string())), ",")
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(start, len(column)), ids.value_lengths().cast(pa.int64()),
+                    pa.array([digest(x.as_buffer()) for x in joined.cast(pa.binary())], pa.string()),
+                    pa.array([digest(x.encode()) for x in decoder.texts(ids)], pa.string())], names=names)
+
+    kind = T.StructType([docs.schema["doc_id"], *[T.StructField(n, T.LongType() if n == "n_tokens" else T.StringType()) for n in names[1:]]])
+    return words.mapInArrow(run, kind)

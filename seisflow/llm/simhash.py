@@ -26,8 +26,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from seisflow.llm.common import append_columns, bound_batches, text_bytes, written
-from seisflow.llm.graph import components
+from seisflow.llm.common import append_columns, bound_batches, drop_written, text_bytes, written
+from seisflow.operators.components import components
 
 SHINGLE, MAX_BITS = 3, 3
 #: Pairs of one anchor that are compared in bulk; larger groups are searched from home to home.
@@ -156,12 +156,18 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(fp, n, component_id) of every distinct fingerprint in ``prints`` (doc_id, fp): its rows, the smallest doc_id reachable."""
+    """(fp, n, root, component_id) of every distinct fingerprint in ``prints`` (doc_id, fp).
+
+    ``n`` is the number of its rows, ``root`` a name of its component and ``component_id`` the smallest doc_id there.
+    """
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "prints")
-    linked = components(written(links(distinct, max_bits), "links")).withColumnRenamed("node", "fp")
+    pairs = written(links(distinct, max_bits), "links")
+    linked = components(pairs).withColumnRenamed("node", "fp")
     smallest = distinct.join(linked, "fp").groupBy("root").agg(F.min("first").alias("smallest"))
-    return (distinct.join(linked.join(smallest, "root"), "fp", "left")
-            .select("fp", "n", F.coalesce("smallest", "first").alias("component_id")))
+    out = written(distinct.join(linked.join(smallest, "root"), "fp", "left")
+                  .select("fp", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("smallest", "first").alias("component_id")), "classes")
+    drop_written(distinct, pairs)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -169,7 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component_id): one row per row of ``docs``."""
     prints = fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "text", "fp", shingle)
     prints = written(prints.select("doc_id", "fp"), "simhash")
-    of = written(classes(prints, max_bits), "classes")
+    of = classes(prints, max_bits)
     # Fewer than HOT fingerprints can hold more than 1 / HOT of all rows each; their rows stay where they are.
     total = of.agg(F.sum("n").alias("n")).first()["n"] or 0
     hot = F.broadcast(of.where(F.col("n") * HOT > total).select("fp", "component_id"))
@@ -180,11 +186,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is its component's smallest; of equal rows (id and text) one stays."""
-    kept = near_duplicates(docs, id_col, text_col, shingle, max_bits).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    stay = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.col(text_col)))
-    return stay.withColumn("__nth", nth).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of ``docs`` per component: the smallest id, nulls last, then the smallest digest of the text.
+
+    Decided on ids, fingerprints and digests. Rows with their texts are shuffled once, by id and digest, to drop what
+    goes and all but one of equal rows.
+    """
+    digest = lambda c: F.xxhash64(F.coalesce(c, F.lit(""))).alias("__digest")
+    rows = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__text", F.col(text_col))
+    prints = written(fingerprints(rows.select("__id", "__text"), "__text", "fp", shingle).select("__id", digest(F.col("__text")), "fp"), "simhash")
+    of = classes(prints.select(F.col("__id").alias("doc_id"), "fp"), max_bits)
+    # A component's first (id, digest); its fingerprints are few rows each, so copies are counted before the join.
+    first = F.min(F.struct(F.col("__id").isNull().alias("blank"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
+    best = prints.groupBy("fp").agg(first.alias("first")).join(of.select("fp", "root"), "fp")
+    least = best.groupBy("root").agg(F.min("first").alias("first"))
+    key = ["__blank", "__key", "__digest"]
+    kept = written(least.select(F.col("first.blank").alias("__blank"), F.coalesce("first.id", F.lit(0)).alias("__key"), F.col("first.digest").alias("__digest")).distinct(), "kept")
+    drop_written(prints, of)
+    own = F.col(id_col).cast("long")
+    mine = docs.withColumns({"__blank": own.isNull(), "__key": F.coalesce(own, F.lit(0)), "__digest": digest(F.col(text_col))})
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(text_col)))
+    return mine.join(kept, key, "left_semi").withColumn("__nth", nth).where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:

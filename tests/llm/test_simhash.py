@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seisflow.llm import simhash
-from seisflow.llm.graph import components
+from seisflow.operators.components import components
 
 
 def classes(fps, ids, bits=3):
@@ -87,3 +87,26 @@ def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 200)] + [(500, 499), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[i] == 100 for i in range(100, 200)) and got[500] == got[499] == 499
+
+
+def test_one_row_stays_per_component_with_null_and_repeated_ids(frame):
+    """Null ids, one id on different texts, equal rows: the first of each component by id (nulls last) stays, once."""
+    near = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(3, near), (None, near), (None, "quite other words stand in this text here"), (None, "quite other words stand in this text here"),
+            (7, "alpha beta gamma delta"), (7, "alpha beta gamma delta"), (7, near), (2, "Alpha BETA gamma delta"), (9, "only this one")]
+    got = sorted(((r.doc_id, r.text) for r in simhash.drop_near_duplicates(frame(rows)).collect()), key=str)
+    assert got == sorted([(3, near), (None, "quite other words stand in this text here"), (2, "Alpha BETA gamma delta"), (9, "only this one")], key=str)
+
+
+def test_long_chain_of_fingerprints_is_one_component(frame, spark):
+    """600 fingerprints, each one bit from the next, in shuffled order of ids."""
+    fp, chain = 0, []
+    rng = np.random.default_rng(1)
+    while len(chain) < 600:
+        fp ^= 1 << int(rng.integers(64))
+        if fp not in chain:
+            chain.append(fp)
+    ids = rng.permutation(600)
+    df = spark.createDataFrame([(int(i), int(np.uint64(f).view(np.int64))) for i, f in zip(ids, chain)], "doc_id long, fp long")
+    got = {r.fp: r.component_id for r in simhash.classes(df).collect()}
+    assert [got[int(np.uint64(f).view(np.int64))] for f in chain] == classes(chain, [int(i) for i in ids])

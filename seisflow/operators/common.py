@@ -40,9 +40,13 @@ def bounded_by(source: DataFrame, derived: DataFrame) -> DataFrame:
     return known_rows(derived, getattr(source, "_known_rows", None))
 
 
-# Partitions of the input of an iterative fit.  Part of the model's definition, as its seed is: Spark ML's seeded
-# sampling runs per partition.  It does not follow the cluster's cores; raise it for large inputs.
-FIT_PARTITIONS = 32
+# Partitions of the input of an iterative fit: at least so many, and one more for each so many rows.  Part of the model's
+# definition, as its seed is: Spark ML's seeded sampling runs per partition.  They follow the rows and not the cluster.
+FIT_PARTITIONS, FIT_ROWS = 32, 1_000_000
+
+
+def fit_partitions(df: DataFrame) -> int:
+    return max(FIT_PARTITIONS, -(-df.count() // FIT_ROWS))
 
 
 def placed(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:

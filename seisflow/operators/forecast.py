@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from seisflow.functions.scalars import cap, clamp_points, confidence_label, linspace
-from seisflow.operators.common import FIT_PARTITIONS
 from seisflow.operators.filters import drop_incomplete
 from seisflow.operators.models import _fit_placed, forest_pipeline, save_model
 from seisflow.operators.zones import active_zones, zone_stats
@@ -55,7 +54,7 @@ def forecast_table(scored: DataFrame, pred_col: str = "prediction", threshold: f
                       F.col("zone").cast("int").alias("zone"))
 
 
-def fit_forecast_model(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, partitions: int = FIT_PARTITIONS):
+def fit_forecast_model(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, partitions: int | None = None):
     """Forest on (latitude, longitude, depth) → magnitude over complete rows.
 
     Standardising the features first (as the scaled pipeline does) cannot change

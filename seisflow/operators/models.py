@@ -1,8 +1,9 @@
 """Spark ML models and their SQL-checkable parts.
 
-Iterative estimators (k-means, linear models, forests) come from Spark ML,
-which keeps the data distributed and only moves model-sized state (centres,
-gradients, split statistics) through the driver.  The key and the features are
+Linear models and components come from moments (one pass). Iterative
+estimators (k-means, forests) come from Spark ML, which keeps the data
+distributed and only moves model-sized state (centres, split statistics)
+through the driver.  The key and the features are
 persisted while a fit runs, because every iteration rescans them, and released
 when it ends.
 """
@@ -13,15 +14,15 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seisflow.operators.common import FIT_PARTITIONS, placed
+from seisflow.operators.common import fit_partitions, placed
 from seisflow.operators.features import (CLUSTER_FEATURES, LOCATION_FEATURES, PATTERN_FEATURES,
                                          fit_standardizer, hash_split, prepare_features)
 from seisflow.operators.filters import drop_incomplete
+from seisflow.operators.moments import fit_components, fit_elastic_net
 from seisflow.operators.summaries import group_stats
 
 
@@ -55,9 +56,9 @@ def group_centers(df: DataFrame, key: str, cols) -> list:
 
 # ----------------------------------------------------------------------------- k-means
 
-def _fit_placed(estimator, df: DataFrame, key: str, partitions: int, evaluate=None):
+def _fit_placed(estimator, df: DataFrame, key: str, partitions: int | None, evaluate=None):
     """Fit on rows of fixed placement, held only while fitting; returns (model, what ``evaluate`` gives)."""
-    held = placed(df, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    held = placed(df, key, partitions or fit_partitions(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.fit(held)
         return model, evaluate(model, held) if evaluate else None
@@ -65,11 +66,12 @@ def _fit_placed(estimator, df: DataFrame, key: str, partitions: int, evaluate=No
         held.unpersist()
 
 
-def kmeans_raw(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20, partitions: int = FIT_PARTITIONS):
+def kmeans_raw(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20, partitions: int | None = None):
     """H2/H4/H5: k-means on raw (magnitude, longitude, latitude, depth).
 
-    Returns (model, predictions of id and features, silhouette, centres frame).  ``partitions`` is part of the
-    model's definition, like the seed; the rows' own partitioning and the cluster's size are not.
+    Returns (model, predictions of id and features, silhouette, centres frame).  ``partitions`` (by default from
+    the number of rows) is part of the model's definition, like the seed; the rows' own partitioning and the cluster's
+    size are not.
     """
     feats = prepare_features(df.select("id", *CLUSTER_FEATURES), CLUSTER_FEATURES)
     model, silhouette = _fit_placed(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features"), feats, "id", partitions,
@@ -86,7 +88,7 @@ def clustered_table(pred: DataFrame) -> DataFrame:
     return pred.select("id", "magnitude", "longitude", "latitude", "depth", "prediction")
 
 
-def kmeans_scaled(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 300, partitions: int = FIT_PARTITIONS):
+def kmeans_scaled(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 300, partitions: int | None = None):
     """H11 + C10: k-means on population-z-scored features; returns (model, rows with cluster, stats).
 
     ``model.summary.numIter`` below ``max_iter`` says that it converged.  No complete rows: (None, empty, empty).
@@ -108,7 +110,7 @@ def kmeans_scaled(df: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 300
 # ----------------------------------------------------------------------------- PCA
 
 def pca_components(df: DataFrame, k: int = 2):
-    """PCA on standardised features.
+    """PCA on standardised features, from one pass of their covariances.
 
     Returns (rows with pca1..pcak, explained variance ratio list).  Component
     signs are fixed so the largest-magnitude loading is positive.
@@ -118,15 +120,8 @@ def pca_components(df: DataFrame, k: int = 2):
     if scaler.means[0] is None:
         return clean.select("*", *[F.lit(None).cast("double").alias(f"pca{j + 1}") for j in range(k)]), []
     z = scaler.transform(clean, suffix="_z")
-    zcols = [f"{c}_z" for c in PATTERN_FEATURES]
-    feats = VectorAssembler(inputCols=zcols, outputCol="zf").transform(z)
-    model = PCA(k=k, inputCol="zf", outputCol="pcs").fit(feats.select("zf"))
-    pc = model.pc.toArray()
-    signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
-    arr = vector_to_array(F.col("pcs"))
-    out = model.transform(feats).select(*df.columns, *[(arr[j] * F.lit(signs[j])).alias(f"pca{j + 1}")
-                                                       for j in range(k)])
-    return out, [float(v) for v in model.explainedVariance.toArray()]
+    fit = fit_components(z, [f"{c}_z" for c in PATTERN_FEATURES], k)
+    return fit.transform(z).select(*df.columns, *[f"pca{j + 1}" for j in range(k)]), list(fit.ratios)
 
 
 def covariance_matrix(df: DataFrame, cols) -> DataFrame:
@@ -155,22 +150,15 @@ def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def elastic_net(df: DataFrame, label: str = "magnitude", features=LOCATION_FEATURES, reg: float = 0.1,
-                elastic: float = 0.8, max_iter: int = 10, train_percent: int = 80, seed: int = 42,
-                partitions: int = FIT_PARTITIONS):
-    """H7/H8/H9: elastic-net linear model in a Pipeline on a hash split.
+                elastic: float = 0.8, train_percent: int = 80, seed: int = 42):
+    """H7/H8/H9: elastic-net linear model on a hash split, from one pass of moments over the training rows.
 
-    Returns (pipeline model, test predictions, metrics frame with train and test rows).
+    Returns (model, test predictions, metrics frame with train and test rows).
     """
     clean = drop_incomplete(df, list(features) + [label])
     split = hash_split(clean, "id", train_percent, seed)
-    train = split.where(F.col("split") == "train").select("id", label, *features)
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        LinearRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg,
-                         elasticNetParam=elastic),
-    ])
-    model, _ = _fit_placed(pipe, train, "id", partitions)
-    scored = model.transform(split).drop("features")
+    model = fit_elastic_net(split.where(F.col("split") == "train"), label, features, reg, elastic)
+    scored = model.transform(split)
     metrics = (regression_metrics(scored.where(F.col("split") == "train"), label, "prediction")
                .withColumn("split", F.lit("train"))
                .unionByName(regression_metrics(scored.where(F.col("split") == "test"), label, "prediction")
@@ -191,7 +179,7 @@ def forest_pipeline(features=LOCATION_FEATURES, label: str = "magnitude", trees:
 
 
 def forest_magnitude(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, label: str = "magnitude",
-                     partitions: int = FIT_PARTITIONS):
+                     partitions: int | None = None):
     """In-sample random-forest magnitude prediction with absolute error (trees of at most ``max_depth``)."""
     feats = ["depth", "latitude", "longitude"]
     clean = drop_incomplete(df, feats + [label])

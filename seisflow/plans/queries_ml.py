@@ -1,8 +1,8 @@
 """Registered queries: zones, forecast, models, anomalies.
 
-Zones, the split, the linear model and the forecast have SQL for their rows.  For k-means, forests and the isolation
-forest, whose rows depend on seeded sampling, a row of invariants is compared with SQL (rows, nearest centres, centres
-that are means, shares, errors below the constant predictor's); their raw rows are checked by the unit tests.
+Zones, the split, k-means by Lloyd steps, components, the linear model and the forecast have SQL for their rows.  For
+Spark ML's k-means, the forests and the isolation forest, whose rows depend on seeded sampling, a row of invariants is
+compared with SQL (rows, nearest centres, centres that are means, shares, errors below the constant predictor's).
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from seisflow.functions.display import fixed, forecast_colour, forecast_markers
 from seisflow.functions.scalars import round2
-from seisflow.operators import features, forecast, isolation, models, zones
+from seisflow.operators import features, forecast, isolation, lloyd, models, zones
 from seisflow.operators.filters import drop_incomplete
-from seisflow.operators.summaries import anomaly_count, mean_abs_error
+from seisflow.operators.summaries import anomaly_count, group_stats, mean_abs_error
 from seisflow.plans.oracle import q, zones as zone_ctes
-from seisflow.plans.registry import catalogue, fitted, register
+from seisflow.plans.registry import catalogue, fitted, register, round_cols
 from seisflow.session import scratch_path
 
 # ---------------------------------------------------------------- zones
@@ -163,27 +163,73 @@ def _kmeans(spark, sf_dir):
     return fitted(spark, sf_dir, "kmeans", lambda: models.kmeans_raw(catalogue(spark, sf_dir), k=5, seed=42))
 
 
-@register("kmeans_raw")
+_COMPLETE = ("complete AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
+             "AND latitude IS NOT NULL AND depth IS NOT NULL)")
+
+
+
+
+def _lloyd_sql(source: str, cols, steps: int, k: int = 5) -> str:
+    """CTEs ``lc`` (centres) and ``la`` (rows of ``source`` with c): Lloyd steps one after the other."""
+    keys = ", ".join(cols)
+    far = " + ".join(f"({{0}}.{c} - k.{c}) ** 2" for c in cols)
+    ctes = [f"pl AS MATERIALIZED (SELECT {keys}, count(*) AS n, min(md5(id || ':42')) AS h FROM {source} GROUP BY {keys})",
+            f"k0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, {keys} FROM (FROM pl ORDER BY h LIMIT {k}))"]
+    for i in range(steps):
+        mean = ", ".join(f"coalesce(any_value(m{c}), any_value(k.{c})) AS {c}" for c in cols)
+        ctes.append(f"""k{i + 1} AS MATERIALIZED (SELECT k.c, {mean} FROM k{i} k LEFT JOIN (SELECT c, {', '.join(f'sum({c} * n) / sum(n) AS m{c}' for c in cols)} FROM
+ (SELECT any_value(p.n) AS n, {', '.join(f'any_value(p.{c}) AS {c}' for c in cols)}, min(struct_pack(d := {far.format('p')}, c := k.c)).c AS c FROM pl p, k{i} k GROUP BY h) GROUP BY c) a ON a.c = k.c GROUP BY k.c)""")
+    ctes.append(f"lc AS (SELECT CAST(c AS INTEGER) AS c, {keys} FROM k{steps})")
+    ctes.append(f"la AS MATERIALIZED (SELECT s.id, min(struct_pack(d := {far.format('s')}, c := k.c)).c AS c, {', '.join(f'any_value(s.{c}) AS {c}' for c in cols)} FROM {source} s, lc k GROUP BY s.id)")
+    return ", ".join(ctes)
+
+
+_RAW, RAW_STEPS, SCALED_STEPS = features.CLUSTER_FEATURES, 20, 60
+
+
+def _lloyd(spark, sf_dir):
+    def fit():
+        rows = drop_incomplete(catalogue(spark, sf_dir), _RAW)
+        model = lloyd.fit_lloyd(rows, _RAW, "id", 5, 42, RAW_STEPS)
+        return model, lloyd.silhouette(model.transform(rows), _RAW)
+    return fitted(spark, sf_dir, "lloyd", fit)
+
+
+@register("kmeans_raw", q("SELECT id, magnitude, longitude, latitude, depth, c AS prediction FROM la", _COMPLETE + ", " + _lloyd_sql("complete", _RAW, RAW_STEPS)))
 def kmeans_raw(spark, sf_dir):
-    _, pred, _, _ = _kmeans(spark, sf_dir)
-    return models.clustered_table(pred)
+    model, _ = _lloyd(spark, sf_dir)
+    return models.clustered_table(model.transform(drop_incomplete(catalogue(spark, sf_dir), _RAW)))
+
 
+_X2 = " + ".join(f"{c} * {c}" for c in _RAW)
+_SILHOUETTE = (", ss AS (SELECT c, count(*) AS n, sum(" + _X2 + ") AS q, " + ", ".join(f"sum({c}) AS s_{c}" for c in _RAW) + " FROM la GROUP BY c), "
+               "si AS (SELECT la.id, la.c, ss.c AS o, (" + "(" + " + ".join(f"la.{c} * la.{c}" for c in _RAW) + ") * ss.n + q - 2 * (" + " + ".join(f"la.{c} * s_{c}" for c in _RAW) + ")) "
+               "/ CASE WHEN la.c = ss.c THEN greatest(n - 1, 1) ELSE n END AS d, n FROM la, ss), "
+               "sr AS (SELECT id, any_value(n) FILTER (o = c) AS own, min(d) FILTER (o = c) AS a, min(d) FILTER (o <> c) AS b FROM si GROUP BY id), "
+               "sv AS (SELECT avg(CASE WHEN own = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette FROM sr)")
 
-@register("kmeans_summary")
+
+@register("kmeans_summary", q("SELECT lc.c AS prediction, round(magnitude, 6) AS magnitude, round(longitude, 6) AS longitude, round(latitude, 6) AS latitude, round(depth, 6) AS depth, "
+                              "ss.n AS \"count\", round(silhouette, 6) AS silhouette FROM lc LEFT JOIN ss ON ss.c = lc.c, sv", _COMPLETE + ", " + _lloyd_sql("complete", _RAW, RAW_STEPS) + _SILHOUETTE))
 def kmeans_summary(spark, sf_dir):
-    _, pred, silhouette, centers = _kmeans(spark, sf_dir)
-    sizes = pred.groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
-    return centers.join(sizes, "prediction", "left").withColumn("silhouette", F.lit(float(silhouette)))
+    model, silhouette = _lloyd(spark, sf_dir)
+    sizes = model.transform(drop_incomplete(catalogue(spark, sf_dir), _RAW)).groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
+    return round_cols(model.table(spark).join(sizes, "prediction", "left").withColumn("silhouette", F.lit(float(silhouette))), [*_RAW, "silhouette"])
 
 
-@register("kmeans_scaled")
-def kmeans_scaled(spark, sf_dir):
-    _, _, stats = models.kmeans_scaled(catalogue(spark, sf_dir), k=5, seed=42)
-    return stats
+_PATTERN = features.PATTERN_FEATURES
+_Z = ("zs AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in _PATTERN) + " FROM complete), "
+      "zc AS MATERIALIZED (SELECT id, " + ", ".join(f"({c} - m_{c}) / d_{c} AS {c}_z" for c in _PATTERN) + ", " + ", ".join(_PATTERN) + " FROM complete, zs)")
 
 
-_COMPLETE = ("complete AS (SELECT * FROM quakes WHERE magnitude IS NOT NULL AND longitude IS NOT NULL "
-             "AND latitude IS NOT NULL AND depth IS NOT NULL)")
+@register("kmeans_scaled", q(
+    "SELECT c AS cluster, round_even(round(avg(zc.magnitude), 9), 2) AS magnitude_mean, min(zc.magnitude) AS magnitude_min, max(zc.magnitude) AS magnitude_max, "
+    "count(zc.magnitude) AS magnitude_count, round_even(round(avg(zc.depth), 9), 2) AS depth_mean FROM la JOIN zc ON zc.id = la.id GROUP BY c",
+    _COMPLETE + ", " + _Z + ", " + _lloyd_sql("zc", [f"{c}_z" for c in _PATTERN], SCALED_STEPS)))
+def kmeans_scaled(spark, sf_dir):
+    z, _ = features.standardize(catalogue(spark, sf_dir), _PATTERN)
+    model = lloyd.fit_lloyd(z, [f"{c}_z" for c in _PATTERN], "id", 5, 42, SCALED_STEPS)
+    return group_stats(model.transform(z, "cluster"), "cluster", {"magnitude": ["mean", "min", "max", "count"], "depth": ["mean"]})
 
 
 @register("kmeans_invariants", q(
@@ -208,16 +254,46 @@ def _pca(spark, sf_dir):
     return fitted(spark, sf_dir, "pca", lambda: models.pca_components(catalogue(spark, sf_dir), k=2))
 
 
-@register("pca_components")
+def _jacobi_sql(sweeps: int = 8) -> str:
+    """CTEs ``jv``: eigenvalues and vectors of the features' correlations, largest first, by rotations one after the other."""
+    d = len(_PATTERN)
+    at = lambda i, j: f"a{min(i, j)}{max(i, j)}"
+    first = ", ".join(f"covar_pop({_PATTERN[i]}_z, {_PATTERN[j]}_z) AS {at(i, j)}" for i in range(d) for j in range(i, d))
+    unit = ", ".join(f"CAST({int(i == j)} AS DOUBLE) AS v{i}{j}" for i in range(d) for j in range(d))
+    ctes, n = [f"j0 AS MATERIALIZED (SELECT {first}, {unit} FROM zc)"], 0
+    for p, r in [(p, r) for _ in range(sweeps) for p in range(d) for r in range(p + 1, d)]:
+        new = {at(p, p): f"{at(p, p)} - t * {at(p, r)}", at(r, r): f"{at(r, r)} + t * {at(p, r)}", at(p, r): "0e0"}
+        for i in range(d):
+            if i not in (p, r):
+                new[at(i, p)], new[at(i, r)] = f"co * {at(i, p)} - si * {at(i, r)}", f"si * {at(i, p)} + co * {at(i, r)}"
+        for i in range(d):
+            new[f"v{i}{p}"], new[f"v{i}{r}"] = f"co * v{i}{p} - si * v{i}{r}", f"si * v{i}{p} + co * v{i}{r}"
+        names = [at(i, j) for i in range(d) for j in range(i, d)] + [f"v{i}{j}" for i in range(d) for j in range(d)]
+        theta = f"(({at(r, r)} - {at(p, p)}) / (2 * {at(p, r)}))"
+        tan = f"CASE WHEN {at(p, r)} = 0 THEN 0e0 ELSE (CASE WHEN {theta} < 0 THEN -1e0 ELSE 1e0 END) / (abs({theta}) + sqrt({theta} ** 2 + 1)) END"
+        ctes.append(f"j{n + 1} AS MATERIALIZED (SELECT {', '.join(f'{new.get(c, c)} AS {c}' for c in names)} FROM (SELECT *, 1 / sqrt(t ** 2 + 1) AS co, t / sqrt(t ** 2 + 1) AS si FROM (SELECT *, {tan} AS t FROM j{n})))")
+        n += 1
+    rows = " UNION ALL ".join(f"SELECT {at(i, i)} AS ev, " + ", ".join(f"v{j}{i} AS w{j}" for j in range(d)) + f" FROM j{n}" for i in range(d))
+    big = "greatest(" + ", ".join(f"abs(w{j})" for j in range(d)) + ")"
+    sign = "CASE " + " ".join(f"WHEN abs(w{j}) = {big} THEN sign(w{j})" for j in range(d)) + " END"
+    ctes.append(f"jv AS MATERIALIZED (SELECT row_number() OVER (ORDER BY ev DESC) AS component, ev / sum(ev) OVER () AS ratio, {', '.join(f'w{j} * {sign} AS w{j}' for j in range(d))} FROM ({rows}))")
+    return ", ".join(ctes)
+
+
+_EIGEN = _COMPLETE + ", " + _Z + ", " + _jacobi_sql()
+_SCORE = " + ".join(f"{c}_z * {{0}}.w{j}" for j, c in enumerate(_PATTERN))
+
+
+@register("pca_components", q(f"SELECT id, round({_SCORE.format('x')}, 6) AS pca1, round({_SCORE.format('y')}, 6) AS pca2 FROM zc, jv x, jv y WHERE x.component = 1 AND y.component = 2", _EIGEN))
 def pca_components(spark, sf_dir):
     out, _ = _pca(spark, sf_dir)
-    return out.select("id", "pca1", "pca2")
+    return round_cols(out.select("id", "pca1", "pca2"), ["pca1", "pca2"])
 
 
-@register("pca_variance")
+@register("pca_variance", q("SELECT CAST(component AS INTEGER) AS component, round(ratio, 9) AS explained_variance_ratio FROM jv WHERE component <= 2", _EIGEN))
 def pca_variance(spark, sf_dir):
     _, ratio = _pca(spark, sf_dir)
-    return spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(ratio)],
+    return spark.createDataFrame([(i + 1, round(float(r), 9)) for i, r in enumerate(ratio)],
                                  "component int, explained_variance_ratio double")
 
 
@@ -229,39 +305,45 @@ def _label():
 _SPLIT = ("complete AS (SELECT *, 2e0 + depth * 4e-3 + latitude * 1e-2 + ((event_id * 17) % 10) / 1e2 AS label_lin, "
           "CASE WHEN CAST('0x' || substr(md5(id || ':42'), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split "
           "FROM quakes WHERE latitude IS NOT NULL AND depth IS NOT NULL)")
-# One feature has a closed form: soft threshold of the correlation, in units of the deviations (reg 0.1, l1 share 0.8).
-_ENET = _SPLIT + (", mo AS (SELECT covar_pop(label_lin, depth) AS cxy, stddev_pop(depth) AS sx, stddev_pop(label_lin) AS sy, avg(depth) AS mx, "
-                  "avg(label_lin) AS my FROM complete WHERE split = 'train'), "
-                  "co AS (SELECT sign(cxy) * greatest(abs(cxy / (sx * sy)) - 8e-2 / sy, 0) / (1 + 2e-2 / sy) * sy / sx AS slope, mx, my FROM mo), "
-                  "en AS (SELECT slope, my - slope * mx AS intercept FROM co)")
+# The penalty (reg 0.1, l1 share 0.8) in units of the deviations, and sweeps over the three coefficients.
+_GRAM = ", ".join(f"covar_pop({a}, {b}) / any_value(s_{a} * s_{b}) AS g{i}{j}" for i, a in enumerate(["latitude", "longitude", "depth"], 1) for j, b in enumerate(["latitude", "longitude", "depth"], 1) if i < j)
+_STEP = "sign({0}) * greatest(abs({0}) - l1, 0) / (g + l2)"
+_ENET = (_SPLIT.replace("AND depth IS NOT NULL", "AND longitude IS NOT NULL AND depth IS NOT NULL") + ", sd AS (SELECT "
+         + ", ".join(f"stddev_pop({c}) AS s_{c}" for c in ("latitude", "longitude", "depth", "label_lin")) + " FROM complete WHERE split = 'train'), "
+         "mo AS MATERIALIZED (SELECT 1e0 AS g, " + _GRAM + ", " + ", ".join(f"covar_pop({c}, label_lin) / any_value(s_{c} * s_label_lin) AS r{i}" for i, c in enumerate(("latitude", "longitude", "depth"), 1))
+         + ", " + ", ".join(f"any_value(s_{c}) AS s{i}, avg({c}) AS m{i}" for i, c in enumerate(("latitude", "longitude", "depth", "label_lin"), 1))
+         + ", 8e-2 / any_value(s_label_lin) AS l1, 2e-2 / any_value(s_label_lin) AS l2 FROM complete, sd WHERE split = 'train'), "
+         "be AS MATERIALIZED (WITH RECURSIVE cd AS (SELECT 0 AS k, 0e0 AS b1, 0e0 AS b2, 0e0 AS b3 UNION ALL "
+         "SELECT k + 1, n1, n2, " + _STEP.format("(r3 - g13 * n1 - g23 * n2)") + " FROM (SELECT *, " + _STEP.format("(r2 - g12 * n1 - g23 * b3)") + " AS n2 FROM (SELECT *, "
+         + _STEP.format("(r1 - g12 * b2 - g13 * b3)") + " AS n1 FROM cd, mo)) WHERE k < 200) SELECT b1, b2, b3 FROM cd WHERE k = 200), "
+         "en AS (SELECT b1 * s4 / s1 AS c1, b2 * s4 / s2 AS c2, b3 * s4 / s3 AS c3, m4 - m1 * b1 * s4 / s1 - m2 * b2 * s4 / s2 - m3 * b3 * s4 / s3 AS c0 FROM be, mo)")
 
 
 def _enet(spark, sf_dir):
-    df = catalogue(spark, sf_dir).where("latitude IS NOT NULL").withColumn("label_lin", _label())
-    return fitted(spark, sf_dir, "enet", lambda: models.elastic_net(df, label="label_lin", features=["depth"], max_iter=100))
+    df = catalogue(spark, sf_dir).withColumn("label_lin", _label())
+    return fitted(spark, sf_dir, "enet", lambda: models.elastic_net(df, label="label_lin"))
 
 
-@register("elastic_net")
+@register("elastic_net", q("SELECT id, round(label_lin, 6) AS label_lin, round(c0 + c1 * latitude + c2 * longitude + c3 * depth, 6) AS prediction FROM complete, en WHERE split = 'test'", _ENET))
 def elastic_net(spark, sf_dir):
     _, test, _ = _enet(spark, sf_dir)
-    return test.select("id", "label_lin", "prediction")
+    return round_cols(test.select("id", "label_lin", "prediction"), ["label_lin", "prediction"])
 
 
-@register("elastic_net_coefficients", q("SELECT round(slope, 5) AS slope, round(intercept, 3) AS intercept FROM en", _ENET))
+@register("elastic_net_coefficients", q("SELECT round(c1, 9) AS c_latitude, round(c2, 9) AS c_longitude, round(c3, 9) AS c_depth, round(c0, 6) AS intercept FROM en", _ENET))
 def elastic_net_coefficients(spark, sf_dir):
     model, _, _ = _enet(spark, sf_dir)
-    line = model.stages[-1]
-    return catalogue(spark, sf_dir).limit(1).select(F.round(F.lit(float(line.coefficients[0])), 5).alias("slope"),
-                                                    F.round(F.lit(float(line.intercept)), 3).alias("intercept"))
+    return catalogue(spark, sf_dir).limit(1).select(*[F.round(F.lit(b), 9).alias(f"c_{c}") for c, b in zip(model.features, model.coefficients)],
+                                                    F.round(F.lit(model.intercept), 6).alias("intercept"))
 
 
 @register("elastic_net_metrics", q(
-    "SELECT split, count(*) AS n, round(sqrt(avg((label_lin - p) ** 2)), 4) AS rmse, round(avg(abs(label_lin - p)), 4) AS mae, "
-    "round(1 - sum((label_lin - p) ** 2) / (var_pop(label_lin) * count(*)), 4) AS r2 "
-    "FROM (SELECT complete.*, intercept + slope * depth AS p FROM complete, en) GROUP BY split", _ENET))
+    "SELECT split, count(*) AS n, round(sqrt(avg((label_lin - p) ** 2)), 6) AS rmse, round(avg(abs(label_lin - p)), 6) AS mae, "
+    "round(1 - sum((label_lin - p) ** 2) / (var_pop(label_lin) * count(*)), 6) AS r2 "
+    "FROM (SELECT complete.*, c0 + c1 * latitude + c2 * longitude + c3 * depth AS p FROM complete, en) GROUP BY split", _ENET))
 def elastic_net_metrics(spark, sf_dir):
     _, _, metrics = _enet(spark, sf_dir)
-    return metrics.select("split", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
+    return metrics.select("split", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 def _forest(spark, sf_dir):

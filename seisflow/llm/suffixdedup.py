@@ -22,6 +22,8 @@ An anchor hash with more than ``MOST`` places may have as many different context
 are not sorted: each names its windows by digests, an aggregate with map-side partials takes the smallest document of
 each (hash, window), and a join that Spark can split brings it back to the contexts.
 
+A context is known by its hash and a digest, 128 bits together, and a window of a hot hash by 128 bits besides the hash.
+
 Defined results: a null text is an empty one; texts shorter than ``LENGTH`` bytes keep everything; a null id
 counts as larger than all others; rows that share an id never remove each other's bytes, and equal rows
 come out as often as they went in; an empty table gives an empty table.
@@ -44,11 +46,15 @@ MAP_BITS = 1 << 28
 BLOCK_BITS = 1 << 20
 #: Bytes to which the multikey sort goes before blind tries take over.
 SHALLOW = 32
+#: Bytes whose anchors are found at once.
+STRETCH = 1 << 18
 #: Anchors handled at once in a task.
 ROWS = 50_000
 #: Places of an anchor hash up to which one task sorts its contexts.
 MOST = ROWS
 _LAST = (1 << 63) - 1
+#: Odd factors of the two words of a window's digest.
+WORDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -60,27 +66,44 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[:len(x) - (width - span)], x[width - span:]) if width > span else x
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the grams that some window inside a text names; all of them among equal hashes."""
+def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     n, width = len(data), length - gram + 1
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     eights = np.ndarray((n - 7,), "<u8", np.ascontiguousarray(data), strides=(1,))
     size = n - gram + 1
-    h = np.zeros(size, np.uint64)
-    for k in [*range(0, gram - 7, 8), gram - 8]:
-        h = mix64((h ^ eights[k:k + size]) * np.uint64(0x9E3779B97F4A7C15))
-    h |= np.uint64(1)  # zero stands for windows that leave their text
-    ends = np.repeat(offsets[1:], np.diff(offsets))  # end of each byte's text
-    inside = np.arange(n - length + 1) + length <= ends[:n - length + 1]
-    low = np.where(inside, _slide(h, width, np.minimum), np.uint64(0))
-    # A gram is named if the largest minimum of the windows that hold it is its own hash.
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
-    named = _slide(padded, width, np.maximum) == h
-    at = np.flatnonzero(named)
+    h = eights[:size] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    for k in [*range(8, gram - 7, 8), *([gram - 8] if gram % 8 else [])]:
+        h ^= eights[k:k + size]
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(32)
+    # Half of the bits rank the grams; zero stands for windows that leave their text.
+    rank = (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    low = _slide(rank, width, np.minimum)
+    for start in offsets[1:-1].tolist():
+        low[max(0, start - length + 1):start] = 0
+    # A gram is named if the largest minimum of the windows that hold it is its own rank.
+    padded = np.zeros(len(low) + 2 * (width - 1), np.uint32)
+    padded[width - 1:width - 1 + len(low)] = low
+    at = np.flatnonzero(_slide(padded, width, np.maximum) == rank)
     return at, h[at]
 
 
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of the grams that some window inside a text names; all of them among equal ranks.
+
+    Whole texts at a time, about ``stretch`` bytes, so that the arrays of a step stay in the processor's cache.
+    """
+    out, i = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))], 0
+    while i < len(offsets) - 1:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + stretch, side="right")) - 1)
+        at, h = _anchors(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], length, gram)
+        out.append((at + offsets[i], h))
+        i = j
+    return np.concatenate([at for at, _ in out]), np.concatenate([h for _, h in out])
+
+
 def multikey_sort(words: np.ndarray, group: np.ndarray, lengths: np.ndarray, raw: np.ndarray, shallow: int = SHALLOW) -> np.ndarray:
     """Order of byte strings within their groups (groups ascending); shorter strings come before their extensions.
 
@@ -193,6 +216,16 @@ def earlier_offsets(h: np.ndarray, lead: np.ndarray, left: np.ndarray, n_left: n
     return lo, hi
 
 
+def distinct_pairs(h: np.ndarray, digest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, of): the first row of each different (hash, digest), and the number of each row's pair."""
+    order = np.lexsort((digest, h))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order[1:]] != h[order[:-1]]) | (digest[order[1:]] != digest[order[:-1]])
+    of = np.empty(len(h), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
 def _digest(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """64-bit digest of zero-padded rows and their lengths."""
     padded = np.zeros((len(raw), -(-raw.shape[1] // 8) * 8), np.uint8)
@@ -210,9 +243,9 @@ def _matrix(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: in
     return np.where(held, data[np.where(held, starts[:, None] + step * k, 0)], 0).astype(np.uint8) if len(data) else np.zeros((len(starts), width), np.uint8)
 
 
-def window_digests(left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, length: int, gram: int):
+def window_digests(left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, length: int, gram: int, odd: int = WORDS[0]):
     """(offset, rows, digests) of the windows that start so far before the anchor, for each offset and the contexts that hold it."""
-    step = lambda x, byte: mix64((x ^ (byte.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15))
+    step = lambda x, byte: mix64((x ^ (byte.astype(np.uint64) + np.uint64(1))) * np.uint64(odd))
     reach = length - gram
     ends, x = [], np.zeros(len(right), np.uint64)
     for k in range(length):
@@ -291,7 +324,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
     def different(part: pa.RecordBatch, only_hot: bool):
         """Different contexts of a slice with the smallest and largest document that holds each."""
         row, _, h, digest, left, n_left, right, n_right = marked_anchors(part.column(1), only_hot)
-        _, first, of = np.unique(digest, return_index=True, return_inverse=True)
+        first, of = distinct_pairs(h, digest)
         doc = np.asarray(part.column(0))[row]
         lo, hi = np.full(len(first), _LAST), np.full(len(first), -_LAST)
         np.minimum.at(lo, of, doc)
@@ -311,24 +344,25 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
         for batch in batches:
             for part in text_slices(batch, "text"):
                 h, lo, hi, digest, left, n_left, right, n_right = different(part, True)
-                for o, of, window in window_digests(left, n_left, right, n_right, length, gram) if len(h) else ():
-                    yield pa.RecordBatch.from_arrays([pa.array(h[of]), pa.array(window.view(np.int64)), pa.array(digest[of]), pa.array(lo[of]), pa.array(hi[of]), pa.array(np.full(len(of), o))],
-                                                     names=["h", "window", "digest", "lo", "hi", "o"])
+                words = [window_digests(left, n_left, right, n_right, length, gram, odd) for odd in WORDS]
+                for (o, of, window), (_, _, more) in zip(*words) if len(h) else ():
+                    yield pa.RecordBatch.from_arrays([pa.array(h[of]), pa.array(window.view(np.int64)), pa.array(more.view(np.int64)), pa.array(digest[of]), pa.array(lo[of]), pa.array(hi[of]),
+                                                      pa.array(np.full(len(of), o))], names=["h", "window", "more", "digest", "lo", "hi", "o"])
 
     def decided_by_window() -> DataFrame:
         """What ``decide`` says, for the hot hashes."""
-        named = docs.select("doc", "text").mapInArrow(windows, "h long, window long, digest long, lo long, hi long, o long")
-        named = written(named.groupBy("h", "window", "digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("o").alias("o")), "windows")
+        named = docs.select("doc", "text").mapInArrow(windows, "h long, window long, more long, digest long, lo long, hi long, o long")
+        named = written(named.groupBy("h", "window", "more", "digest").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("o").alias("o")), "windows")
         # Written, so that the join has two plain exchanges and Spark can split a window that very many contexts hold.
-        least = written(named.groupBy("h", "window").agg(F.min("lo").alias("least")), "least")
+        least = written(named.groupBy("h", "window", "more").agg(F.min("lo").alias("least")), "least")
         own = F.when(F.col("least") < F.col("lo"), F.col("o"))
-        of = named.join(least, ["h", "window"]).groupBy("digest").agg(F.min("lo").alias("lead"), F.max("hi").alias("last"), F.min("o").alias("full_lo"), F.max("o").alias("full_hi"),
+        of = named.join(least, ["h", "window", "more"]).groupBy("h", "digest").agg(F.min("lo").alias("lead"), F.max("hi").alias("last"), F.min("o").alias("full_lo"), F.max("o").alias("full_hi"),
                                                                      F.coalesce(F.min(own), F.lit(-1)).alias("own_lo"), F.coalesce(F.max(own), F.lit(-1)).alias("own_hi"))
         return of.where("own_lo >= 0 or last > lead").drop("last")
 
     def decide(batches):
         """Rows of one hash come by ascending document: a context's first row has its smallest one."""
-        names = ["digest", "lead", "full_lo", "full_hi", "own_lo", "own_hi"]
+        names = ["h", "digest", "lead", "full_lo", "full_hi", "own_lo", "own_hi"]
         kept, rows, count = None, [], 0  # kept: the contexts of the hash that goes on
 
         def close():
@@ -337,7 +371,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
             old = len(kept[0]) if kept is not None and kept[0][0] == h[0] else 0
             if old:
                 h, lo, hi, digest, n_left, n_right, both = (np.concatenate([k, x]) for k, x in zip(kept, (h, lo, hi, digest, n_left, n_right, both)))
-            _, first, of = np.unique(digest, return_index=True, return_inverse=True)
+            first, of = distinct_pairs(h, digest)
             last = np.full(len(first), -_LAST)
             np.maximum.at(last, of, hi)
             h, lead, digest, n_left, n_right, both = (x[first] for x in (h, lo, digest, n_left, n_right, both))
@@ -346,7 +380,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
             on = h == np.concatenate([r[0] for r in rows])[-1]
             kept = tuple(x[on] for x in (h, lead, last, digest, n_left, n_right, both))
             say = (own_lo >= 0) | (last > lead) & (length - n_right <= n_left)
-            return pa.RecordBatch.from_arrays([pa.array(x[say]) for x in (digest, lead, length - n_right, n_left, own_lo, own_hi)], names=names)
+            return pa.RecordBatch.from_arrays([pa.array(x[say]) for x in (h, digest, lead, length - n_right, n_left, own_lo, own_hi)], names=names)
 
         for batch in batches:
             if batch.num_rows:
@@ -362,18 +396,19 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, map_bits: int
     def occurrences(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
-                row, at, _, digest, *_ = marked_anchors(part.column(2))
+                row, at, h, digest, *_ = marked_anchors(part.column(2))
                 doc, tag = (np.asarray(part.column(i))[row] for i in range(2))
-                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), pa.array(doc), pa.array(tag), pa.array(at.astype(np.int32))], names=["digest", "doc", "tag", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(doc), pa.array(tag), pa.array(at.astype(np.int32))],
+                                                 names=["h", "digest", "doc", "tag", "at"])
 
     # Texts are cut off before the shuffles: of copies a task sends one context, and the rows of a hot hash are its different contexts.
     dealt = docs.select("doc", "text").mapInArrow(contexts, "h long, lo long, hi long, digest long, n_left int, n_right int, context binary")
     dealt = dealt.repartition("h").sortWithinPartitions("h", "lo")
-    decided = dealt.mapInArrow(decide, "digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long")
+    decided = dealt.mapInArrow(decide, "h long, digest long, lead long, full_lo long, full_hi long, own_lo long, own_hi long")
     # Summed up before it is written, so that the join below has two plain exchanges and Spark can split a hot context.
-    decided = decided.groupBy("digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")])
+    decided = decided.groupBy("h", "digest").agg(F.min("lead").alias("lead"), *[F.max(c).alias(c) for c in ("full_lo", "full_hi", "own_lo", "own_hi")])
     decided = written(decided.unionByName(decided_by_window()) if len(hot) else decided, "contexts")
-    met = docs.select("doc", "tag", "text").mapInArrow(occurrences, "digest long, doc long, tag long, at int").join(decided, "digest")
+    met = docs.select("doc", "tag", "text").mapInArrow(occurrences, "h long, digest long, doc long, tag long, at int").join(decided, ["h", "digest"])
     later = F.col("doc") > F.col("lead")
     met = met.select("doc", "tag", "at", F.when(later, F.col("full_lo")).otherwise(F.col("own_lo")).alias("lo"), F.when(later, F.col("full_hi")).otherwise(F.col("own_hi")).alias("hi"))
     return met.where("lo >= 0 and lo <= hi").select("doc", "tag", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("end"))

@@ -104,3 +104,35 @@ def test_odd_rows(frame, odd):
     same = frame([(1, "z" * 60), (1, "z" * 60), (2, "z" * 60), (None, "z" * 60)])
     got = sorted((r.doc_id or 99, r.n_removed) for r in suffixdedup.repeat_digests(same).collect())
     assert got == [(1, 0), (1, 0), (2, 60), (99, 60)]
+
+
+def test_contexts_with_equal_digests_differ_by_their_hash():
+    np = suffixdedup.np
+    h, digest = np.array([5, 9, 5, 5, 9], np.uint64), np.array([1, 1, 1, 2, 1], np.uint64)
+    first, of = suffixdedup.distinct_pairs(h, digest)
+    assert sorted(zip(h[first].tolist(), digest[first].tolist())) == [(5, 1), (5, 2), (9, 1)]
+    assert (h[first][of] == h).all() and (digest[first][of] == digest).all()
+
+
+@pytest.mark.parametrize("gram", [8, 10, 16, 24])
+def test_equal_windows_name_equal_anchors(gram):
+    """Each window of a text names a gram inside it, and where the window stands or how texts are cut up does not matter."""
+    np, rng = suffixdedup.np, random.Random(gram)
+    texts = ["".join(rng.choice("abé ") for _ in range(rng.randrange(0, 300))) for _ in range(40)] + ["a" * 200, "", "x" * 49]
+    texts += [rng.choice(texts) + rng.choice(texts) for _ in range(20)]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    named = {}
+    for stretch in (1, 700, 1 << 18):
+        at, h = suffixdedup.anchors(data, offsets, 50, gram, stretch)
+        found = list(zip(at.tolist(), h.tolist()))
+        named.setdefault("all", found)
+        assert found == named["all"]
+    place = dict(named["all"])
+    windows = {}
+    for i, t in enumerate(raw):
+        for p in range(len(t) - 49):
+            inside = tuple((q, place[offsets[i] + p + q]) for q in range(50 - gram + 1) if int(offsets[i]) + p + q in place)
+            assert inside
+            windows.setdefault(t[p:p + 50], []).append(set(inside))
+    assert all(set.intersection(*seen) for seen in windows.values())

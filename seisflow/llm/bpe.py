@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from seisflow.llm.common import append_columns, bound_batches, ragged_take
 
 #: Words that are encoded, decoded and hashed at once.
-SLICE_WORDS = 1 << 17
+SLICE_WORDS = 1 << 20
 # Fixed value: the byte-level vocabulary's word pattern, with Unicode white space spelled out for the JVM.
 _SPACE = r"\p{IsWhite_Space}"
+ROW_WORD = r"^ (\p{L}+|\p{N}+)$"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{IsWhite_Space}})|{_SPACE}+"
 
 
@@ -59,10 +60,35 @@ class Vocabulary:
             self._tokenizer.no_padding()
         return self._tokenizer
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, number of ids of each word)."""
-        ids = [e.ids for at in range(0, len(words), 4096) for e in self.tokenizer.encode_batch(words[at:at + 4096], add_special_tokens=False)]
-        return np.array([i for x in ids for i in x], np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each word), for an array of different words.
+
+        Words of a blank and only letters or only digits stay words of their own in a row of such words, so these go
+        to the tokenizer in long rows, which say of each id to which word it belongs; the others go one by one.
+        """
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        plain = pa.compute.match_substring_regex(words, ROW_WORD).to_numpy(zero_copy_only=False)
+        texts, lengths, found = words.to_pylist(), np.zeros(len(words), np.int64), []
+        alone = [np.flatnonzero(~plain)]
+        for at in np.array_split(np.flatnonzero(plain), -(-int(plain.sum()) // 4096) or 1):
+            row = self.tokenizer.encode("".join([texts[i] for i in at]), add_special_tokens=False)
+            counts = np.bincount(np.array(row.word_ids, np.int64), minlength=len(at))
+            if len(counts) == len(at) and counts.all():
+                lengths[at] = counts
+                found.append((at, np.array(row.ids, np.int32)))
+            else:  # the tokenizer cuts some word otherwise than the pattern does
+                alone.append(at)
+        alone = np.concatenate(alone)
+        for at in np.array_split(alone, -(-len(alone) // 4096) or 1):
+            ids = [e.ids for e in self.tokenizer.encode_batch([texts[i] for i in at], add_special_tokens=False)]
+            lengths[at] = [len(i) for i in ids]
+            found.append((at, np.array([x for i in ids for x in i], np.int32)))
+        # Ids in the order of the words.
+        order = np.concatenate([at for at, _ in found])
+        flat, starts = np.concatenate([ids for _, ids in found]), np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return ragged_take(flat, starts, lengths), lengths
 
     def pieces(self) -> pa.Array:
         """The bytes of each id, by id."""
@@ -98,30 +124,30 @@ def encode_lists(vocabulary: Vocabulary, column: pa.ListArray) -> pa.ListArray:
     """The ids of each list of words, through the table of distinct words in all of them."""
     words, offsets = _span(column)
     flat = words.dictionary_encode()
-    table, lengths = vocabulary.encode_words(flat.dictionary.to_pylist())
+    table, lengths = vocabulary.encode_words(flat.dictionary)
     at = np.asarray(flat.indices).astype(np.int64)
     ids = ragged_take(table, (np.cumsum(lengths) - lengths)[at], lengths[at])
     ends = np.concatenate([[0], np.cumsum(lengths[at])])[offsets]
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
 
+def _joined(column: pa.ListArray, table: pa.Array, between: bytes) -> list[bytes]:
+    """Each list's rows of a table of bytes by id, joined; ids that the table lacks are left out."""
+    ids, offsets = _span(column)
+    known = np.asarray(pa.compute.and_kleene(pa.compute.greater_equal(ids, 0), pa.compute.less(ids, len(table))).fill_null(False))
+    if not known.all():
+        ids, offsets = ids.filter(pa.array(known)), np.concatenate([[0], np.cumsum(known)])[offsets]
+    return pa.compute.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), table.take(ids)), between).to_pylist()
+
+
 class Decoder:
     """The join of ids with the table of their bytes."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        pieces = vocabulary.pieces()
-        starts = np.frombuffer(pieces.buffers()[1], np.int32)[:len(pieces) + 1].astype(np.int64)
-        self.body, self.starts, self.lengths = np.frombuffer(pieces.buffers()[2], np.uint8), starts, np.diff(starts)
+        self.pieces = vocabulary.pieces()
 
     def texts(self, column: pa.ListArray) -> list[str]:
-        ids, offsets = _span(column)
-        ids = np.asarray(ids.fill_null(-1)).astype(np.int64)
-        known = (ids >= 0) & (ids < len(self.lengths))
-        ids = np.where(known, ids, 0)
-        sizes = np.where(known, self.lengths[ids], 0)
-        data = ragged_take(self.body, self.starts[ids], sizes).tobytes()
-        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets].tolist()
-        return [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+        return [b.decode("utf-8", "replace") for b in _joined(column, self.pieces, b"")]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -173,13 +199,13 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(vocabulary)
+        decimals = pa.array([str(i).encode() for i in range(len(decoder.pieces))], pa.binary())
         for batch in batches:
             for start, column in word_slices(batch.column(1)):
                 ids = encode_lists(vocabulary, column)
-                joined = pa.compute.binary_join(ids.cast(pa.list_(pa.string())), ",")
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, len(column)), ids.value_lengths().cast(pa.int64()),
-                    pa.array([digest(x.as_buffer()) for x in joined.cast(pa.binary())], pa.string()),
+                    pa.array([digest(b) for b in _joined(ids, decimals, b",")], pa.string()),
                     pa.array([digest(x.encode()) for x in decoder.texts(ids)], pa.string())], names=names)
 
     kind = T.StructType([docs.schema["doc_id"], *[T.StructField(n, T.LongType() if n == "n_tokens" else T.StringType()) for n in names[1:]]])

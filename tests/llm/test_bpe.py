@@ -39,3 +39,17 @@ def test_odd_rows(odd, frame):
     made = bpe.encode(odd, bpe.Vocabulary(PATH))
     assert set(made.columns) == {"doc_id", "spans", "score", "ids"} and made.count() == odd.count()
     assert bpe.token_digests(frame([]), PATH).count() == 0
+
+
+def test_words_of_rows_and_single_words_have_their_own_ids(tokenizer):
+    """Ids of each word, whether it goes in a row with others or by itself."""
+    words = [" the", " abc", "abc", " 123", " ñandú", " 日本", " a1", "  ", " é", ".", " .", "'s", " x" * 2, " " + "q" * 3000, "<|endoftext|>", " Ⅷ", " ²", " ́a"]
+    words += [f" w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(9000)]
+    words = list(dict.fromkeys(words))
+    flat, lengths = bpe.Vocabulary(PATH).encode_words(bpe.pa.array(words))
+    at = 0
+    for w, n in zip(words, lengths.tolist()):
+        assert flat[at:at + n].tolist() == tokenizer.encode(w, add_special_tokens=False).ids, w
+        at += n
+    assert at == len(flat)
+    assert [len(x) for x in bpe.Vocabulary(PATH).encode_words(bpe.pa.array([], bpe.pa.string()))] == [0, 0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from seisflow.functions.display import MAP_BANDS, forecast_markers, marker_radius, popup_text, severity_band
-from seisflow.operators import filters, forecast, grids, isolation, models, regions, summaries
+from seisflow.operators import cube, filters, forecast, grids, isolation, models, regions, summaries
 from seisflow.schema import schema_report
 from seisflow.sources.catalogue import EmptyInputError, read_catalogue_parquet, write_catalogue_csv, write_catalogue_parquet
 from seisflow.sources.geojson import read_feed
@@ -51,15 +51,12 @@ def save_processed(df: DataFrame, out: str, region_mode: str = "first") -> dict:
 
 
 def basic_report(df: DataFrame) -> dict:
-    """The basic analysis as named frames."""
+    """The basic analysis as named frames (C1-C5, B17, B18, E3); the summaries come from one reading."""
+    made = cube.tables(cube.written_cube(df))
     return {
         "schema": schema_report(df),
         "sample": filters.sample_rows(df, 5),
-        "describe": summaries.describe_magnitude(df),
-        "magnitude_classes": summaries.class_counts(df),
-        "top_places": summaries.top_places(df, 10),
-        "depth_by_class": summaries.depth_by_class(df),
-        "hours": summaries.hour_counts(df, source="hour"),
+        **{item: made[item] for item in ("describe", "magnitude_classes", "top_places", "depth_by_class", "hours")},
     }
 
 
@@ -82,6 +79,7 @@ def pattern_report(df: DataFrame, k: int = 5, contamination: float = 0.1, seed:
     anomalies = isolation.detect_anomalies(base, contamination=contamination, fitted=detector)
     pca_rows, ratio = models.pca_components(base, k=2)
     forest, predicted = models.forest_magnitude(base, trees=trees, seed=seed)
+    patterns = cube.tables(cube.written_cube(base))
     if models_path:  # A12
         models.save_model(scaled, f"{models_path}/kmeans_scaled")
         models.save_model(forest, f"{models_path}/forest_magnitude")
@@ -93,8 +91,7 @@ def pattern_report(df: DataFrame, k: int = 5, contamination: float = 0.1, seed:
         "pca": pca_rows,
         "explained_variance": spark.createDataFrame([(i + 1, float(r)) for i, r in enumerate(ratio)],
                                                     "component int, explained_variance_ratio double"),
-        "hourly_patterns": summaries.hourly_patterns(base),
-        "spatial_patterns": summaries.spatial_patterns(base),
+        **{item: patterns[item] for item in ("hourly_patterns", "spatial_patterns")},
         "predictions": predicted,
     }
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from seisflow.operators import cube
+from seisflow.operators.regions import REGION_BOXES, UNCLASSIFIED
 from seisflow.plans import jobs
 from seisflow.plans.oracle import REGION_FIRST, q
 from seisflow.schema import CATALOGUE_FIELDS
@@ -15,7 +17,7 @@ from seisflow.plans.registry import RANGE_END, RANGE_START, catalogue, fitted, r
 from seisflow.session import scratch_path
 from seisflow.sources import catalogue as cat_io
 from seisflow.sources import fixture, geojson
-from seisflow.streaming import ingest
+from seisflow.streaming import ingest, revisions
 
 _ROW_COLS = ["id", "magnitude", "place", "time", "longitude", "latitude", "depth", "date", "hour"]
 _ROW_SQL = ("SELECT id, magnitude, place, time, longitude, latitude, depth, strftime(time, '%Y-%m-%d') AS date, "
@@ -144,6 +146,27 @@ def basic_report(spark, sf_dir):
 _WHOLE = "magnitude IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL AND depth IS NOT NULL"
 
 
+_CUBE_KEYS = {"all": "NULL", "class": f"CAST({_CLASS} AS VARCHAR)", "place": "place", "region": "region", "day": "CAST(CAST(time AS DATE) AS VARCHAR)",
+              "hour": "CAST(hour(time) AS VARCHAR)", "stored_hour": "CAST(hour(time) AS VARCHAR)"}
+_CUBE_NAMES = "CASE " + REGION_FIRST + " " + " ".join(f"WHEN {code} THEN '{name}'" for code, name, *_ in REGION_BOXES) + f" ELSE '{UNCLASSIFIED}' END AS region"
+
+
+@register("one_scan_report", q(" UNION ALL ".join(
+    f"SELECT '{item}' AS item, {key} AS key, count(*) AS events, count(magnitude) AS magnitude_count, round(avg(magnitude), 6) AS magnitude_mean, "
+    "round(stddev_samp(magnitude), 6) AS magnitude_stddev, min(magnitude) AS magnitude_min, max(magnitude) AS magnitude_max, round(avg(depth), 6) AS depth_mean, "
+    f"count(*) FILTER ({_WHOLE}) AS c_events, count(magnitude) FILTER ({_WHOLE}) AS c_magnitude_count, round(avg(magnitude) FILTER ({_WHOLE}), 6) AS c_magnitude_mean, "
+    f"max(magnitude) FILTER ({_WHOLE}) AS c_magnitude_max, round(avg(depth) FILTER ({_WHOLE}), 6) AS c_depth_mean FROM rq GROUP BY {key if item != 'all' else 'ALL'}"
+    for item, key in _CUBE_KEYS.items()), f"rq AS (SELECT *, {_CUBE_NAMES} FROM quakes)"))
+def one_scan_report(spark, sf_dir):
+    """Every summary of the reports, by value, from one scan."""
+    made = cube.cube(catalogue(spark, sf_dir))
+    day = F.when(F.col("item") == "day", F.make_date("year", "month", "day").cast("string"))
+    key = F.coalesce(day, F.when(F.col("item") == "class", F.col("class").cast("string")), F.when(F.col("item") == "place", F.col("place")), F.when(F.col("item") == "region", F.col("region")),
+                     F.when(F.col("item") == "hour", F.col("hour").cast("string")), F.when(F.col("item") == "stored_hour", F.col("stored_hour").cast("string")))
+    means = [c for c in made.columns if c.endswith("_mean") or c.endswith("_stddev")]
+    return round_cols(made.withColumn("key", key).drop(*[k for keys in cube.SETS.values() for k in keys]), means)
+
+
 @register("spark_analysis", q(_BASIC + f" UNION ALL SELECT 'clustered', count(*) FROM quakes WHERE {_WHOLE} UNION ALL SELECT 'centers', 5 "
                               "UNION ALL SELECT 'cluster_sizes', 5 UNION ALL SELECT 'silhouette', 1"))
 def spark_analysis(spark, sf_dir):
@@ -183,15 +206,17 @@ DROPS = 4
 _LATE_DAYS = 5
 
 
-def _landed(spark, sf_dir, drops):
-    """Event drops landed one after another as files of one folder, read one file per micro-batch.
+def _landed(spark, drops, stream, name):
+    """Drops landed one after another in one folder, each followed by a run of the stream on one checkpoint.
 
-    File times decide the order in which a file stream reads, so each drop is written after the one before.
+    A drop is written with its own partitions; what counts is the order of drops, so each is one micro-batch.
+    ``stream`` makes the query's frame from the event stream. Returns what the sink holds after the last run.
     """
-    folder = scratch_path(spark, "drops")
-    for part in drops:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return ingest.event_stream(spark, folder, glob="*.parquet", max_files_per_trigger=1)
+    folder, sink, checkpoint = (scratch_path(spark, f"{name}-{part}") for part in ("drops", "out", "ckpt"))
+    for drop in drops:
+        drop.write.mode("append").parquet(folder)
+        ingest.run_to_parquet(stream(ingest.event_stream(spark, folder, glob="*.parquet")), sink, checkpoint)
+    return spark.read.parquet(sink)
 
 
 def _by_day(spark, sf_dir):
@@ -203,8 +228,7 @@ def _by_day(spark, sf_dir):
 
 @register("stream_ingest", q("SELECT id, magnitude, time, longitude, latitude, depth FROM quakes"))
 def stream_ingest(spark, sf_dir):
-    s = _landed(spark, sf_dir, _by_day(spark, sf_dir)).select("id", "magnitude", "time", "longitude", "latitude", "depth")
-    return _run(spark, s, "ingest")
+    return _landed(spark, _by_day(spark, sf_dir), lambda s: s.select("id", "magnitude", "time", "longitude", "latitude", "depth"), "ingest")
 
 
 @register("stream_feed", q(_FEED_SQL))
@@ -217,32 +241,45 @@ def stream_feed(spark, sf_dir):
 
 @register("stream_dedup", q("SELECT id, magnitude, time FROM quakes"))
 def stream_dedup(spark, sf_dir):
-    # Every drop lands a second time, as a file of its own, right after the first: repeats meet the state of an
-    # earlier micro-batch, and each event comes out once.
+    # Every drop lands a second time, right after the first: repeats meet the state of an earlier micro-batch, and
+    # each event comes out once.
     drops = [d for part in _by_day(spark, sf_dir) for d in (part, part)]
-    out = ingest.dedup_stream(_landed(spark, sf_dir, drops).select("id", "magnitude", "time"), delay="10 days")
-    return _run(spark, out, "dedup")
+    return _landed(spark, drops, lambda s: ingest.dedup_stream(s.select("id", "magnitude", "time"), delay="10 days"), "dedup")
 
 
-@register("stream_latest", q(
-    "SELECT id, round(magnitude + 1e-1, 6) AS magnitude, time + INTERVAL 1 HOUR AS updated FROM quakes"))
-def stream_latest(spark, sf_dir):
-    # Originals and revisions (one hour later, magnitude + 0.1) land in different files, the revisions of the first
-    # drop before its originals; readers take the newest over all micro-batches.
-    folder, table = scratch_path(spark, "revision-drops"), scratch_path(spark, "revisions")
+_LATEST_SQL = q("SELECT id, round(magnitude + 1e-1, 6) AS magnitude, time + INTERVAL 1 HOUR AS updated FROM quakes")
+_REVISION = "id string, magnitude double, updated timestamp"
+
+
+def _revised(spark, sf_dir, sink):
+    """Originals and revisions (one hour later, magnitude + 0.1) in drops, the revisions of the first before its originals."""
+    folder, checkpoint = scratch_path(spark, "revision-drops"), scratch_path(spark, "revisions-ckpt")
     base = catalogue(spark, sf_dir).select("id", "magnitude", "updated", F.dayofmonth("time").alias("day"))
     revised = base.select("id", (F.col("magnitude") + 0.1).alias("magnitude"), (F.col("updated") + F.expr("INTERVAL 1 HOUR")).alias("updated"), "day")
     early = F.col("day") <= 15
     for part in (revised.where(early), base.where(early), base.where(~early), revised.where(~early)):
-        part.drop("day").coalesce(1).write.mode("append").parquet(folder)
-    stream = spark.readStream.schema("id string, magnitude double, updated timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
-    q_ = (stream.writeStream.foreachBatch(ingest.upsert_batches(table))
-          .option("checkpointLocation", scratch_path(spark, "revisions-ckpt")).trigger(availableNow=True).start())
-    q_.awaitTermination()
+        part.drop("day").write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(_REVISION).parquet(folder)
+        stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+@register("stream_latest", _LATEST_SQL)
+def stream_latest(spark, sf_dir):
+    # Readers take the newest revision over all micro-batches.
+    table = scratch_path(spark, "revisions")
+    _revised(spark, sf_dir, ingest.upsert_batches(table))
     latest = ingest.latest_revisions(spark.read.parquet(table).select("id", "magnitude", "updated"))
     return round_cols(latest, ["magnitude"])
 
 
+@register("stream_merged", _LATEST_SQL)
+def stream_merged(spark, sf_dir):
+    # The table merges every two batches: a merge takes revisions that came before their originals.
+    table = revisions.RevisionTable(spark, scratch_path(spark, "merged"), _REVISION)
+    _revised(spark, sf_dir, revisions.merging_sink(table, every=2))
+    return round_cols(table.read(), ["magnitude"])
+
+
 def _late_drops(spark, sf_dir):
     """Days in order, but the rows of user_id % 50 = 2 on the first three days come after everything else."""
     very_late = (F.col("user_id") % 50 == 2) & (F.dayofmonth("ts") <= 3)
@@ -265,8 +302,7 @@ _ON_TIME = "quakes_in AS (SELECT quakes.* FROM quakes JOIN events USING (event_i
     "count(*) AS earthquakes_count, round(avg(magnitude), 6) AS avg_magnitude FROM quakes_in "
     f"GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL {_LATE_DAYS} DAY", _ON_TIME))
 def stream_daily(spark, sf_dir):
-    stream = _landed(spark, sf_dir, _late_drops(spark, sf_dir))
-    out = _run(spark, ingest.daily_counts_stream(stream, delay=f"{_LATE_DAYS} days"), "daily")
+    out = _landed(spark, _late_drops(spark, sf_dir), lambda s: ingest.daily_counts_stream(s, delay=f"{_LATE_DAYS} days"), "daily")
     return round_cols(out, ["avg_magnitude"])
 
 
@@ -276,8 +312,7 @@ def stream_daily(spark, sf_dir):
     "GROUP BY 1, 2 HAVING date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) FROM quakes) - INTERVAL 20 DAY"))
 def stream_late_kept(spark, sf_dir):
     # Rows eight days late under a watermark of 20 days: inside it, so every one is counted.
-    stream = _landed(spark, sf_dir, _delayed_drops(spark, sf_dir))
-    out = _run(spark, ingest.daily_counts_stream(stream, delay="20 days"), "late")
+    out = _landed(spark, _delayed_drops(spark, sf_dir), lambda s: ingest.daily_counts_stream(s, delay="20 days"), "late")
     return round_cols(out, ["avg_magnitude"])
 
 
@@ -288,6 +323,5 @@ def stream_late_kept(spark, sf_dir):
     "(SELECT max(time) FROM quakes) - INTERVAL 1 HOUR"))
 def stream_hourly(spark, sf_dir):
     # I3 with hourly tumbling windows: a window is emitted once the watermark passes its end.
-    stream = _landed(spark, sf_dir, _by_day(spark, sf_dir))
-    out = _run(spark, ingest.daily_counts_stream(stream, size="1 hour"), "hourly")
+    out = _landed(spark, _by_day(spark, sf_dir), lambda s: ingest.daily_counts_stream(s, size="1 hour"), "hourly")
     return round_cols(out, ["avg_magnitude"])

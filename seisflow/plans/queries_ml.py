@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from seisflow.functions.display import fixed, forecast_colour, forecast_markers
 from seisflow.functions.scalars import round2
-from seisflow.operators import features, forecast, isolation, lloyd, models, zones
+from seisflow.operators import features, forecast, forest, isolation, lloyd, models, zones
 from seisflow.operators.filters import drop_incomplete
 from seisflow.operators.summaries import anomaly_count, group_stats, mean_abs_error
 from seisflow.plans.oracle import q, zones as zone_ctes
@@ -353,6 +353,7 @@ def _forest(spark, sf_dir):
 
 @register("forest_magnitude")
 def forest_magnitude(spark, sf_dir):
+    """H14 by Spark ML, with trees of bounded depth; ``tree_to_the_end`` and ``forest_in_bag`` grow to the end."""
     return _forest(spark, sf_dir).select("id", "magnitude", "predicted_magnitude", "magnitude_error")
 
 
@@ -361,6 +362,30 @@ def forest_error(spark, sf_dir):
     return mean_abs_error(_forest(spark, sf_dir))
 
 
+# A single tree on all rows, grown to the end, gives every row the mean label of the rows at its place.
+@register("tree_to_the_end", q("SELECT id, round(avg(magnitude) OVER (PARTITION BY latitude, longitude, depth), 6) AS prediction FROM complete", _COMPLETE))
+def tree_to_the_end(spark, sf_dir):
+    rows = drop_incomplete(catalogue(spark, sf_dir), _RAW).select("id", *_RAW)
+    got = forest.forest_predictions(rows, features.LOCATION_FEATURES, "magnitude", trees=1, bootstrap=False, finish=2000)
+    return got.select("id", F.round("prediction", 6).alias("prediction"))
+
+
+# In a tree that drew it, a row has the weighted mean of the rows at its place: the draws are a hash, so SQL knows them.
+_DRAWS, _TREES = "least(" + " + ".join(f"CAST(u >= {p!r} AS INTEGER)" for p in forest._POISSON) + ", 99)", 8
+
+
+@register("forest_in_bag", q(
+    f"SELECT tree, id, round(sum(w * magnitude) OVER p / sum(w) OVER p, 6) AS prediction FROM (SELECT *, {_DRAWS} AS w FROM (SELECT complete.*, tree, "
+    f"('0x' || md5(id || ':' || tree || ':42')[1:13])::BIGINT / {float(1 << 52)!r}::DOUBLE AS u FROM complete, range({_TREES}) r(tree))) "
+    "WINDOW p AS (PARTITION BY tree, latitude, longitude, depth) QUALIFY w > 0", _COMPLETE))
+def forest_in_bag(spark, sf_dir):
+    rows = drop_incomplete(catalogue(spark, sf_dir), _RAW).select("id", *_RAW)
+    drawn = forest.drawn_places(rows, features.LOCATION_FEATURES, "magnitude", "id", _TREES, 42)
+    per_tree = forest.tree_predictions(drawn, features.LOCATION_FEATURES)
+    own = forest.drawn_rows(rows, features.LOCATION_FEATURES, "magnitude", "id", _TREES, 42).where("w > 0").select(F.col("tree").cast("long").alias("tree"), F.col("__key").alias("id"), "place")
+    return own.join(per_tree.withColumn("tree", F.col("tree").cast("long")), ["tree", "place"]).select("tree", "id", F.round("prediction", 6).alias("prediction"))
+
+
 @register("forest_invariants", q(
     "SELECT count(*) AS \"rows\", TRUE AS below_constant FROM complete", _SPLIT + ", z AS (SELECT 1)"))
 def forest_invariants(spark, sf_dir):

@@ -8,7 +8,8 @@ Spark ML has no isolation forest, so it is composed from DataFrame steps:
   of the key and keeps the ``sample_size`` smallest, so every tree sees a
   uniform sample and the choice does not depend on partitioning.
 * **Growing.**  ``groupBy(tree).applyInPandas`` grows one tree per group from
-  at most ``sample_size`` rows; the forest is a node table (tree, node, depth,
+  at most ``sample_size`` rows, with splits drawn from hashes of (seed, tree,
+  node), so the trees follow from the sample alone; the forest is a node table (tree, node, depth,
   feature, threshold, left, right, size) — at most ``trees × (2·256 − 1)`` rows.
 * **Scoring.**  The node table ships with an iterator pandas UDF over the feature
   columns alone; it walks all trees for a whole Arrow batch at once with numpy
@@ -21,8 +22,8 @@ Spark ML has no isolation forest, so it is composed from DataFrame steps:
 from __future__ import annotations
 
 import math
-
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ from seisflow.session import scratch_path
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = ("tree int, node int, depth int, feature int, threshold double, "
                "left int, right int, size long")
-_UNIT = float(2 ** 53)
+_UNIT = float(2 ** 52)
 
 
 def average_path(n) -> np.ndarray:
@@ -52,39 +53,44 @@ def average_path(n) -> np.ndarray:
 
 
 def _unit_hash(*cols) -> "F.Column":
-    return F.pmod(F.xxhash64(*cols), F.lit(2 ** 53)).cast("double") / F.lit(_UNIT)
+    """A number in [0, 1) from the MD5 of the values, which every engine has."""
+    digest = F.md5(F.concat_ws(":", *[c.cast("string") for c in cols]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(_UNIT)
+
+
+def _draw(*values) -> float:
+    """The same of Python values."""
+    return int(md5(":".join(map(str, values)).encode()).hexdigest()[:13], 16) / _UNIT
 
 
 def _grow(features: list, max_depth: int, seed: int):
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values("u")
         X = pdf[features].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
         rows = []
 
-        def build(idx, depth):
+        def build(idx, depth, name):
             node = len(rows)
             rows.append(None)
             sub = X[idx]
-            if depth >= max_depth or len(idx) <= 1:
-                rows[node] = (tree, node, depth, -1, 0.0, -1, -1, len(idx))
-                return node
             lo, hi = sub.min(axis=0), sub.max(axis=0)
             usable = np.nonzero(hi > lo)[0]
-            if usable.size == 0:
+            if depth >= max_depth or usable.size == 0:
                 rows[node] = (tree, node, depth, -1, 0.0, -1, -1, len(idx))
                 return node
-            # A feature drawn uniformly among those that still vary in this node.
-            f = int(usable[rng.integers(usable.size)])
-            thr = float(rng.uniform(lo[f], hi[f]))
+            # One of the features that still vary in this node, and a place between their ends: both are hashes of
+            # the node's name (1 for the root, then twice its parent's, and one more on the right).
+            f = int(usable[int(_draw(seed, tree, name, "feature") * usable.size)])
+            thr = float(lo[f] + _draw(seed, tree, name, "threshold") * (hi[f] - lo[f]))
+            if not lo[f] < thr <= hi[f]:  # a draw of zero, or rounding: the lowest value alone goes left
+                thr = float(np.nextafter(lo[f], np.inf))
             go_left = sub[:, f] < thr
-            left = build(idx[go_left], depth + 1)
-            right = build(idx[~go_left], depth + 1)
+            left = build(idx[go_left], depth + 1, 2 * name)
+            right = build(idx[~go_left], depth + 1, 2 * name + 1)
             rows[node] = (tree, node, depth, f, thr, left, right, len(idx))
             return node
 
-        build(np.arange(len(X)), 0)
+        build(np.arange(len(X)), 0, 1)
         return pd.DataFrame(rows, columns=["tree", "node", "depth", "feature", "threshold", "left", "right", "size"])
 
     return grow

@@ -1,12 +1,15 @@
 """Registered queries: zones, forecast, models, anomalies.
 
-Zones, the split, k-means by Lloyd steps, components, the linear model and the forecast have SQL for their rows.  For
-Spark ML's k-means, the forests and the isolation forest, whose rows depend on seeded sampling, a row of invariants is
-compared with SQL (rows, nearest centres, centres that are means, shares, errors below the constant predictor's).
+Zones, the split, k-means by Lloyd steps, components, the linear model, trees grown to the end, the isolation forest and
+the forecast have SQL for their rows.  For Spark ML's k-means and forests, whose rows depend on seeded sampling, a row
+of invariants is compared with SQL (rows, nearest centres, centres that are means, errors below the constant
+predictor's).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from seisflow.functions.display import fixed, forecast_colour, forecast_markers
@@ -410,18 +413,52 @@ def _anomalies(spark, sf_dir):
         catalogue(spark, sf_dir), contamination=0.1, key="id"))
 
 
-@register("anomalies")
+def _isolation_sql(trees: int = 100, psi: int = 256, seed: int = 42, contamination: float = 0.1) -> str:
+    """CTEs that end in ``an`` (id, score, label): each tree's sample by hash rank, splits by hashes of the node, a level after the other."""
+    zs = [f"{c}_z" for c in _PATTERN]
+    unit = lambda text: f"(('0x' || md5({text})[1:13])::BIGINT / {float(1 << 52)!r}::DOUBLE)"
+    in_pool, in_tree = unit(f"id || ':{seed}'"), unit(f"id || ':{seed}:' || tree")
+    ctes = [f"pn AS (SELECT least({psi}, count(*)) AS psi, CAST(ceil(log2(greatest(least({psi}, count(*)), 2))) AS INTEGER) AS deep, "
+            f"least(1e0, {2 * trees}::DOUBLE * least({psi}, count(*)) / greatest(count(*), 1)) AS rate FROM zc)",
+            f"sm0 AS MATERIALIZED (SELECT tree, 1::BIGINT AS node, {', '.join(zs)} FROM (SELECT zc.*, tree, row_number() OVER (PARTITION BY tree ORDER BY {in_tree}, id) AS rk "
+            f"FROM zc, pn, range({trees}) r(tree) WHERE {in_pool} < rate), pn WHERE rk <= psi)",
+            f"rt0 AS MATERIALIZED (SELECT id, tree, 1::BIGINT AS node, 0::BIGINT AS size, 0 AS depth, {', '.join(zs)} FROM zc, range({trees}) r(tree))"]
+    depth = int(math.ceil(math.log2(psi)))
+    cols = lambda a: ", ".join(f"{a}.{z}" for z in zs)
+    side = lambda a: f"CASE WHEN [{cols(a)}][s.f + 1] < s.at THEN 0 ELSE 1 END"
+    varying = "list_filter([" + ", ".join(f"CASE WHEN max({z}) > min({z}) THEN {i} ELSE -1 END" for i, z in enumerate(zs)) + "], lambda x: x >= 0)"
+    lows, highs = "[" + ", ".join(f"min({z})" for z in zs) + "]", "[" + ", ".join(f"max({z})" for z in zs) + "]"
+    by_node = lambda what: unit(f"'{seed}:' || tree || ':' || node || ':{what}'")
+    for k in range(depth + 1):
+        ctes.append(f"sp{k} AS MATERIALIZED (SELECT tree, node, size, f, CASE WHEN f >= 0 THEN lo[f + 1] + {by_node('threshold')} * (hi[f + 1] - lo[f + 1]) END AS at FROM "
+                    f"(SELECT *, CASE WHEN len(us) = 0 OR {k} >= deep THEN -1 ELSE us[CAST(floor({by_node('feature')} * len(us)) AS BIGINT) + 1] END AS f FROM "
+                    f"(SELECT tree, node, count(*) AS size, {varying} AS us, {lows} AS lo, {highs} AS hi FROM sm{k} GROUP BY tree, node), pn))")
+        if k < depth:
+            ctes.append(f"sm{k + 1} AS MATERIALIZED (SELECT m.tree, 2 * m.node + {side('m')} AS node, {cols('m')} FROM sm{k} m JOIN sp{k} s ON s.tree = m.tree AND s.node = m.node WHERE s.f >= 0)")
+        # A row that reached a leaf keeps the leaf's size and depth; its node is null from then on.
+        ctes.append(f"rt{k + 1} AS MATERIALIZED (SELECT r.id, r.tree, CASE WHEN s.f >= 0 THEN 2 * r.node + {side('r')} END AS node, CASE WHEN s.f = -1 THEN s.size ELSE r.size END AS size, "
+                    f"CASE WHEN s.f = -1 THEN {k} ELSE r.depth END AS depth, {cols('r')} FROM rt{k} r LEFT JOIN sp{k} s ON s.tree = r.tree AND s.node = r.node)")
+    path = lambda n: f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + {isolation.EULER_GAMMA}::DOUBLE) - 2 * ({n} - 1) / {n}::DOUBLE WHEN {n} = 2 THEN 1e0 ELSE 0e0 END"
+    ctes.append(f"sc AS MATERIALIZED (SELECT id, round(pow(2e0, -avg(depth + {path('size')}) / any_value({path('psi')})), 12) AS score FROM rt{depth + 1}, pn GROUP BY id)")
+    ctes.append(f"an AS (SELECT id, score, CASE WHEN -score < (SELECT quantile_cont(-score, {contamination}) FROM sc) THEN -1 ELSE 1 END AS label FROM sc)")
+    return ", ".join(ctes)
+
+
+_ISOLATION = _COMPLETE + ", " + _Z + ", " + _isolation_sql()
+
+
+@register("anomalies", q("SELECT id, round(score, 8) AS anomaly_score, label AS is_anomaly FROM an", _ISOLATION))
 def anomalies(spark, sf_dir):
-    return _anomalies(spark, sf_dir).select("id", "anomaly_score", "is_anomaly")
+    return _anomalies(spark, sf_dir).select("id", F.round("anomaly_score", 8).alias("anomaly_score"), "is_anomaly")
 
 
-@register("anomaly_rows")
+@register("anomaly_rows", q("SELECT an.id, magnitude, depth, latitude, longitude FROM an JOIN complete ON complete.id = an.id WHERE label = -1", _ISOLATION))
 def anomaly_rows(spark, sf_dir):
     out = _anomalies(spark, sf_dir)
     return out.where(F.col("is_anomaly") == -1).select("id", "magnitude", "depth", "latitude", "longitude")
 
 
-@register("anomaly_count")
+@register("anomaly_count", q("SELECT count(*) FILTER (label = -1) AS anomalies, count(*) AS \"rows\" FROM an", _ISOLATION))
 def anomaly_count_q(spark, sf_dir):
     return anomaly_count(_anomalies(spark, sf_dir))
 

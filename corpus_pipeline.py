@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from seisflow.llm import bpe, decontaminate, secrets, simhash, toxicity
-from seisflow.llm.common import written
+from seisflow.llm.common import drop_written, written
 from seisflow.llm.queries import table, tokenizer_path
 
 
@@ -54,8 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; each result is written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of ``documents``; each result is written and read again before the next.
+
+    A stage's table is deleted once the next one's is written; the last one is read by the result.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_written(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -115,7 +115,8 @@ PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[IN
 
 def chat_digests(conversations: DataFrame) -> DataFrame:
     """One row per conversation, read back from the formatted windows; the probe conversation is added."""
-    probe = conversations.sparkSession.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    row = lambda c, t, r, x: F.struct(F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(x).alias("text"))
+    probe = conversations.sparkSession.range(1).select(F.inline(F.array(*[row(*p) for p in PROBE])))
     rows = format_conversations(conversations.select("conv_id", "turn", "role", "text").unionByName(probe))
     read = rows.select("conv_id", "window", F.length("formatted").alias("n"),
                        F.filter(read_turns(F.col("formatted")), lambda _, i: i >= F.col("n_repeated")).alias("turns"),

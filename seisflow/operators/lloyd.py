@@ -16,9 +16,14 @@ from seisflow.session import drop_scratch, scratch_path
 
 
 def nearest(cols, centres) -> Column:
-    """Number of the nearest centre; the lower one on ties."""
-    far = lambda c: sum(((F.col(n) - F.lit(float(v))) * (F.col(n) - F.lit(float(v))) for n, v in zip(cols, c)), F.lit(0.0))
-    return F.array_min(F.array(*[F.struct(far(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]))["i"]
+    """Number of the nearest centre; the lower one on ties.
+
+    The centres are one array value and not numbers in the generated code, so that steps share their compiled code.
+    """
+    table = F.array(*[F.struct(F.lit(i).alias("i"), F.array(*[F.lit(float(v)) for v in c]).alias("at")) for i, c in enumerate(centres)])
+    place = F.array(*[F.col(c) for c in cols])
+    far = lambda c: F.aggregate(F.zip_with(place, c["at"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, d: a + d)
+    return F.array_min(F.transform(table, lambda c: F.struct(far(c).alias("d"), c["i"].alias("i"))))["i"]
 
 
 @dataclass(frozen=True)

@@ -369,7 +369,7 @@ def forest_error(spark, sf_dir):
 @register("tree_to_the_end", q("SELECT id, round(avg(magnitude) OVER (PARTITION BY latitude, longitude, depth), 6) AS prediction FROM complete", _COMPLETE))
 def tree_to_the_end(spark, sf_dir):
     rows = drop_incomplete(catalogue(spark, sf_dir), _RAW).select("id", *_RAW)
-    got = forest.forest_predictions(rows, features.LOCATION_FEATURES, "magnitude", trees=1, bootstrap=False, finish=2000)
+    got = forest.forest_predictions(rows, features.LOCATION_FEATURES, "magnitude", trees=1, bootstrap=False, finish=5000)
     return got.select("id", F.round("prediction", 6).alias("prediction"))
 
 

@@ -105,7 +105,7 @@ def dense_index(df: DataFrame, col: str, out: str = "index") -> DataFrame:
 
     spark = df.sparkSession
     values = df.select(col).distinct()
-    n_parts = max(1, min(spark.sparkContext.defaultParallelism, 200))
+    n_parts = max(1, spark.sparkContext.defaultParallelism)
     # Kept until the index is read: a recomputed range partitioning could sample other bounds.
     ranged = values.repartitionByRange(n_parts, col).withColumn("__pid", F.spark_partition_id()).persist()
     counts = sorted((r["__pid"], r["n"]) for r in ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())

@@ -9,13 +9,18 @@ with logistic loss and the class prior π; where the bracket falls below zero it
 so that the classifier does not fit U as if all of it were negative.
 
 The document frequencies that choose the features, and the prior, come from all training rows: one pass counts
-every feature among the positives and among all (an aggregate with map-side partials), the tests for a feature
-are column expressions, and the ``FEATURES`` strongest come back. Only the matrix of the fit reads a bounded sample
-(``MAX_POSITIVES`` labelled texts, ``MAX_UNLABELLED`` texts, by hash of the id).
+every feature among the positives and among all (an aggregate with map-side partials), and the tests for a feature
+are column expressions. Every feature that passes them is in the model.
+
+The risk is that of all training rows too. One more pass turns each text into its cells (features of the model, with
+their rates in ``LEVELS`` steps); equal rows of cells are summed up to one with two counts, and that small table is
+written. Each step of the fit is an aggregate over it: partial sums of the risk and of its gradient inside the tasks,
+whole numbers throughout, so that a model does not depend on how the rows are dealt. The weights with the least risk
+of all steps are the model.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone; without
 positives every score is 0; repeated label rows count as toxic if one of them is; repeated documents
-are scored each for itself, and equal rows come into the fit's matrix once.
+are learned and scored each for itself.
 """
 
 from __future__ import annotations
@@ -27,20 +32,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seisflow.llm.common import append_columns, bound_batches, drop_written, text_bytes, text_slices, written
+from seisflow.llm.common import append_columns, bound_batches, byte_view, drop_written, text_bytes, text_slices, written
 from seisflow.operators.common import broadcast_if_small, known_rows
 
-MAX_POSITIVES, MAX_UNLABELLED = 4000, 12000
-#: Features of the model.
-FEATURES = 256
-#: A task hands on its counts when it holds so many different features.
-HELD_FEATURES = 200_000
+#: A task hands on its counts when it holds so many different features, or rows of cells of so many bytes.
+HELD_FEATURES, HELD_CELLS = 200_000, 32 << 20
+#: Steps of the fit, and the length of the first.
+STEPS, LENGTH = 60, 0.1
 #: A feature is kept if at least this share of the documents that have it is estimated to be toxic (π P(f | P) / P(f | U)).
 LEAST_SHARE = 0.25
 #: And if the positives hold it so many standard deviations more often than all documents do.
 LEAST_EXCESS = 4.0
 OPENINGS = (3, 4, 5, 6)
-RATE = 40
+RATE, LEVELS = 40, 16
+#: Sums of the risk are whole multiples of 1 / UNIT for each row.
+UNIT = 1 << 20
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -53,15 +59,22 @@ def features(text: bytes) -> set[bytes]:
     return out
 
 
-def frequent(text: bytes, number: dict[bytes, int]) -> dict[int, float]:
-    """Numbered features of a text, with the rate at which their words occur in it: 1 from one word in ``RATE`` on."""
+def cells(text: bytes, number: dict[bytes, int]) -> list[int]:
+    """Numbered features of a text in order, each times ``LEVELS`` plus its level: the rate of its words, the last from one word in ``RATE`` on."""
     words = text.translate(_FOLD).split()
     found: dict[int, int] = {}
     for w, n in Counter(words).items():
         for f in (w + b" ", *(w[:k] for k in OPENINGS if len(w) > k)):
             if f in number:
                 found[number[f]] = found.get(number[f], 0) + n
-    return {i: min(1.0, n * RATE / len(words)) for i, n in sorted(found.items())}
+    return [i * LEVELS + min(LEVELS, -(-n * RATE * LEVELS // len(words))) - 1 for i, n in sorted(found.items())]
+
+
+def margins(flat: np.ndarray, row: np.ndarray, n: int, theta: np.ndarray) -> np.ndarray:
+    """g of ``n`` rows; ``flat``: their cells one after the other, ``row``: which row each is in."""
+    k = len(theta) // 2
+    at, level = flat // LEVELS, flat % LEVELS + 1
+    return np.bincount(row, theta[at] + theta[k + at] * (level / LEVELS), n) + theta[-1]
 
 
 @dataclass
@@ -97,7 +110,7 @@ def _count(docs: DataFrame) -> DataFrame:
 
 
 def chosen(counts: DataFrame, n_p: int, n_u: int, prior: float) -> list[bytes]:
-    """The ``FEATURES`` strongest features that pass the tests; ``counts``: (feature, p, u)."""
+    """The features that pass the tests; ``counts``: (feature, p, u)."""
     # An excess of so many deviations needs more than as many positives. The same holds, as their count is
     # whole, for a longer feature that has 0.9 of them.
     held = written(counts.where(F.col("p") > LEAST_EXCESS), "features")
@@ -106,35 +119,103 @@ def chosen(counts: DataFrame, n_p: int, n_u: int, prior: float) -> list[bytes]:
     longer = held.select(F.explode(cuts).alias("feature"), "p").where("feature is not null").groupBy("feature").agg(F.max("p").alias("longer"))
     a, b = F.col("p") / F.lit(n_p), F.col("u") / F.lit(n_u)
     excess = n_p * (a - b) / F.sqrt(n_p * b + 1)
-    strength = (a - b) / F.sqrt(F.greatest(b * (1 - b), F.lit(0.0)) + 1.0 / n_p)
     told = held.join(longer, "feature", "left").where(F.col("longer").isNull() | (F.col("longer") < 0.9 * F.col("p")))
-    kept = told.where((prior * a >= LEAST_SHARE * b) & (excess >= LEAST_EXCESS)).select("feature", strength.alias("strength")).where("strength > 0")
-    names = [bytes(r["feature"]) for r in kept.orderBy(F.desc("strength"), "feature").limit(FEATURES).collect()]
+    kept = told.where((prior * a >= LEAST_SHARE * b) & (excess >= LEAST_EXCESS)).select("feature")
+    names = sorted(bytes(r["feature"]) for r in kept.collect())
     drop_written(held)
     return names
 
 
-def nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """(weights, bias) by Adam on the non-negative risk; full batches, so the fit is deterministic."""
-    theta = np.zeros(x_p.shape[1] + 1, np.float32)
+def cell_rows(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
+    """(cells, p, u): each different row of cells, and how many positive documents and how many of all have it; of ``docs`` (positive, text)."""
+    bound_batches(docs.sparkSession)
+
+    def summed(p: Counter, u: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(u), pa.binary()), pa.array([p[c] for c in u], pa.int64()), pa.array(list(u.values()), pa.int64())], names=["cells", "p", "u"])
+
+    def run(batches):
+        p, u, held = Counter(), Counter(), 0
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                for positive, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
+                    found = np.array(cells(text, number), "<u4").tobytes()
+                    held += len(found) + 100 if found not in u else 0
+                    u[found] += 1
+                    if positive:
+                        p[found] += 1
+                    if held >= HELD_CELLS:
+                        yield summed(p, u)
+                        p, u, held = Counter(), Counter(), 0
+        yield summed(p, u)
+
+    return docs.select("positive", "text").mapInArrow(run, "cells binary, p long, u long").groupBy("cells").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+
+
+def sums(rows: DataFrame, theta: np.ndarray) -> np.ndarray:
+    """Over ``rows`` (cells, p, u): Σ log(1 + e^g) and Σ σ(g) x, a line for the positives and one for all documents."""
+    k, width = len(theta) // 2, len(theta) + 1
+
+    def run(batches):
+        total = np.zeros((2, width))
+        for batch in batches:
+            body, at = byte_view(batch.column(0))
+            flat, n = np.frombuffer(body.tobytes(), "<u4").astype(np.int64), batch.num_rows
+            row = np.repeat(np.arange(n), np.diff(at) // 4)
+            g = np.clip(margins(flat, row, n, theta), -30, 30)
+            loss, share = np.rint(UNIT * np.logaddexp(0, g)), np.rint(UNIT / (1 + np.exp(-g)))
+            for line, count in zip(total, (batch.column(1), batch.column(2))):
+                each = count.to_numpy() * share
+                line[0] += (count.to_numpy() * loss).sum()
+                line[1:k + 1] += np.bincount(flat // LEVELS, each[row], k)
+                line[k + 1:-1] += np.bincount(flat // LEVELS, each[row] * (flat % LEVELS + 1), k)
+                line[-1] += each.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().astype(np.int64).tolist()], pa.list_(pa.int64()))], names=["part"])
+
+    parts = rows.select("cells", "p", "u").mapInArrow(run, "part array<bigint>").select(F.posexplode("part").alias("at", "part"))
+    out = np.zeros(2 * width)
+    for r in parts.groupBy("at").agg(F.sum("part").alias("part")).collect():
+        out[r["at"]] = r["part"]
+    out = out.reshape(2, width) / UNIT
+    out[:, k + 1:-1] /= LEVELS
+    return out
+
+
+def means(rows: DataFrame, k: int) -> tuple[int, int, np.ndarray]:
+    """(positives, documents, mean x of the positives) of ``rows`` (cells, p, u)."""
+    size = rows.agg(F.sum("p").alias("p"), F.sum("u").alias("u")).first()
+    # σ(0) is one half.
+    return size["p"], size["u"], 2 * sums(rows, np.zeros(2 * k + 1))[0, 1:] / size["p"]
+
+
+def risk(rows: DataFrame, theta: np.ndarray, prior: float, n_p: int, n_u: int, mean_p: np.ndarray) -> tuple[float, np.ndarray]:
+    """(non-negative risk, its gradient, reversed where the bracket is negative) over all ``rows``."""
+    p, u = sums(rows, theta) / np.array([[n_p], [n_u]])
+    bracket = u[0] - prior * p[0]
+    # ℓ(g, +1) = ℓ(g, −1) − g
+    of_p, d_p, d_bracket = p[0] - mean_p @ theta, p[1:] - mean_p, u[1:] - prior * p[1:]
+    return prior * of_p + max(0.0, bracket), prior * d_p + d_bracket if bracket >= 0 else -d_bracket
+
+
+def nnpu(rows: DataFrame, k: int, prior: float, steps: int = STEPS, length: float = LENGTH, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """(weights, bias) of ``k`` features: ``steps`` of Adam, ever shorter, each over all ``rows``; those with the least risk."""
+    n_p, n_u, mean_p = means(rows, k)
+    theta = np.zeros(2 * k + 1)
     theta[-1] = np.log(prior / (1 - prior))
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    x_p, x_u = (np.hstack([x, np.ones((len(x), 1), np.float32)]) for x in (x_p, x_u))
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    m, v, best, least = np.zeros_like(theta), np.zeros_like(theta), theta, np.inf
     for t in range(1, steps + 1):
-        g_p, g_u = x_p @ theta, x_u @ theta
-        negative = np.logaddexp(0, g_u).mean() - prior * np.logaddexp(0, g_p).mean()
-        d_positive = -prior * (x_p.T @ (1 - sigmoid(g_p))) / len(x_p)
-        d_negative = (x_u.T @ sigmoid(g_u)) / len(x_u) - prior * (x_p.T @ sigmoid(g_p)) / len(x_p)
-        grad = (d_positive + d_negative if negative >= 0 else -d_negative) + decay * np.append(theta[:-1], 0)
+        value, grad = risk(rows, theta, prior, n_p, n_u, mean_p)
+        value += decay / 2 * float(theta[:-1] @ theta[:-1])
+        if value < least:
+            best, least = theta, value
+        grad = grad + decay * np.append(theta[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return theta[:-1], float(theta[-1])
+        now = length * (1 + np.cos(np.pi * (t - 1) / steps)) / 2
+        theta = theta - now * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    return best[:-1], float(best[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); both hold training rows only."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.col("doc_id").isNotNull())
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     told = known.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("rate"), F.count_if(F.col("toxic") > 0).alias("n")).first()
@@ -148,43 +229,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not size["p"]:
         return Model([], np.zeros(0), float(np.log(prior / (1 - prior))))
     names = chosen(_count(marked), size["p"], size["u"], prior)
-    number = {f: i for i, f in enumerate(names)}
-
-    def rows(batches):
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                found = [frequent(t, number) for t in text_bytes(part.column(2))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                                                  pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))], names=["doc_id", "tag", "at", "rate"])
-
-    # Equal rows are one; different texts of one id are told apart by their hash.
-    tagged = marked.withColumn("tag", F.xxhash64("text"))
-
-    def matrix(of: DataFrame, most: int) -> np.ndarray:
-        key = ["doc_id", "tag"]
-        ids = of.select(*key).distinct().orderBy(F.xxhash64("doc_id"), *key).limit(most).collect()
-        # Bounded by ``most``, as are the rows that come back: one of each key.
-        sample = of.join(F.broadcast(spark.createDataFrame(ids, "doc_id long, tag long")), key).select(*key, "text")
-        found = sample.mapInArrow(rows, "doc_id long, tag long, at array<int>, rate array<float>").groupBy(*key).agg(F.first("at").alias("at"), F.first("rate").alias("rate"))
-        found = sorted(found.collect(), key=lambda r: (r["doc_id"], r["tag"]))
-        x = np.zeros((len(found), 2 * len(names)), np.float32)
-        for i, r in enumerate(found):
-            x[i, r["at"]] = 1
-            x[i, [len(names) + j for j in r["at"]]] = r["rate"]
-        return x
-
-    x_p, x_u = matrix(tagged.where("positive"), MAX_POSITIVES), matrix(tagged, MAX_UNLABELLED)
-    weights, bias = nnpu(x_p, x_u, prior)
+    rows = written(cell_rows(marked, {f: i for i, f in enumerate(names)}), "cells")
+    weights, bias = nnpu(rows, len(names), prior)
+    drop_written(rows)
     return Model(names, weights, bias)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability that the whole text is toxic."""
-    number, k = {f: i for i, f in enumerate(model.names)}, len(model.names)
-    weights = model.weights.tolist()
+    number, theta = {f: i for i, f in enumerate(model.names)}, np.append(model.weights, model.bias)
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        z = np.array([sum(weights[i] + weights[k + i] * rate for i, rate in frequent(t, number).items()) for t in text_bytes(texts)]) + model.bias
+        found = [cells(t, number) for t in text_bytes(texts)]
+        z = margins(np.array([c for f in found for c in f], np.int64), np.repeat(np.arange(len(found)), [len(f) for f in found]), len(found), theta)
         return [pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())]
 
     return append_columns(docs, text_col, [T.StructField(out, T.DoubleType())], make)

@@ -1,3 +1,7 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -51,9 +55,8 @@ def test_toxicity_held_out(spark):
     assert hit > 0.85 and wrong < 0.02
 
 
-def test_toxicity_counts_all_positives(frame, spark, monkeypatch):
+def test_toxicity_counts_all_positives(frame, spark):
     """Each of 100 words is in 12 of 1200 positives: too few for a share of them, and for a sample."""
-    monkeypatch.setattr(toxicity, "MAX_POSITIVES", 200)
     words = ["".join(chr(97 + i // k % 10) for k in (1, 10)) * 2 + "q" for i in range(100)]
     rows = [(i, f"plain text {words[i % 100]}" if i < 1200 else "plain text") for i in range(6000)]
     labels = spark.createDataFrame([(i, 0, int(i < 1200)) for i in range(6000)], "doc_id long, quality int, toxic int")
@@ -63,13 +66,98 @@ def test_toxicity_counts_all_positives(frame, spark, monkeypatch):
     assert toxicity.fit(frame(rows, parts=7), labels).bias == model.bias
 
 
-def test_non_negative_risk_keeps_unlabelled_positives_apart():
+def plain_matrix(texts, names):
+    """Presence, rate in whole steps and a one, straight from the words."""
+    x = np.zeros((len(texts), 2 * len(names) + 1))
+    x[:, -1] = 1
+    for i, text in enumerate(texts):
+        words = re.findall("[a-z0-9\x80-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        for j, name in enumerate(names):
+            n = sum(w.encode() + b" " == name or (len(w.encode()) > len(name) and len(name) in toxicity.OPENINGS and w.encode().startswith(name)) for w in words)
+            if n:
+                x[i, j], x[i, len(names) + j] = 1, min(toxicity.LEVELS, math.ceil(n * toxicity.RATE * toxicity.LEVELS / len(words))) / toxicity.LEVELS
+    return x
+
+
+def test_toxicity_counts_and_choice_of_features(frame, spark):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"{chr(97 + i % 7)}{chr(97 + i // 7)}{'xyz'[i % 3]}w" for i in range(40)] + ["é€ö"]
+    rows = [(i, " ".join([*rng.choice(vocabulary, 12), *(["vileness" if i % 2 else "Vile"] if i % 9 == 0 else [])])) for i in range(600)]
+    rows += [(600, None), (601, "")]
+    positive = {i for i in range(600) if i % 9 == 0}
+    marked = frame(rows).withColumn("positive", F.col("doc_id").isin(list(positive)))
+    plain_p, plain_u = Counter(), Counter()
+    for i, text in rows:
+        words = {w.lower().encode() for w in (text or "").split()}
+        found = {w + b" " for w in words} | {w[:k] for w in words for k in toxicity.OPENINGS if len(w) > k}
+        plain_u.update(found)
+        plain_p.update(found if i in positive else ())
+    got = {bytes(r.feature): (r.p, r.u) for r in toxicity._count(marked).collect()}
+    assert got == {f: (plain_p[f], n) for f, n in plain_u.items()}
+
+    n_p, n_u, prior = len(positive), len(rows), 0.2
+    want = []
+    for f, u in plain_u.items():
+        p = plain_p[f]
+        a, b = p / n_p, u / n_u
+        longer = [plain_p[g] for g in plain_u if g != f and f in [g[:k] for k in toxicity.OPENINGS] and plain_p[g] > toxicity.LEAST_EXCESS]
+        if p > toxicity.LEAST_EXCESS and not any(q >= 0.9 * p for q in longer) and prior * a >= toxicity.LEAST_SHARE * b and n_p * (a - b) / math.sqrt(n_p * b + 1) >= toxicity.LEAST_EXCESS:
+            want.append(f)
+    assert toxicity.chosen(toxicity._count(marked), n_p, n_u, prior) == sorted(want) and b"vileness " in want
+
+
+def test_toxicity_features_are_not_limited(frame, spark):
+    words = ["".join(chr(97 + i // k % 10) for k in (1, 10, 100)) * 2 + "q" for i in range(600)]
+    rows = [(i, f"plain text {words[i % 600]}" if i < 7200 else "plain text") for i in range(36000)]
+    labels = spark.createDataFrame([(i, 0, int(i < 7200)) for i in range(36000)], "doc_id long, quality int, toxic int")
+    assert {f.strip() for f in toxicity.fit(frame(rows, parts=8), labels).names} >= {w.encode() for w in words}
+
+
+def test_risk_and_gradient_of_all_rows(frame, monkeypatch):
+    """Against the definition of the risk on a dense matrix, on both sides of zero; no matter how rows are dealt."""
+    rng = np.random.default_rng(2)
+    names = [b"bad ", b"wor", b"\xc3\xa9t\xc3\xa9 "]
+    texts = [" ".join(rng.choice(["bad", "Worse", "été", "wor", "plain", "text", "x"], rng.integers(1, 90))) for _ in range(300)] + ["", None, "plain"] * 20
+    positive = [bool(t) and ("bad" in t) and i % 2 == 0 for i, t in enumerate(texts)]
+    docs = frame([(t, p) for t, p in zip(texts, positive)], "text string, positive boolean", parts=4)
+    number = {f: i for i, f in enumerate(names)}
+    rows = toxicity.cell_rows(docs, number)
+    x, of = plain_matrix(texts, names), np.array(positive)
+    assert rows.agg(F.sum("u"), F.sum("p")).first()[:] == (len(texts), of.sum())
+    monkeypatch.setattr(toxicity, "HELD_CELLS", 300)
+    again = toxicity.cell_rows(docs.repartition(7), number)
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, again.collect()))
+
+    n_p, n_u, mean_p = toxicity.means(rows, len(names))
+    assert (n_p, n_u) == (of.sum(), len(texts)) and np.allclose(mean_p, x[of].mean(0), atol=1e-5)
+    log_loss, sides = (lambda z, sign: np.log1p(np.exp(-sign * z))), set()
+    for theta in [np.zeros(7), rng.normal(size=7), np.array([3, 1, 0, 2, 1, 0, -2.0]), np.array([-4, -4, -4, 0, 0, 0, 4.0]), np.array([6, 0, -6, 6, 0, -6, -1.0])]:
+        def parts(w):
+            g = x @ w
+            return 0.3 * log_loss(g[of], 1).mean(), log_loss(g, -1).mean() - 0.3 * log_loss(g[of], -1).mean()
+        first, bracket = parts(theta)
+        value, grad = toxicity.risk(rows, theta, 0.3, n_p, n_u, mean_p)
+        assert abs(value - first - max(0, bracket)) < 1e-4
+        steps = np.eye(7) * 1e-5
+        slope = np.array([(sum(parts(theta + s)) - sum(parts(theta - s))) / 2e-5 if bracket >= 0 else -(parts(theta + s)[1] - parts(theta - s)[1]) / 2e-5 for s in steps])
+        assert np.allclose(grad, slope, atol=1e-4)
+        assert np.array_equal(grad, toxicity.risk(again, theta, 0.3, n_p, n_u, mean_p)[1])
+        sides.add(bracket >= 0)
+    assert sides == {True, False}
+
+
+def test_non_negative_risk_keeps_unlabelled_positives_apart(frame):
+    """One toxic document in three is labelled; the others are found among the unlabelled."""
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(4000, 2)).astype(np.float32)
-    y = rng.random(4000) < 0.3
-    x[y, 0] += 3
-    w, b = toxicity.nnpu(x[y][:300], x, 0.3)
-    assert (((x @ w + b) > 0) == y).mean() > 0.9
+    rows = []
+    for i in range(4000):
+        toxic = i % 10 < 3
+        rows.append((" ".join([*rng.choice(["bad", "ugly", "vile"], 2 if toxic else 0), *rng.choice(["plain", "text", "bad"], 8, p=[0.495, 0.495, 0.01])]), toxic and i % 3 == 0, toxic))
+    docs = frame(rows, "text string, positive boolean, toxic boolean")
+    names = [b"bad ", b"ugly ", b"vile "]
+    weights, bias = toxicity.nnpu(toxicity.cell_rows(docs, {f: i for i, f in enumerate(names)}).cache(), 3, 0.3)
+    got = toxicity.score(docs, toxicity.Model(names, weights, bias)).agg(F.avg((F.col("toxic") == (F.col("score") >= 0.5)).cast("double"))).first()[0]
+    assert got > 0.9
 
 
 def test_toxicity_odd_rows(frame, odd, spark):

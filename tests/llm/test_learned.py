@@ -131,17 +131,18 @@ def test_risk_and_gradient_of_all_rows(frame, monkeypatch):
     n_p, n_u, mean_p = toxicity.means(rows, len(names))
     assert (n_p, n_u) == (of.sum(), len(texts)) and np.allclose(mean_p, x[of].mean(0), atol=1e-5)
     log_loss, sides = (lambda z, sign: np.log1p(np.exp(-sign * z))), set()
-    for theta in [np.zeros(7), rng.normal(size=7), np.array([3, 1, 0, 2, 1, 0, -2.0]), np.array([-4, -4, -4, 0, 0, 0, 4.0]), np.array([6, 0, -6, 6, 0, -6, -1.0])]:
+    thetas = [np.zeros(7), rng.normal(size=7), np.array([3, 1, 0, 2, 1, 0, -2.0]), np.array([-4, -4, -4, 0, 0, 0, 4.0]), np.array([6, 0, -6, 6, 0, -6, -1.0])]
+    for prior, theta in [(q, w) for q in (0.3, 0.9) for w in thetas]:
         def parts(w):
             g = x @ w
-            return 0.3 * log_loss(g[of], 1).mean(), log_loss(g, -1).mean() - 0.3 * log_loss(g[of], -1).mean()
+            return prior * log_loss(g[of], 1).mean(), log_loss(g, -1).mean() - prior * log_loss(g[of], -1).mean()
         first, bracket = parts(theta)
-        value, grad = toxicity.risk(rows, theta, 0.3, n_p, n_u, mean_p)
+        value, grad = toxicity.risk(rows, theta, prior, n_p, n_u, mean_p)
         assert abs(value - first - max(0, bracket)) < 1e-4
         steps = np.eye(7) * 1e-5
         slope = np.array([(sum(parts(theta + s)) - sum(parts(theta - s))) / 2e-5 if bracket >= 0 else -(parts(theta + s)[1] - parts(theta - s)[1]) / 2e-5 for s in steps])
         assert np.allclose(grad, slope, atol=1e-4)
-        assert np.array_equal(grad, toxicity.risk(again, theta, 0.3, n_p, n_u, mean_p)[1])
+        assert np.array_equal(grad, toxicity.risk(again, theta, prior, n_p, n_u, mean_p)[1])
         sides.add(bracket >= 0)
     assert sides == {True, False}
 

@@ -14,8 +14,8 @@ are column expressions. Every feature that passes them is in the model.
 
 The risk is that of all training rows too. One more pass turns each text into its cells (features of the model, with
 their rates in ``LEVELS`` steps); equal rows of cells are summed up to one with two counts, and that small table is
-written. Each step of the fit is an aggregate over it: partial sums of the risk and of its gradient inside the tasks,
-whole numbers throughout, so that a model does not depend on how the rows are dealt. The weights with the least risk
+written. Each step of the fit is an aggregate over it in DataFrame functions, with map-side partials: the risk and its
+gradient in whole numbers, so that a model does not depend on how the rows are dealt. The weights with the least risk
 of all steps are the model.
 
 Defined results: a null or empty text has no features and gets the score of the bias alone; without
@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from seisflow.llm.common import append_columns, bound_batches, byte_view, drop_written, text_bytes, text_slices, written
+from seisflow.llm.common import append_columns, bound_batches, drop_written, text_bytes, text_slices, written
 from seisflow.operators.common import broadcast_if_small, known_rows
 
 #: A task hands on its counts when it holds so many different features, or rows of cells of so many bytes.
@@ -131,15 +131,15 @@ def cell_rows(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
     bound_batches(docs.sparkSession)
 
     def summed(p: Counter, u: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(u), pa.binary()), pa.array([p[c] for c in u], pa.int64()), pa.array(list(u.values()), pa.int64())], names=["cells", "p", "u"])
+        return pa.RecordBatch.from_arrays([pa.array(list(u), pa.list_(pa.int32())), pa.array([p[c] for c in u], pa.int64()), pa.array(list(u.values()), pa.int64())], names=["cells", "p", "u"])
 
     def run(batches):
         p, u, held = Counter(), Counter(), 0
         for batch in batches:
             for part in text_slices(batch, "text"):
                 for positive, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
-                    found = np.array(cells(text, number), "<u4").tobytes()
-                    held += len(found) + 100 if found not in u else 0
+                    found = tuple(cells(text, number))
+                    held += 32 * len(found) + 100 if found not in u else 0
                     u[found] += 1
                     if positive:
                         p[found] += 1
@@ -148,35 +148,31 @@ def cell_rows(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
                         p, u, held = Counter(), Counter(), 0
         yield summed(p, u)
 
-    return docs.select("positive", "text").mapInArrow(run, "cells binary, p long, u long").groupBy("cells").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    return docs.select("positive", "text").mapInArrow(run, "cells array<int>, p long, u long").groupBy("cells").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
 def sums(rows: DataFrame, theta: np.ndarray) -> np.ndarray:
     """Over ``rows`` (cells, p, u): Σ log(1 + e^g) and Σ σ(g) x, a line for the positives and one for all documents."""
-    k, width = len(theta) // 2, len(theta) + 1
-
-    def run(batches):
-        total = np.zeros((2, width))
-        for batch in batches:
-            body, at = byte_view(batch.column(0))
-            flat, n = np.frombuffer(body.tobytes(), "<u4").astype(np.int64), batch.num_rows
-            row = np.repeat(np.arange(n), np.diff(at) // 4)
-            g = np.clip(margins(flat, row, n, theta), -30, 30)
-            loss, share = np.rint(UNIT * np.logaddexp(0, g)), np.rint(UNIT / (1 + np.exp(-g)))
-            for line, count in zip(total, (batch.column(1), batch.column(2))):
-                each = count.to_numpy() * share
-                line[0] += (count.to_numpy() * loss).sum()
-                line[1:k + 1] += np.bincount(flat // LEVELS, each[row], k)
-                line[k + 1:-1] += np.bincount(flat // LEVELS, each[row] * (flat % LEVELS + 1), k)
-                line[-1] += each.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().astype(np.int64).tolist()], pa.list_(pa.int64()))], names=["part"])
-
-    parts = rows.select("cells", "p", "u").mapInArrow(run, "part array<bigint>").select(F.posexplode("part").alias("at", "part"))
-    out = np.zeros(2 * width)
-    for r in parts.groupBy("at").agg(F.sum("part").alias("part")).collect():
-        out[r["at"]] = r["part"]
-    out = out.reshape(2, width) / UNIT
-    out[:, k + 1:-1] /= LEVELS
+    k = len(theta) // 2
+    # One weight a cell, as text: the planner folds it into one constant.
+    each = np.repeat(theta[:k], LEVELS) + np.repeat(theta[k:-1], LEVELS) * np.tile(np.arange(1, LEVELS + 1) / LEVELS, k)
+    weight = F.split(F.lit(",".join(map(repr, [float(theta[-1]), *each.tolist()]))), ",").cast("array<double>")
+    cell, one, loss = F.col("cell"), k * LEVELS, k * LEVELS + 1
+    g = F.aggregate("cells", F.lit(float(theta[-1])), lambda z, c: z + F.get(weight, c + 1))
+    g = F.least(F.greatest(g, F.lit(-30.0)), F.lit(30.0))
+    whole = lambda c: F.rint(UNIT * c).cast("long")
+    told = rows.select("cells", "p", "u", g.alias("g")).select("p", "u", whole(F.log1p(F.exp("g"))).alias("loss"), whole(1 / (1 + F.exp(-F.col("g")))).alias("share"),
+                                                              F.explode(F.concat("cells", F.array(F.lit(one), F.lit(loss)))).alias("cell"))
+    value = F.when(cell == loss, F.col("loss")).otherwise(F.col("share"))
+    out = np.zeros((2, len(theta) + 1))
+    # At most one row for each cell of the model.
+    for r in sorted(told.groupBy("cell").agg(F.sum(F.col("p") * value).alias("p"), F.sum(F.col("u") * value).alias("u")).collect()):
+        line = np.array([r["p"], r["u"]]) / UNIT
+        if r["cell"] >= one:
+            out[:, -1 if r["cell"] == one else 0] = line
+        else:
+            out[:, 1 + r["cell"] // LEVELS] += line
+            out[:, 1 + k + r["cell"] // LEVELS] += line * (r["cell"] % LEVELS + 1) / LEVELS
     return out
 
 

@@ -126,7 +126,7 @@ def test_risk_and_gradient_of_all_rows(frame, monkeypatch):
     assert rows.agg(F.sum("u"), F.sum("p")).first()[:] == (len(texts), of.sum())
     monkeypatch.setattr(toxicity, "HELD_CELLS", 300)
     again = toxicity.cell_rows(docs.repartition(7), number)
-    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, again.collect()))
+    assert sorted((r.cells, r.p, r.u) for r in rows.collect()) == sorted((r.cells, r.p, r.u) for r in again.collect())
 
     n_p, n_u, mean_p = toxicity.means(rows, len(names))
     assert (n_p, n_u) == (of.sum(), len(texts)) and np.allclose(mean_p, x[of].mean(0), atol=1e-5)

@@ -23,7 +23,9 @@ from seisflow.operators.filters import drop_incomplete
 from seisflow.session import drop_scratch, scratch_path
 
 #: Places of a node that one task grows to the end.
-FINISH = 100_000
+FINISH = 1_000_000
+#: Cells of a block of nodes whose splits are sought together.
+BLOCK = 1 << 20
 # Cumulative probabilities of a Poisson count with mean 1.
 _POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183,
             0.9999167588507119, 0.9999897508033253, 0.9999988747974021, 0.9999998885745217, 0.9999999899522336)
@@ -42,36 +44,60 @@ def _drop(*tables: DataFrame) -> None:
         drop_scratch(t.sparkSession, t._scratch)
 
 
-def best_split(x: np.ndarray, n: np.ndarray, s: np.ndarray) -> tuple[int, float] | None:
-    """(feature, threshold) of the exact best split of places (rows of ``x``) with weights and label sums."""
-    best, out = -np.inf, None
-    for f in range(x.shape[1]):
-        order = np.argsort(x[:, f], kind="stable")
-        v, cn, cs = x[order, f], np.cumsum(n[order]), np.cumsum(s[order])
-        at = np.flatnonzero(v[1:] > v[:-1])
-        if not len(at):
-            continue
-        left_n, left_s = cn[at], cs[at]
-        gain = left_s * left_s / left_n + (cs[-1] - left_s) ** 2 / (cn[-1] - left_n)
-        i = int(gain.argmax())
-        if gain[i] > best:
-            best, out = gain[i], (f, (v[at[i]] + v[at[i] + 1]) / 2)
-    return out
+def best_splits(x: np.ndarray, n: np.ndarray, s: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, threshold) of the exact best split of each node; feature -1 where all its places are one.
+
+    A node is a run of two or more places (rows of ``x``) with weights and label sums. Nodes of like size are the lines
+    of a block, filled up at their ends, so that a level costs few calls and not some for each node.
+    """
+    feature, at = np.full(len(sizes), -1), np.zeros(len(sizes))
+    width = 1 << np.ceil(np.log2(sizes)).astype(int)
+    for w in np.unique(width).tolist():
+        alike = np.flatnonzero(width == w)
+        for part in np.array_split(alike, -(-len(alike) * w // BLOCK)):
+            filled, lines = np.arange(w) < sizes[part, None], np.arange(len(part))
+            place = np.where(filled, starts[part, None] + np.arange(w), starts[part, None])
+            of_n, of_s = np.where(filled, n[place], 0.0), np.where(filled, s[place], 0.0)
+            best = np.full(len(part), -np.inf)
+            for f in range(x.shape[1]):
+                v = np.where(filled, x[place, f], np.inf)
+                order = np.argsort(v, axis=1, kind="stable")
+                v, cn, cs = (np.take_along_axis(a, order, 1) for a in (v, of_n, of_s))
+                cn, cs = np.cumsum(cn, axis=1), np.cumsum(cs, axis=1)
+                left_n, left_s = cn[:, :-1], cs[:, :-1]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    gain = left_s * left_s / left_n + (cs[:, -1:] - left_s) ** 2 / (cn[:, -1:] - left_n)
+                gain = np.where((v[:, 1:] > v[:, :-1]) & filled[:, 1:], gain, -np.inf)
+                i = gain.argmax(axis=1)
+                better = gain[lines, i] > best
+                low, high = v[lines, i][better], v[lines, i + 1][better]
+                best[better], feature[part[better]] = gain[lines, i][better], f
+                # Between two neighbouring numbers there is no third: the lower one goes left.
+                middle = (low + high) / 2
+                at[part[better]] = np.where(middle < high, middle, low)
+    return feature, at
 
 
 def grow(x: np.ndarray, n: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """The prediction of every place by one tree grown to the end on the places with weight."""
-    out, todo = np.zeros(len(x)), [np.arange(len(x))]
-    while todo:
-        rows = todo.pop()
-        live = rows[n[rows] > 0]
-        mean = s[live] / n[live]
-        split = best_split(x[live], n[live], s[live]) if len(live) > 1 and mean.min() < mean.max() else None
-        if split is None:
-            out[rows] = s[live].sum() / n[live].sum() if len(live) else np.nan
-            continue
-        right = x[rows, split[0]] > split[1]
-        todo += [rows[~right], rows[right]]
+    """The prediction of every place by one tree grown to the end on the places with weight, all nodes of a level at once."""
+    out, rows, sizes = np.full(len(x), np.nan), np.arange(len(x) if (n > 0).any() else 0), np.array([len(x)])
+    while len(rows):
+        # ``rows`` are the places of the open nodes, node after node; both sides of a split hold places with weight.
+        node = np.repeat(np.arange(len(sizes)), sizes)
+        weighty = n[rows] > 0
+        live, count = rows[weighty], np.bincount(node[weighty], minlength=len(sizes))
+        starts = np.cumsum(count) - count
+        live_n, live_s = n[live], s[live]
+        mean = live_s / live_n
+        mixed = np.flatnonzero(np.minimum.reduceat(mean, starts) < np.maximum.reduceat(mean, starts))
+        feature, at = np.full(len(sizes), -1), np.zeros(len(sizes))
+        feature[mixed], at[mixed] = best_splits(x[live], live_n, live_s, starts[mixed], count[mixed])
+        leaf = feature[node] < 0
+        out[rows[leaf]] = (np.add.reduceat(live_s, starts) / np.add.reduceat(live_n, starts))[node[leaf]]
+        rows, node = rows[~leaf], node[~leaf]
+        side = 2 * node + (x[rows, feature[node]] > at[node])
+        rows, sizes = rows[np.argsort(side, kind="stable")], np.bincount(side)
+        sizes = sizes[sizes > 0]
     return out
 
 
@@ -94,21 +120,22 @@ def _level(open_rows: DataFrame, cols: list[str]) -> DataFrame:
     live = open_rows.where("n > 0")
     totals = live.groupBy("tree", "node").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"))
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).alias("v")) for i, c in enumerate(cols)])).alias("e")
-    values = live.select("tree", "node", "n", "s", each).groupBy("tree", "node", F.col("e.f").alias("f"), F.col("e.v").alias("v")).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    values = _cut(live.select("tree", "node", "n", "s", each).groupBy("tree", "node", F.col("e.f").alias("f"), F.col("e.v").alias("v")).agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "values")
     run = _running(values, ["tree", "node", "f"])
     cand = run.join(totals, ["tree", "node"]).where("ln < tn").withColumn("gain", F.col("ls") * F.col("ls") / F.col("ln") + (F.col("ts") - F.col("ls")) * (F.col("ts") - F.col("ls")) / (F.col("tn") - F.col("ln")))
     best = cand.groupBy("tree", "node").agg(F.max(F.struct("gain", (-F.col("f")).alias("f"), (-F.col("v")).alias("v"))).alias("b"))
     best = _cut(best.select("tree", "node", (-F.col("b.f")).alias("f"), (-F.col("b.v")).alias("low")), "splits")
-    # The threshold lies half-way to the next value of the chosen feature.
+    # The threshold lies half-way to the next value of the chosen feature, where a number lies there.
+    middle = (F.col("low") + F.col("high")) / 2
     above = values.join(best, ["tree", "node", "f"]).where("v > low").groupBy("tree", "node").agg(F.min("v").alias("high"))
     best_at = _cut(best.join(above, ["tree", "node"]).join(totals, ["tree", "node"], "right").select(
-        "tree", "node", "f", ((F.col("low") + F.col("high")) / 2).alias("at"), (F.col("ts") / F.col("tn")).alias("mean")), "splits")
+        "tree", "node", "f", F.when(middle < F.col("high"), middle).otherwise(F.col("low")).alias("at"), (F.col("ts") / F.col("tn")).alias("mean")), "splits")
     drop_scratch(open_rows.sparkSession, run._scratch)
     own = F.element_at(F.array(*[F.col(c) for c in cols]), F.col("f") + 1)
     side = F.when(own > F.col("at"), "R").otherwise("L")
     routed = open_rows.join(best_at, ["tree", "node"], "left")
     out = _cut(routed.select("tree", F.when(F.col("f").isNotNull(), F.md5(F.concat("node", side))).alias("node"), "place", *cols, "n", "s", "mean"), "routed")
-    _drop(best, best_at)
+    _drop(best, best_at, values)
     return out
 
 
@@ -158,8 +185,10 @@ def drawn_rows(train: DataFrame, cols, label: str, key: str, trees: int, seed: i
     cols = list(cols)
     rows = drop_incomplete(train, [*cols, label]).select(F.col(key).cast("string").alias("__key"), *_values(cols), F.col(label).cast("double").alias("__y"))
     u = F.conv(F.substring(F.md5(F.concat_ws(":", "__key", "tree", F.lit(str(seed)))), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    weight = sum(((u >= F.lit(p)).cast("int") for p in _POISSON), F.lit(0)) if bootstrap else F.lit(1)
-    return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), _place(cols)).withColumn("w", weight)
+    # As an array's one value the draw is computed once, and not for each bound it is compared with.
+    weight = F.transform(F.array(u), lambda v: sum(((v >= F.lit(p)).cast("int") for p in _POISSON), F.lit(0)))[0] if bootstrap else F.lit(1)
+    # The place is known before a row is repeated for the trees.
+    return rows.select("*", _place(cols)).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("w", weight)
 
 
 def drawn_places(train: DataFrame, cols, label: str, key: str, trees: int, seed: int, bootstrap: bool = True) -> DataFrame:

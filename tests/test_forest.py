@@ -96,3 +96,25 @@ def test_odd_inputs(spark):
     assert got == {"a": None, "b": 5.0, "c": 5.0, "d": 5.0}
     assert forest.forest_predictions(df.limit(0), COLS, "y", trees=2).count() == 0
     assert {r.prediction for r in forest.forest_predictions(df.where("false"), COLS, "y", trees=2, queries=df).collect()} == {None}
+
+
+def test_a_level_of_all_nodes_is_split_at_once(monkeypatch):
+    """The work of a task is a number of calls for each level, not for each node; the tree is the plain one."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.uniform(-2, 2, (400, 3)), 1)
+    x = np.unique(x, axis=0)
+    n, y = rng.poisson(1, len(x)), rng.integers(0, 9, len(x))
+    calls, whole = [], forest.best_splits
+    monkeypatch.setattr(forest, "best_splits", lambda *a: calls.append(1) or whole(*a))
+    got = forest.grow(x, n.astype(float), (n * y).astype(float))
+    want = plain_tree([(tuple(p), w, k) for p, w, k in zip(x, n, y) if w], [tuple(p) for p in x])
+    assert [want[tuple(p)] for p in x] == pytest.approx(got.tolist(), abs=1e-9)
+    assert len(calls) < 60 < (n > 0).sum() / 3
+    monkeypatch.setattr(forest, "BLOCK", 8)
+    assert np.array_equal(forest.grow(x, n.astype(float), (n * y).astype(float)), got)
+
+
+def test_neighbouring_numbers_are_split():
+    x = np.array([[1.0], [np.nextafter(1.0, 2.0)], [np.nextafter(np.nextafter(1.0, 2.0), 2.0)]])
+    assert forest.grow(x, np.ones(3), np.array([1.0, 2.0, 4.0])).tolist() == [1.0, 2.0, 4.0]
+    assert np.isnan(forest.grow(x, np.zeros(3), np.zeros(3))).all()

@@ -154,11 +154,12 @@ def cell_rows(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
 def sums(rows: DataFrame, theta: np.ndarray) -> np.ndarray:
     """Over ``rows`` (cells, p, u): Σ log(1 + e^g) and Σ σ(g) x, a line for the positives and one for all documents."""
     k = len(theta) // 2
-    # One weight a cell, as text: the planner folds it into one constant.
-    each = np.repeat(theta[:k], LEVELS) + np.repeat(theta[k:-1], LEVELS) * np.tile(np.arange(1, LEVELS + 1) / LEVELS, k)
-    weight = F.split(F.lit(",".join(map(repr, [float(theta[-1]), *each.tolist()]))), ",").cast("array<double>")
+    # The weights are one constant of the plan, as text that the planner folds. The driver keeps the text of every step's
+    # plan, so it holds two weights a feature, and not one for each of its levels.
+    weight = F.split(F.lit(",".join(map(repr, theta.tolist()))), ",").cast("array<double>")
     cell, one, loss = F.col("cell"), k * LEVELS, k * LEVELS + 1
-    g = F.aggregate("cells", F.lit(float(theta[-1])), lambda z, c: z + F.get(weight, c + 1))
+    of = lambda c: F.get(weight, F.floor(c / LEVELS).cast("int")) + F.get(weight, (k + F.floor(c / LEVELS)).cast("int")) * ((c % LEVELS + 1) / F.lit(float(LEVELS)))
+    g = F.aggregate("cells", F.lit(float(theta[-1])), lambda z, c: z + of(c))
     g = F.least(F.greatest(g, F.lit(-30.0)), F.lit(30.0))
     whole = lambda c: F.rint(UNIT * c).cast("long")
     told = rows.select("cells", "p", "u", g.alias("g")).select("p", "u", whole(F.log1p(F.exp("g"))).alias("loss"), whole(1 / (1 + F.exp(-F.col("g")))).alias("share"),

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from seisflow.llm import langid, toxicity
@@ -168,3 +169,16 @@ def test_toxicity_odd_rows(frame, odd, spark):
     some = spark.createDataFrame([(1, 0, None), (None, 0, 1), (2, 1, 1), (2, 0, 0), (3, 0, 0)], labels)
     assert toxicity.toxicity_scores(odd, some).where("score between 0 and 1").count() == odd.count()
     assert toxicity.toxicity_scores(frame([]), some).count() == 0
+
+
+def test_plans_of_the_fit_hold_two_weights_a_feature(spark, monkeypatch):
+    """The driver keeps the text of every step's plan; the sums are those of the margins."""
+    k, texts, split = 40, [], toxicity.F.split
+    monkeypatch.setattr(toxicity.F, "split", lambda c, *a: texts.append(str(c)) or split(c, *a))
+    theta = np.random.default_rng(2).normal(0, 1, 2 * k + 1)
+    rows = [([], 1, 2), ([0, 17, 39 * 16 + 15], 0, 3), ([5 * 16 + 7], 2, 2)]
+    got = toxicity.sums(spark.createDataFrame(rows, "cells array<int>, p long, u long"), theta)
+    flat, row = np.array([c for r in rows for c in r[0]]), np.repeat(np.arange(3), [len(r[0]) for r in rows])
+    loss = np.log1p(np.exp(toxicity.margins(flat, row, 3, theta)))
+    assert got[:, 0] == pytest.approx([loss @ [1, 0, 2], loss @ [2, 3, 2]], abs=1e-4)
+    assert max(map(len, texts)) < 25 * len(theta) + 200

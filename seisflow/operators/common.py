@@ -54,6 +54,11 @@ def placed(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFra
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly, for work per row that costs far more than moving it: a scan may have only a task per file."""
+    return df.repartition(max(FIT_PARTITIONS, 3 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def order_statistic(df: DataFrame, col: str, fraction: float, bins: int = 1024, few: int = 4096):
     """Exact ``fraction`` quantile of a numeric column, linear between the two neighbouring values; None if there are none.
 

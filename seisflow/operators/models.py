@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from seisflow.operators.common import fit_partitions, placed
+from seisflow.operators.common import fit_partitions, placed, spread
 from seisflow.operators.features import (CLUSTER_FEATURES, LOCATION_FEATURES, PATTERN_FEATURES,
                                          fit_standardizer, hash_split, prepare_features)
 from seisflow.operators.filters import drop_incomplete
@@ -171,11 +171,14 @@ def forest_pipeline(features=LOCATION_FEATURES, label: str = "magnitude", trees:
     """Random-forest regressor with every feature considered at each split (as scikit-learn's default).
 
     ``max_depth`` bounds the trees (at most 30 in Spark ML), so they are coarser than trees grown to the end.
+    Each level goes on from the node a row has reached in each tree (``cacheNodeIds``), held like the rows, and does not
+    walk down from the root again; the trees are the same.
     """
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=max_depth,
-                              featureSubsetStrategy="all", seed=seed, subsamplingRate=1.0, bootstrap=True)])
+                              featureSubsetStrategy="all", seed=seed, subsamplingRate=1.0, bootstrap=True,
+                              cacheNodeIds=True, checkpointInterval=-1)])
 
 
 def forest_magnitude(df: DataFrame, trees: int = 100, max_depth: int = 10, seed: int = 42, label: str = "magnitude",
@@ -184,7 +187,7 @@ def forest_magnitude(df: DataFrame, trees: int = 100, max_depth: int = 10, seed:
     feats = ["depth", "latitude", "longitude"]
     clean = drop_incomplete(df, feats + [label])
     model, _ = _fit_placed(forest_pipeline(feats, label, trees, max_depth, seed), clean.select("id", label, *feats), "id", partitions)
-    out = model.transform(clean).drop("features").withColumnRenamed("prediction", "predicted_magnitude")
+    out = model.transform(spread(clean)).drop("features").withColumnRenamed("prediction", "predicted_magnitude")
     return model, out.withColumn("magnitude_error", F.abs(F.col(label) - F.col("predicted_magnitude")))
 
 

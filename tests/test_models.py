@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from seisflow.operators import features, isolation, models
+from seisflow.operators import common, features, isolation, models
 from seisflow.sources.fixture import load_catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -89,6 +89,26 @@ def test_forest_predictions(spark, cat):
     assert np.allclose(pdf.magnitude_error, (pdf.magnitude - pdf.predicted_magnitude).abs())
 
 
+def test_forest_levels_go_on_from_the_nodes_reached(spark, cat):
+    feats = ["depth", "latitude", "longitude"]
+    rows = cat.dropna(subset=[*feats, "magnitude"]).select("id", "magnitude", *feats).coalesce(1).sortWithinPartitions("id")
+    pipe = models.forest_pipeline(feats, trees=5, max_depth=6)
+    assert pipe.getStages()[-1].getCacheNodeIds()
+    walked = models.forest_pipeline(feats, trees=5, max_depth=6)
+    walked.getStages()[-1].setCacheNodeIds(False)
+    trees = lambda p: p.fit(rows).stages[-1].toDebugString.split("\n", 1)[1]
+    assert trees(pipe) == trees(walked)
+
+
+def test_forest_scores_rows_of_one_file_in_many_tasks(spark, cat):
+    one = cat.coalesce(1)
+    _, out = models.forest_magnitude(one, trees=3, max_depth=3)
+    assert out.rdd.getNumPartitions() >= common.FIT_PARTITIONS
+    scan = out.select("predicted_magnitude")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in scan and "place" not in scan.split("Repartition")[0]
+    assert out.count() == cat.dropna(subset=["depth", "latitude", "longitude", "magnitude"]).count()
+
+
 def test_isolation_forest(spark, cat):
     out = isolation.detect_anomalies(cat, contamination=0.1, trees=50)
     pdf = out.select("id", "anomaly_score", "is_anomaly").toPandas()

@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from seisflow.functions.scalars import zscore
-from seisflow.operators.common import order_statistic
+from seisflow.operators.common import order_statistic, spread
 from seisflow.operators.features import PATTERN_FEATURES, fit_standardizer
 from seisflow.operators.filters import drop_incomplete
 from seisflow.session import scratch_path
@@ -224,7 +224,7 @@ def detect_anomalies(df: DataFrame, contamination: float = 0.1, key: str = "id",
     if model is None:
         return clean.withColumn("anomaly_score", F.lit(None).cast("double")).withColumn("is_anomaly", F.lit(None).cast("int"))
     z = [zscore(c, m, s) for c, m, s in zip(scaler.columns, scaler.means, scaler.stds)]
-    scored = clean.withColumn("anomaly_score", model.score_column(z))
+    scored = spread(clean).withColumn("anomaly_score", model.score_column(z))
     path = scratch_path(df.sparkSession, "scores")
     scored.select("anomaly_score").write.parquet(path)
     return label_anomalies(scored, contamination, scores=df.sparkSession.read.parquet(path))

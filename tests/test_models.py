@@ -109,6 +109,11 @@ def test_forest_scores_rows_of_one_file_in_many_tasks(spark, cat):
     assert out.count() == cat.dropna(subset=["depth", "latitude", "longitude", "magnitude"]).count()
 
 
+def test_anomaly_scores_of_one_file_in_many_tasks(spark, cat):
+    out = isolation.detect_anomalies(cat.coalesce(1), trees=5)
+    assert out.rdd.getNumPartitions() >= common.FIT_PARTITIONS
+
+
 def test_isolation_forest(spark, cat):
     out = isolation.detect_anomalies(cat, contamination=0.1, trees=50)
     pdf = out.select("id", "anomaly_score", "is_anomaly").toPandas()
